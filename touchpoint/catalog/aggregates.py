@@ -1 +1,103 @@
-"""."""
+"""Counts, distinct keys, message assembly, reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchpoint.catalog import roles
+from touchpoint.catalog.registry import query
+from touchpoint.catalog.roles import table
+from touchpoint.functions.text import is_blank
+from touchpoint.operators import keys, reports
+from touchpoint.operators.transcripts import assemble_messages, number_messages
+from touchpoint.plans.mentions import newest_per_url, typed
+
+
+@query(
+    "a01_counts_by_source",
+    """SELECT source, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_sources FROM documents GROUP BY source
+    UNION ALL SELECT NULL, count(*), count(DISTINCT source) FROM documents""",
+)
+def a01(spark, sf):
+    return keys.counts_by_source(table(spark, sf, "documents"), "source")
+
+
+@query(
+    "a02_distinct_by_key",
+    f"""WITH {roles.MENTIONS_SQL} SELECT url, source_id, body FROM (
+      SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, source_id) AS r FROM mv) WHERE r = 1""",
+)
+def a02(spark, sf):
+    return newest_per_url(typed(roles.mentions(spark, sf)).valid).select("url", "source_id", "body")
+
+
+@query("a03_max_id", "SELECT CASE WHEN coalesce(max(event_id), 0) = 0 THEN 1 ELSE max(event_id) + 1 END AS next_id FROM events")
+def a03(spark, sf):
+    return keys.next_id(table(spark, sf, "events"), "event_id")
+
+
+@query("a04_key_set", "SELECT DISTINCT user_id FROM events")
+def a04(spark, sf):
+    return keys.key_set(table(spark, sf, "events"), "user_id")
+
+
+@query(
+    "a05_message_assembly",
+    f"""WITH {roles.LINES_SQL} SELECT conv_id, message_id, max(CASE WHEN is_head THEN line END) AS header,
+      coalesce(string_agg(CASE WHEN NOT is_head AND line NOT LIKE 'ACTION ITEM:%' THEN line END, ' ' ORDER BY turn, pos), '') AS message,
+      CAST(NULL AS VARCHAR) AS action_item, CAST(NULL AS VARCHAR) AS watch_link
+    FROM wl GROUP BY conv_id, message_id""",
+)
+def a05(spark, sf):
+    numbered = number_messages(roles.conversation_lines(spark, sf), "conv_id", F.floor(F.col("turn") / 4), ["turn", "pos"])
+    return assemble_messages(numbered, "conv_id", ["turn", "pos"])
+
+
+@query(
+    "a06_run_report",
+    """SELECT count(*) AS n_total, count(*) FILTER (WHERE bad) AS n_invalid, count(*) FILTER (WHERE NOT bad AND known) AS n_skipped,
+      count(*) FILTER (WHERE NOT bad AND NOT known AND big) AS n_failed, count(*) FILTER (WHERE NOT bad AND NOT known AND NOT big) AS n_embedded,
+      CAST(ceil(count(*) FILTER (WHERE NOT bad AND NOT known) / 249.0) AS BIGINT) AS n_batches
+    FROM (SELECT lang = 'es' AS bad, doc_id IN (SELECT doc_id FROM labels) AS known, n_chars > 20000 AS big FROM documents)""",
+)
+def a06(spark, sf):
+    stored = table(spark, sf, "labels").select("doc_id").distinct().withColumn("known", F.lit(True))
+    rows = table(spark, sf, "documents").join(stored, "doc_id", "left")
+    text = F.when(F.col("lang") == "es", " ").otherwise(F.col("text"))
+    invalid, known, refused = is_blank(text), F.coalesce("known", F.lit(False)), F.col("n_chars") > 20000
+    flags = rows.select(
+        invalid.alias("invalid"), (~invalid & known).alias("skipped"), (~invalid & ~known & refused).alias("failed"),
+        (~invalid & ~known & ~refused).alias("embedded"),
+    )
+    return reports.run_report(flags, 300)
+
+
+FAILURES = [
+    "Table 'users' already exists in the database",
+    "Table users was not found",
+    "the number of un-indexed rows (12000) exceeds the maximum of 10000",
+    "HTTP 429: Too many concurrent writes. Retry limit exceeded.",
+    "Request timeout: connection timed out after 30s",
+    "Retry Limit hit",
+    "please retry later",
+    "disk full",
+    "number of un-indexed rows only",
+]
+
+
+@query(
+    "a07_error_triage",
+    f"""SELECT class, retryable, count(*) AS n FROM (SELECT
+        CASE i WHEN 0 THEN 'EXISTS' WHEN 1 THEN 'NOT_FOUND' WHEN 2 THEN 'MAX_UNINDEXED_ROWS_EXCEEDED' WHEN 3 THEN 'RATE_LIMITED'
+          WHEN 4 THEN 'TIMEOUT' WHEN 5 THEN 'RATE_LIMITED' ELSE CASE WHEN event_type = 'error' AND i = 7 THEN 'TIMEOUT' ELSE 'UNEXPECTED' END END AS class,
+        i IN (3, 5, 6) AS retryable FROM (SELECT event_type, event_id % 9 AS i FROM events)) GROUP BY ALL""",
+)
+def a07(spark, sf):
+    choice = F.get(F.array(*[F.lit(t) for t in FAILURES]), (F.col("event_id") % 9).cast("int"))
+    late = (F.col("event_type") == "error") & (choice == "disk full")
+    message = F.when(late, F.concat(choice, F.lit(" and Timed Out"))).otherwise(choice)
+    log = table(spark, sf, "events").select(message.alias("message"))
+    classed = log.select(
+        reports.failure_class(F.col("message")).alias("class"), reports.is_retryable(F.col("message")).alias("retryable")
+    )
+    return classed.groupBy("class", "retryable").agg(F.count(F.lit(1)).alias("n"))
