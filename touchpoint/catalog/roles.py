@@ -315,7 +315,7 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.where(F.trim("line") != "")
 
 
-ATTENDEES_SQL = """at AS (
+ATTENDEES_SQL = """att AS (
   SELECT c_custkey, c_nationkey % 5 AS g, c_custkey // 1000 AS b,
     c_name || ', ' || c_mktsegment AS name,
     CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE lower(replace(c_name, '#', '.')) || '@mail.example.com' END AS email,

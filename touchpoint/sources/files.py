@@ -21,6 +21,7 @@ from touchpoint.paths import is_folder, open_input
 from touchpoint.schemas import struct_type
 
 CORRUPT = "_corrupt_record"
+TRAILING = "trailing characters after the document"
 LINES_PER_BLOCK = 1_000_000
 MANY_DOCUMENTS = "more than one JSON document in a file; read it as JSON Lines"
 
@@ -150,17 +151,24 @@ def _with_corrupt(schema: str) -> StructType:
     return StructType(struct_type(schema).fields + [StructField(CORRUPT, StringType(), True)])
 
 
-def parse_json(df: DataFrame, value: str, schema: str, required: tuple[str, ...] = ()) -> Checked:
+def parse_json(
+    df: DataFrame, value: str, schema: str, required: tuple[str, ...] = (), trailing: str = TRAILING
+) -> Checked:
     """Parse a JSON text column against a schema; other columns are kept.
 
-    Rejects: empty text, text that does not parse, a required field that is absent.
+    Rejects: empty text, text that does not parse, more text after the document (which the parser
+    alone would pass over), a required field that is absent.
     """
     kept = [c for c in df.columns if c != value]
-    parsed = df.withColumn("_doc", F.from_json(value, _with_corrupt(schema), {"mode": "PERMISSIVE"}))
+    parsed = df.withColumn("_doc", F.from_json(value, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))
+    filled = F.coalesce(strip(F.col(value)), F.lit("")) != ""
+    fits = F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull()
+    alone = F.size(F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")) == 1
     rules = [
-        (F.coalesce(strip(F.col(value)), F.lit("")) != "", "empty document"),
-        (F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull(), "not a document of this schema"),
-        *[(F.col(f"_doc.{name}").isNotNull(), f"missing {name}") for name in required],
+        (filled, "empty document"),
+        (fits | ~filled, "not a document of this schema"),
+        (alone | ~fits, trailing),
+        *[(F.col(f"_doc.{name}").isNotNull() | ~fits, f"missing {name}") for name in required],
     ]
     checked = check(parsed, rules)
     fields = [F.col(f"_doc.{f.name}").alias(f.name) for f in struct_type(schema).fields]
@@ -172,35 +180,23 @@ def read_json_docs(
 ) -> Checked:
     """One JSON document per file, with ``_file`` (path).
 
-    A file that holds several documents, one per line, is a reject with a hint.
+    A file that holds several documents is a reject with a hint.
     """
     files = spark.read.options(**_glob(suffixes)).text(require_folder(spark, folder), wholetext=True)
     texts = files.select(F.col("_metadata.file_path").alias("_file"), "value")
-    several = (
-        F.size(F.filter(F.split("value", "\n"), lambda line: F.is_valid_json(line)))
-        if hasattr(F, "is_valid_json")
-        else F.regexp_count("value", F.lit(r"(?m)^\s*\{.*\}\s*$"))
-    )
-    single = texts.where(several <= 1)
-    checked = parse_json(single, "value", schema, required)
-    refused = texts.where(several > 1).withColumn(REASON, F.lit(MANY_DOCUMENTS))
-    return Checked(checked.valid, checked.rejects.unionByName(refused))
+    return parse_json(texts, "value", schema, required, MANY_DOCUMENTS)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> Checked:
-    """One JSON document per line; blank lines are skipped; rejects carry path and line number."""
-    rows = (
-        spark.read.schema(_with_corrupt(schema))
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .json(path)
+    """One JSON document per line; blank lines are skipped; rejects carry path and line number.
+
+    Only the rejects pay for numbering the lines.
+    """
+    lines = spark.read.text(path).where(strip(F.col("value")) != "")
+    numbered = numbered_lines(spark, path).where(strip(F.col("line")) != "")
+    return Checked(
+        parse_json(lines, "value", schema, required).valid, parse_json(numbered, "line", schema, required).rejects
     )
-    present = F.lit(True)
-    for name in required:
-        present = present & F.col(name).isNotNull()
-    valid = rows.where(F.col(CORRUPT).isNull() & present).drop(CORRUPT)
-    lines = numbered_lines(spark, path).where(strip(F.col("line")) != "")
-    rejects = parse_json(lines, "line", schema, required).rejects
-    return Checked(valid, rejects)
 
 
 def require_suffix(path: str, suffix: str) -> str:
