@@ -1 +1,218 @@
-"""."""
+"""The composite jobs, end to end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchpoint.catalog import roles
+from touchpoint.catalog.registry import query, staged
+from touchpoint.catalog.roles import table, ts_text
+from touchpoint.catalog.scalars import ATTENDEE_NAME_SQL, LIST_ROWS_SQL, MENTION_NAME_SQL
+from touchpoint.datasets import PRODUCTS, RECEIPTS
+from touchpoint.functions.dates import iso
+from touchpoint.operators.enrich import HashingEmbedder
+from touchpoint.plans import attendees, calls, mentions, records
+
+from touchpoint.session import scratch_path
+from touchpoint.sinks.files import export_objects, write_csv
+from touchpoint.sinks.tables import KeyedTable, Ledger
+
+
+@query(
+    "job_attendees",
+    f"""WITH {roles.ATTENDEES_SQL}, ok AS (SELECT *, stem AS source FROM att WHERE reason IS NULL),
+    objects AS (SELECT *, {ATTENDEE_NAME_SQL} AS file_name FROM ok)
+    SELECT 'object' AS kind, file_name AS label, max(email) AS email, CAST(1 AS BIGINT) AS n FROM objects GROUP BY file_name
+    UNION ALL SELECT 'aggregate', source, NULL, count(*) FROM ok GROUP BY source
+    UNION ALL SELECT 'reject', reason, NULL, count(*) FROM att WHERE reason IS NOT NULL GROUP BY reason""",
+)
+def job_attendees(spark, sf):
+    folder = staged(spark, sf, "attendees", lambda path: export_objects(roles.attendee_files(spark, sf), path))
+    out = scratch_path(spark, "job-attendees")
+    attendees.run(spark, folder, out, roles.AS_OF)
+    nothing = F.lit(None).cast("string")
+    objects = spark.read.schema("file_name string, email string").json(f"{out}/objects")
+    aggregate = spark.read.options(header="true", escape='"').csv(f"{out}/aggregate").groupBy("source").count()
+    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects").groupBy("reject_reason").count()
+    return (
+        objects.select(F.lit("object").alias("kind"), F.col("file_name").alias("label"), "email", F.lit(1).cast("bigint").alias("n"))
+        .union(aggregate.select(F.lit("aggregate"), "source", nothing, "count"))
+        .union(rejects.select(F.lit("reject"), "reject_reason", nothing, "count"))
+    )
+
+
+@query(
+    "job_mentions",
+    f"""WITH {roles.MENTIONS_SQL}, d AS (SELECT *, {MENTION_NAME_SQL} AS file_name FROM (
+        SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, source_id) AS r FROM mv) WHERE r = 1)
+    SELECT file_name, 'mention_created' AS action, url, source_id, body FROM (
+      SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY url DESC) AS f FROM d) WHERE f = 1""",
+)
+def job_mentions(spark, sf):
+    def write(path: str) -> None:
+        rows = roles.mentions(spark, sf).withColumnsRenamed(
+            {"url": "URL", "title": "Title", "source_id": "Source ID", "author": "Author", "relevance_score": "Relevance Score"}
+        )
+        write_csv(rows, path)
+
+    out = scratch_path(spark, "job-mentions")
+    mentions.run(spark, staged(spark, sf, "mentions-csv", write), out)
+    stored = spark.read.schema(
+        "file_name string, action string, data struct<url: string, source_id: string, body: string>"
+    ).json(f"{out}/objects")
+    return stored.select("file_name", "action", "data.*")
+
+
+@query(
+    "job_events_etl",
+    f"""WITH {roles.RECEIPTS_SQL} SELECT strftime("at", '%Y%m%d-%H%M%S') || '-txn-' || id || '-user-' || user_id || '.jsonl' AS file_name, id, body, CAST(NULL AS VARCHAR) AS reject_reason
+      FROM rc WHERE id > 0 AND user_id > 0 AND trim(body) <> ''
+    UNION ALL SELECT NULL, NULL, NULL, 'Invalid webhook: ' || concat_ws(', ', CASE WHEN id <= 0 THEN 'Invalid transaction ID' END, CASE WHEN user_id <= 0 THEN 'Invalid user ID' END,
+        CASE WHEN trim(body) = '' THEN 'Empty receipt body' END) FROM rc WHERE NOT (id > 0 AND user_id > 0 AND trim(body) <> '')""",
+)
+def job_events_etl(spark, sf):
+    def write(path: str) -> None:
+        rows = roles.receipts(spark, sf)
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+
+    source = staged(spark, sf, "receipt-lines", write)
+    out = scratch_path(spark, "job-events")
+    records.run_event_lines(spark, RECEIPTS, source, out)
+    objects = spark.read.schema("file_name string, id bigint, body string, reject_reason string").json(f"{out}/objects")
+    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects")
+    nothing = F.lit(None)
+    return objects.union(rejects.select(nothing.cast("string"), nothing.cast("bigint"), nothing.cast("string"), "reject_reason"))
+
+
+@query(
+    "job_messages",
+    f"""WITH {roles.SPEAKERS_SQL}, {roles.MESSAGES_SQL} SELECT recording_id || '-' || lpad(CAST(message_id AS VARCHAR), 5, '0') AS id,
+      recording_id, message_id, url, title, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
+      CAST(CASE WHEN length(off) > 5 THEN CAST(split_part(off, ':', 1) AS BIGINT) * 3600 + CAST(split_part(off, ':', 2) AS BIGINT) * 60 + CAST(split_part(off, ':', 3) AS BIGINT)
+        ELSE CAST(split_part(off, ':', 1) AS BIGINT) * 60 + CAST(split_part(off, ':', 2) AS BIGINT) END AS BIGINT) AS "timestamp",
+      coalesce(email, who) AS speaker, split_part(email, '@', 2) AS organization, message, action_item, watch_link
+    FROM ah LEFT JOIN lk ON lookup_name = lower(who)""",
+)
+def job_messages(spark, sf):
+    built = calls.messages(roles.call_events(spark, sf), roles.speakers(spark, sf), "idx")
+    return built.valid.withColumn("date", ts_text(F.col("date")))
+
+
+@query(
+    "job_calls_flat",
+    f"""{LIST_ROWS_SQL} SELECT id || '-' || lpad(CAST(n AS VARCHAR), 5, '0') AS id, CAST(id AS VARCHAR) AS recording_id, url AS recording_url,
+      minutes AS recording_duration_in_minutes, title AS meeting_title, strftime(start_at, '%Y-%m-%d %H:%M:%S') AS meeting_scheduled_start_time,
+      d AS meeting_external_domains_domain_name, p AS meeting_invitees_name, p || '@mail.example.com' AS meeting_invitees_email,
+      p = 'red' AS meeting_invitees_is_external, 'host@mail.example.com' AS fathom_user_email
+    FROM e WHERE url LIKE '%/calls/%'""",
+)
+def job_calls_flat(spark, sf):
+    rows = calls.flat_rows(roles.list_calls(spark, sf)).valid
+    return rows.select(
+        "id", "recording_id", "recording_url", "recording_duration_in_minutes", "meeting_title",
+        ts_text(F.col("meeting_scheduled_start_time")).alias("meeting_scheduled_start_time"),
+        "meeting_external_domains_domain_name", "meeting_invitees_name", "meeting_invitees_email",
+        "meeting_invitees_is_external", "fathom_user_email",
+    )
+
+
+@query(
+    "job_srt_import",
+    f"""WITH {roles.EXPORTS_SQL} SELECT url, title, strftime(date, '%Y-%m-%d') AS day, text AS plaintext, CAST(NULL AS VARCHAR) AS reject_reason FROM ex WHERE url IS NOT NULL
+    UNION ALL SELECT NULL, NULL, NULL, NULL, 'URL is None' FROM ex WHERE url IS NULL""",
+)
+def job_srt_import(spark, sf):
+    folder = staged(spark, sf, "exports", lambda path: export_objects(roles.export_files(spark, sf), path))
+    out = scratch_path(spark, "job-srt")
+    calls.run_import(spark, folder, out, roles.EXPORT_AS_OF, "backfill", "backfill@mail.example.com", "devx")
+    stored = spark.read.schema("payload string").json(f"{out}/raw")
+    event = F.from_json(
+        "payload",
+        "recording struct<url: string>, meeting struct<title: string, scheduled_start_time: timestamp>, transcript struct<plaintext: string>",
+    )
+    nothing = F.lit(None).cast("string")
+    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects")
+    events = stored.select(event.alias("e")).select(
+        F.col("e.recording.url").alias("url"), F.col("e.meeting.title").alias("title"),
+        F.date_format("e.meeting.scheduled_start_time", "yyyy-MM-dd").alias("day"),
+        F.col("e.transcript.plaintext").alias("plaintext"), nothing.alias("reject_reason"),
+    )
+    return events.union(rejects.select(nothing, nothing, nothing, nothing, "reject_reason"))
+
+
+@query(
+    "job_embed_upsert",
+    f"""WITH {roles.PRODUCTS_SQL} SELECT id, CASE WHEN s_suppkey IS NULL THEN title ELSE s_name END AS title, CAST(64 AS BIGINT) AS dim
+    FROM pr LEFT JOIN supplier ON s_suppkey = id WHERE id > 0 AND (s_suppkey IS NOT NULL OR trim(title) <> '')""",
+)
+def job_embed_upsert(spark, sf):
+    target = KeyedTable(spark, scratch_path(spark, "job-embed"), "id")
+    stored = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"))
+    embedder = HashingEmbedder(64)
+    for load, rows in enumerate((stored, roles.products(spark, sf), roles.products(spark, sf))):
+        records.embed_upsert(rows, PRODUCTS, target, load, embedder)
+    return target.read().select("id", "title", F.size("embedding").cast("bigint").alias("dim"))
+
+
+@query(
+    "job_backfill",
+    """SELECT CAST(conv_id AS VARCHAR) AS id, CASE WHEN conv_id IN (SELECT doc_id FROM labels) OR conv_id % 7 <> 3 THEN 'successful' ELSE 'failed' END AS outcome
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION SELECT CAST(doc_id AS VARCHAR), 'successful' FROM labels""",
+)
+def job_backfill(spark, sf):
+    def client(key: str) -> int | None:
+        return None if int(key) % 7 == 3 else 200
+
+    out = scratch_path(spark, "job-backfill")
+    succeeded, failed = Ledger(spark, f"{out}/successful", "id"), Ledger(spark, f"{out}/failed", "id")
+    succeeded.add(table(spark, sf, "labels").select(F.col("doc_id").alias("id")))
+    ids = table(spark, sf, "conversations").select(F.col("conv_id").alias("id"))
+    for run in ("first", "second"):
+        records.backfill(ids, "id", succeeded, failed, client, f"{out}/{run}")
+    return succeeded.export().withColumn("outcome", F.lit("successful")).union(
+        failed.export().withColumn("outcome", F.lit("failed"))
+    )
+
+
+@query(
+    "job_txn_replay",
+    f"""WITH {roles.TRANSACTIONS_SQL}, drawn AS (SELECT *, md5('replay' || id) AS d FROM tx
+      WHERE dayofweek("at") = dayofweek(DATE '2024-03-04') ORDER BY d, id LIMIT 7)
+    SELECT (SELECT max(event_id) FROM events) + row_number() OVER (ORDER BY d, id) AS id, amount,
+      strftime(TIMESTAMP '2024-03-04' + ("at" - date_trunc('day', "at")), '%Y-%m-%d %H:%M:%S') AS "at", description, CAST(1 AS BIGINT) AS user_id,
+      payer_id, 'Transaction: ' || description AS body FROM drawn""",
+)
+def job_txn_replay(spark, sf):
+    out = scratch_path(spark, "job-replay")
+    records.run_replay(roles.transactions(spark, sf), "2024-03-04", 1, "replay", 7, f"{out}/transactions", f"{out}/receipts")
+    receipts = spark.read.parquet(f"{out}/receipts").select("id", "body")
+    made = spark.read.parquet(f"{out}/transactions").join(receipts, "id")
+    return made.select("id", "amount", ts_text(F.col("at")).alias("at"), "description", "user_id", "payer_id", "body")
+
+
+@query(
+    "job_profiles",
+    f"""WITH {roles.USERS_SQL} SELECT id, CASE WHEN a >= 60 THEN name || ' is ' || a ELSE 'Hi, I''m ' || name || '. I enjoy exploring new experiences and connecting with others.' END AS bio
+    FROM (SELECT *, date_part('year', DATE '2024-02-28') - date_part('year', dob) - CASE WHEN strftime(dob, '%m%d') > '0228' THEN 1 ELSE 0 END AS a FROM us)""",
+)
+def job_profiles(spark, sf):
+    def client(row: dict) -> str | None:
+        return f"{row['name']} is {row['age']}" if row["age"] >= 60 else None
+
+    out = scratch_path(spark, "job-profiles")
+    records.run_profiles(roles.users(spark, sf), "2024-02-28", out, client)
+    return spark.read.parquet(out)
+
+
+@query(
+    "job_contacts",
+    f"""WITH {roles.CONTACTS_SQL} SELECT first_name, email_address, CASE WHEN r = '' THEN strftime(connected_at, '%Y-%m-%dT%H:%M:%S+00:00') END AS connected_on, nullif(r, '') AS reject_reason
+    FROM (SELECT *, concat_ws(', ', CASE WHEN connected_at IS NULL THEN 'connected_on' END, CASE WHEN url NOT LIKE 'https://%' THEN 'url' END,
+      CASE WHEN email_address NOT LIKE '%+tag@%' THEN 'email_address' END) AS r FROM ct)""",
+)
+def job_contacts(spark, sf):
+    checked = records.contacts(roles.contacts(spark, sf))
+    nothing = F.lit(None).cast("string")
+    valid = checked.valid.select("first_name", "email_address", iso(F.col("connected_on")).alias("connected_on"), nothing.alias("reject_reason"))
+    return valid.union(checked.rejects.select("first_name", "email_address", nothing, "reject_reason"))

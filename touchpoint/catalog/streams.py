@@ -1 +1,91 @@
-"""."""
+"""Streaming jobs, run over all files of a landing folder; results equal the batch results."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from touchpoint.catalog import roles
+from touchpoint.catalog.registry import query, staged
+from touchpoint.catalog.roles import table
+from touchpoint.datasets import DESCRIPTIONS, RECEIPTS
+from touchpoint.operators.enrich import HashingEmbedder
+from touchpoint.operators.project import json_line
+from touchpoint.operators.validate import REASON
+from touchpoint.schemas import PRODUCT_DESCRIPTION, RECEIPT
+from touchpoint.session import scratch_path
+from touchpoint.sinks.tables import KeyedTable
+from touchpoint.streaming import landing
+
+
+def _landed(spark, sf, name, rows):
+    return staged(spark, sf, name, lambda path: rows.repartition(4).write.option("ignoreNullFields", "false").json(path))
+
+
+def _receipts(spark, sf):
+    return _landed(spark, sf, "landing-receipts", roles.receipts(spark, sf))
+
+
+@query("g01_stream_raw", "SELECT sha256(payload) AS object_key, payload FROM (SELECT DISTINCT props AS payload FROM events)")
+def g01(spark, sf):
+    source = staged(spark, sf, "landing-raw", lambda path: table(spark, sf, "events").select("props").repartition(4).write.text(path))
+    out = scratch_path(spark, "g01")
+    landing.land_raw(landing.payload_stream(spark, source, 2), out, f"{out}-state", drain=True).awaitTermination()
+    return landing.read_raw(spark, out)
+
+
+@query(
+    "g02_stream_etl",
+    f"""WITH {roles.RECEIPTS_SQL}, r AS (SELECT id, user_id, body, strftime("at", '%Y%m%d-%H%M%S') || '-txn-' || id || '-user-' || user_id || '.jsonl' AS file_name,
+      concat_ws(', ', CASE WHEN id <= 0 THEN 'Invalid transaction ID' END, CASE WHEN user_id <= 0 THEN 'Invalid user ID' END,
+        CASE WHEN trim(body) = '' THEN 'Empty receipt body' END) AS why FROM rc)
+    SELECT id, CASE WHEN why = '' THEN file_name END AS file_name, CASE WHEN why = '' THEN '{{"id":' || id || ',"user_id":' || user_id || ',"body":"' || body || '"}}' END AS value,
+      CASE WHEN why <> '' THEN 'Invalid webhook: ' || why END AS reject_reason FROM r""",
+)
+def g02(spark, sf):
+    out = scratch_path(spark, "g02")
+    events = landing.event_stream(spark, _receipts(spark, sf), RECEIPT, 2)
+
+    def transform(rows):
+        return RECEIPTS.named(rows).withColumn("value", json_line(rows.select("id", "user_id", "body")))
+
+    landing.land_events(events, RECEIPTS.flagged, transform, out, f"{out}-state", drain=True).awaitTermination()
+    valid = landing.read_landed(spark, out, "valid").select("id", "file_name", "value", REASON)
+    nothing = F.lit(None).cast("string")
+    return valid.union(landing.read_landed(spark, out, "rejected").select("id", nothing, nothing, REASON))
+
+
+@query(
+    "g03_stream_upsert",
+    f"""WITH {roles.DESCRIPTIONS_SQL} SELECT id, title, hid, length(description) AS chars, CAST(32 AS BIGINT) AS dim FROM pd
+    WHERE trim(id) <> '' AND trim(title) <> '' AND trim(description, chr(10)) <> '' AND hid > 0 AND product_category_hid > 0""",
+)
+def g03(spark, sf):
+    path = scratch_path(spark, "g03")
+    source = _landed(spark, sf, "landing-descriptions", roles.descriptions(spark, sf).drop("doc_id"))
+    target = KeyedTable(spark, path, "id")
+    for attempt in ("first", "again"):
+        events = landing.event_stream(spark, source, PRODUCT_DESCRIPTION, 2)
+        landing.land_embeddings(
+            events, DESCRIPTIONS, target, HashingEmbedder(32), f"{path}-state-{attempt}", drain=True
+        ).awaitTermination()
+    return target.read().select(
+        "id", "title", "hid", F.length("description").cast("bigint").alias("chars"), F.size("embedding").cast("bigint").alias("dim")
+    )
+
+
+@query(
+    "g04_stream_static_lookup",
+    f"""WITH {roles.SPEAKERS_SQL} SELECT event_id, said, coalesce(email, said) AS speaker FROM (
+      SELECT event_id, CASE WHEN event_type = 'view' THEN 'Guest ' || user_id ELSE 'sup ' || user_id END AS said FROM events)
+    LEFT JOIN lk ON lookup_name = lower(said)""",
+)
+def g04(spark, sf):
+    key = F.col("user_id").cast("string")
+    said = F.when(F.col("event_type") == "view", F.concat(F.lit("Guest "), key)).otherwise(F.concat(F.lit("sup "), key))
+    source = _landed(spark, sf, "landing-said", table(spark, sf, "events").select("event_id", said.alias("said")))
+    out = scratch_path(spark, "g04")
+    events = landing.event_stream(spark, source, "event_id bigint, said string", 2)
+    landing.land_resolved(
+        events, "said", lambda session: roles.speakers(session, sf), "idx", out, f"{out}-state", drain=True
+    ).awaitTermination()
+    return spark.read.parquet(out).drop("batch")

@@ -17,7 +17,7 @@ from touchpoint.operators.validate import Checked, check, contact_rules, split_c
 from touchpoint.schemas import with_embedding
 from touchpoint.sinks.files import newest_objects, write_keyed_json
 from touchpoint.sinks.tables import KeyedTable, Ledger, append_rows, replace_table
-from touchpoint.sources.files import read_json_docs
+from touchpoint.sources.files import read_json_docs, read_json_lines
 
 
 def new_records(records: DataFrame, dataset: Dataset, stored: DataFrame) -> DataFrame:
@@ -87,9 +87,18 @@ def contacts(rows: DataFrame) -> Checked:
     return check(rows.withColumn("connected_on", contact_date(F.col("connected_on"))), contact_rules())
 
 
-def run_events(spark: SparkSession, dataset: Dataset, folder: str, out: str) -> None:
-    """Files of JSON events → validated lines with an object name, and rejects."""
-    read = read_json_docs(spark, folder, dataset.schema, [".json", ".jsonl"], (dataset.key,))
+def _store_events(read: Checked, dataset: Dataset, out: str) -> None:
     checked = split_checked(dataset.flagged(read.valid))
     write_keyed_json(newest_objects(dataset.named(checked.valid), dataset.ordering()), f"{out}/objects")
-    checked.rejects.select("row_key", "reject_reason").write.mode("overwrite").json(f"{out}/rejects")
+    refused = checked.rejects.select("reject_reason").unionByName(read.rejects.select("reject_reason"))
+    refused.write.mode("overwrite").json(f"{out}/rejects")
+
+
+def run_events(spark: SparkSession, dataset: Dataset, folder: str, out: str) -> None:
+    """Files of one JSON event each → validated lines with an object name, and rejects."""
+    _store_events(read_json_docs(spark, folder, dataset.schema, [".json", ".jsonl"], (dataset.key,)), dataset, out)
+
+
+def run_event_lines(spark: SparkSession, dataset: Dataset, path: str, out: str) -> None:
+    """The same for JSON Lines."""
+    _store_events(read_json_lines(spark, path, dataset.schema, (dataset.key,)), dataset, out)
