@@ -95,14 +95,10 @@ def row_identifier(columns: list[str]) -> Column:
     """
     for name in IDENTIFIER_COLUMNS:
         if name in columns:
-            value = F.coalesce(F.col(name).cast("string"), F.lit("None"))
-            return F.concat(F.lit(f"{name}="), value)
-    labels = []
-    for name in columns:
-        value = F.col(name).cast("string")
-        cut = F.when(
-            F.length(value) > IDENTIFIER_LENGTH,
-            F.concat(F.substring(value, 1, IDENTIFIER_LENGTH), F.lit("...")),
-        ).otherwise(value)
-        labels.append(F.concat(F.lit(f"{name}="), cut))
-    return F.coalesce(*labels, F.lit("unknown_model"))
+            return F.expr(f"concat('{name}=', coalesce(string(`{name}`), 'None'))")
+    labels = [
+        f"concat('{name}=', if(length(string(`{name}`)) > {IDENTIFIER_LENGTH},"
+        f" concat(left(string(`{name}`), {IDENTIFIER_LENGTH}), '...'), string(`{name}`)))"
+        for name in columns
+    ]
+    return F.expr(f"coalesce({', '.join([*labels, repr('unknown_model')])})")

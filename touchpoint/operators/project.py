@@ -20,9 +20,10 @@ def with_constants(df: DataFrame, model: str, constants: dict[str, Column]) -> D
 
 def align_schema(df: DataFrame, model: str) -> DataFrame:
     """The model's columns in order: absent ones null, others dropped."""
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in struct_type(model).fields
         ]
     )
@@ -74,7 +75,7 @@ def json_line(df: DataFrame) -> Column:
 
 def warehouse_rows(df: DataFrame, table: dict[str, tuple[str, bool]]) -> DataFrame:
     """Rows cast to a warehouse table."""
-    return df.select(*table_columns(df, table))
+    return df.selectExpr(*table_columns(df, table))
 
 
 def receipts_of(transactions: DataFrame) -> DataFrame:

@@ -91,15 +91,16 @@ def attributed(messages: DataFrame, speakers: DataFrame, position: str) -> DataF
 def transcript_messages(calls_df: DataFrame, speakers: DataFrame, position: str) -> Checked:
     """Messages of calls given as (url, title, date, plaintext), and the refused calls."""
     checked = check_transcripts(with_lines(calls_df))
-    messages = explode_messages(checked.valid).withColumns(message_fields(F.col("content"))).drop("content")
     columns = [
         "id", "recording_id", "message_id", "url", "title", "date", "timestamp", "speaker", "organization",
         "message", "action_item", "watch_link",
     ]
-    return Checked(
-        attributed(messages.drop("plaintext"), speakers, position).select(*columns),
-        checked.rejects.drop("lines", "heads", "plaintext"),
-    )
+
+    def messages(valid: DataFrame) -> DataFrame:
+        cut = explode_messages(valid.drop("plaintext")).withColumns(message_fields(F.col("content")))
+        return attributed(cut.drop("content"), speakers, position).select(*columns)
+
+    return checked.then(messages, lambda rejects: rejects.drop("lines", "heads", "plaintext"))
 
 
 def number_messages(lines: DataFrame, call: str, block: Column, order: list[str]) -> DataFrame:

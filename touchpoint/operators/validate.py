@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,12 +28,29 @@ MENTION_ACTION = "mention_created"
 Rule = tuple[Column, str | Column]
 
 
-@dataclass(frozen=True)
 class Checked:
-    """Valid rows, and rejects with ``row_key`` and ``reject_reason``."""
+    """Rows split by a reject reason; both sides are built when asked for.
 
-    valid: DataFrame
-    rejects: DataFrame
+    Writing both reads the input twice; to read it once, write ``flagged`` partitioned by whether it
+    has a reason, or persist it.
+    """
+
+    def __init__(self, valid: Callable[[], DataFrame], rejects: Callable[[], DataFrame]):
+        self._valid, self._rejects = valid, rejects
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        """The accepted rows."""
+        return self._valid()
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """The refused rows with ``row_key`` and ``reject_reason``."""
+        return self._rejects()
+
+    def then(self, valid: Callable[[DataFrame], DataFrame], rejects: Callable[[DataFrame], DataFrame] | None = None) -> Checked:
+        """The same split with further steps on either side."""
+        return Checked(lambda: valid(self.valid), lambda: rejects(self.rejects) if rejects else self.rejects)
 
 
 def with_reason(df: DataFrame, rules: list[Rule], prefix: str = "") -> DataFrame:
@@ -49,16 +67,12 @@ def with_reason(df: DataFrame, rules: list[Rule], prefix: str = "") -> DataFrame
 
 
 def split_checked(flagged: DataFrame) -> Checked:
-    """Two lazy views on a flagged frame.
+    """Split a flagged frame."""
+    def rejects() -> DataFrame:
+        names = [c for c in flagged.columns if c != REASON]
+        return flagged.where(F.col(REASON).isNotNull()).select(row_identifier(names).alias("row_key"), "*")
 
-    Writing both reads the input twice; to read it once, write the flagged frame partitioned by
-    whether it has a reason, or persist it.
-    """
-    names = [c for c in flagged.columns if c != REASON]
-    return Checked(
-        flagged.where(F.col(REASON).isNull()).drop(REASON),
-        flagged.where(F.col(REASON).isNotNull()).select(row_identifier(names).alias("row_key"), "*"),
-    )
+    return Checked(lambda: flagged.where(F.col(REASON).isNull()).drop(REASON), rejects)
 
 
 def check(df: DataFrame, rules: list[Rule], prefix: str = "") -> Checked:
@@ -97,11 +111,13 @@ def required_rules(table: dict[str, tuple[str, bool]], non_empty: tuple[str, ...
     """Required columns must be there and castable; only ``non_empty`` ones may not be ''."""
     rules: list[Rule] = []
     for name, (kind, required) in table.items():
-        value = F.col(name)
-        cast_ok = value.isNull() | value.try_cast(kind).isNotNull()
-        present = value.isNotNull() if required else F.lit(True)
-        filled = value != "" if name in non_empty else F.lit(True)
-        rules.append((present & cast_ok & filled, name))
+        holds = [f"`{name}` IS NOT NULL"] if required else []
+        if kind != "string":
+            holds.append(f"(`{name}` IS NULL OR try_cast(`{name}` AS {kind}) IS NOT NULL)")
+        if name in non_empty:
+            holds.append(f"`{name}` <> ''")
+        if holds:
+            rules.append((F.expr(" AND ".join(holds)), name))
     return rules
 
 

@@ -30,7 +30,7 @@ def transcripts_of(events: DataFrame) -> DataFrame:
 def messages(events: DataFrame, speakers: DataFrame, position: str) -> Checked:
     """Attributed messages of call events, as warehouse rows."""
     checked = transcript_messages(transcripts_of(events), speakers, position)
-    return Checked(warehouse_rows(checked.valid, MESSAGE_TABLE), checked.rejects)
+    return checked.then(lambda valid: warehouse_rows(valid, MESSAGE_TABLE))
 
 
 def flat_rows(events: DataFrame) -> Checked:
@@ -39,11 +39,13 @@ def flat_rows(events: DataFrame) -> Checked:
         events.withColumn("_recording", recording_id(F.col("recording.url"))),
         [(F.col("_recording").isNotNull(), "no recording id in url")],
     )
-    lists = ["meeting_external_domains", "meeting_invitees"]
-    flat = flatten_structs(checked.valid.drop("id"))
-    numbered = explode_lists(flat, lists, "_number")
-    rows = keyed_rows(flatten_structs(numbered), F.col("_recording"), "_number")
-    return Checked(warehouse_rows(rows, CALL_TABLE), checked.rejects)
+    def flatten(valid: DataFrame) -> DataFrame:
+        flat = flatten_structs(valid.drop("id"))
+        numbered = explode_lists(flat, ["meeting_external_domains", "meeting_invitees"], "_number")
+        rows = keyed_rows(flatten_structs(numbered), F.col("_recording"), "_number")
+        return warehouse_rows(rows, CALL_TABLE)
+
+    return checked.then(flatten)
 
 
 def object_names(events: DataFrame) -> DataFrame:
@@ -55,7 +57,7 @@ def object_names(events: DataFrame) -> DataFrame:
 
 def exported_events(spark: SparkSession, folder: str, as_of: str, origin: str, email: str, team: str) -> Checked:
     parsed = parse_exports(read_exports(spark, folder), as_of)
-    return Checked(export_events(parsed.valid, origin, email, team), parsed.rejects)
+    return parsed.then(lambda valid: export_events(valid, origin, email, team))
 
 
 def run_messages(events: DataFrame, speakers: DataFrame, position: str, out: str) -> None:

@@ -40,9 +40,7 @@ def events(mentions: DataFrame) -> DataFrame:
 
 def plan(spark: SparkSession, folder: str) -> Checked:
     checked = typed(read_csv_folder(spark, folder))
-    deduplicated = newest_per_url(checked.valid)
-    objects = newest_objects(events(deduplicated), [F.desc("data.url")])
-    return Checked(objects, checked.rejects)
+    return checked.then(lambda valid: newest_objects(events(newest_per_url(valid)), [F.desc("data.url")]))
 
 
 def run(spark: SparkSession, folder: str, out: str) -> None:

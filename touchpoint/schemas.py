@@ -138,9 +138,10 @@ def column_names(ddl: str) -> list[str]:
     return struct_type(ddl).fieldNames()
 
 
-def table_columns(df: DataFrame, table: dict[str, tuple[str, bool]]) -> list[Column]:
-    """The warehouse columns in order, cast; a column the frame lacks is null."""
+def table_columns(df: DataFrame, table: dict[str, tuple[str, bool]]) -> list[str]:
+    """The warehouse columns in order, cast, as SQL; a column the frame lacks is null."""
+    present = set(df.columns)
     return [
-        (F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)).alias(name)
+        f"{f'try_cast(`{name}` AS {kind})' if name in present else f'CAST(NULL AS {kind})'} AS `{name}`"
         for name, (kind, _) in table.items()
     ]

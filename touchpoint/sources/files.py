@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from touchpoint.functions.text import strip
 from touchpoint.operators.joins import bounded_broadcast, stack_frames
 from touchpoint.operators.keys import running_total
-from touchpoint.operators.validate import REASON, Checked, check
+from touchpoint.operators.validate import REASON, Checked, check, split_checked
 from touchpoint.paths import is_folder, open_input
 from touchpoint.schemas import struct_type
 
@@ -141,10 +141,7 @@ def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checke
         .when(F.coalesce("_url", F.lit("")) == "", "event_url missing or empty in metadata file")
     )
     flagged = joined.withColumn(REASON, reason).withColumnRenamed("_url", "event_url").drop("_stem", "_malformed")
-    return Checked(
-        flagged.where(F.col(REASON).isNull()).drop(REASON),
-        flagged.where(F.col(REASON).isNotNull()).withColumn("row_key", F.col("_file")),
-    )
+    return split_checked(flagged).then(lambda valid: valid, lambda rejects: rejects.withColumn("row_key", F.col("_file")))
 
 
 def _with_corrupt(schema: str) -> StructType:
@@ -172,7 +169,7 @@ def parse_json(
     ]
     checked = check(parsed, rules)
     fields = [F.col(f"_doc.{f.name}").alias(f.name) for f in struct_type(schema).fields]
-    return Checked(checked.valid.select(*kept, *fields), checked.rejects.select(*kept, value, REASON))
+    return checked.then(lambda valid: valid.select(*kept, *fields), lambda rejects: rejects.select(*kept, value, REASON))
 
 
 def read_json_docs(
@@ -192,10 +189,15 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, required: tuple
 
     Only the rejects pay for numbering the lines.
     """
-    lines = spark.read.text(path).where(strip(F.col("value")) != "")
-    numbered = numbered_lines(spark, path).where(strip(F.col("line")) != "")
+    def lines() -> DataFrame:
+        return spark.read.text(path).where(strip(F.col("value")) != "")
+
+    def numbered() -> DataFrame:
+        return numbered_lines(spark, path).where(strip(F.col("line")) != "")
+
     return Checked(
-        parse_json(lines, "value", schema, required).valid, parse_json(numbered, "line", schema, required).rejects
+        lambda: parse_json(lines(), "value", schema, required).valid,
+        lambda: parse_json(numbered(), "line", schema, required).rejects,
     )
 
 
