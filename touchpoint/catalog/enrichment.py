@@ -33,15 +33,16 @@ class _LimitedEmbedder(HashingEmbedder):
 )
 def e01(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("body"))
-    vectors = embedded_only(embed_rows(rows, "body", _LimitedEmbedder(64)))
+    slots = spark.sparkContext.defaultParallelism
+    vectors = embedded_only(embed_rows(rows, "body", _LimitedEmbedder(64), parallelism=slots))
     tokens = F.size(F.filter(F.split("body", " "), lambda t: t != ""))
     summed = F.aggregate("embedding", F.lit(0.0), lambda total, value: total + value)
-    slots = vectors.select(
+    listed = vectors.select(
         "doc_id", F.size("embedding").cast("bigint").alias("dim"), (tokens / summed).alias("norm"),
         F.posexplode("embedding").alias("slot", "value"),
     )
     count = F.round(F.col("value") * F.col("norm")).cast("bigint")
-    return slots.where(F.col("value") != 0).select("doc_id", F.col("slot").cast("bigint").alias("slot"), count.alias("n"), "dim")
+    return listed.where(F.col("value") != 0).select("doc_id", F.col("slot").cast("bigint").alias("slot"), count.alias("n"), "dim")
 
 
 @query(

@@ -72,10 +72,8 @@ def p03(spark, sf):
             "author", F.col("relevance_score").alias("Relevance Score"),
         )
     )
-    spelled = mentions.select(payload.alias("payload")).select(
-        *[project.spelled_value(F.col("payload"), project.MENTION_SPELLINGS[c]).alias(c) for c in columns],
-        F.lit("json").alias("kind"),
-    )
+    spelled = project.spelled_fields(mentions.select(payload.alias("payload")), "payload")
+    spelled = spelled.select(*columns, F.lit("json").alias("kind"))
     return tabular.unionByName(spelled)
 
 

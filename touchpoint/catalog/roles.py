@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.sources.tables import read_table
+from touchpoint.sources.tables import read_table, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -224,7 +224,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(head, content)
 
     doc = F.col("doc_id")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", "text")).select(
         doc.alias("id"),
         F.when(doc % 5 == 0, _text("https://rec.example/share/Ab_", _s("doc_id"), "-x?tab=1"))
         .when(doc % 5 == 4, _text("https://rec.example/invalid/", _s("doc_id")))

@@ -11,7 +11,7 @@ from touchpoint.functions import calls, dates, names, text
 from touchpoint.operators.enrich import HashingEmbedder, embed_rows
 from touchpoint.operators.exports import parse_exports
 from touchpoint.operators.flatten import explode_lists
-from touchpoint.operators.transcripts import with_lines
+from touchpoint.operators.transcripts import call_lines
 from touchpoint.plans.calls import flat_rows
 from touchpoint.schemas import PRODUCT, with_embedding
 from touchpoint.sinks.files import export_objects
@@ -203,7 +203,7 @@ HEADER_RE2 = r"^([0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)\s+-\s+(.+?)(?:\s+\(([^)]+)\)
     FROM (SELECT id, line, row_number() OVER (PARTITION BY id ORDER BY n) - 1 AS n FROM cl WHERE line <> '')""",
 )
 def x15(spark, sf):
-    lines = with_lines(roles.calls(spark, sf)).select("id", F.posexplode("lines").alias("n", "line"))
+    lines = call_lines(roles.calls(spark, sf), "id")
     line = F.col("line")
     return lines.select(
         "id", F.col("n").cast("bigint").alias("n"), calls.header_offset(line).alias("off"),
@@ -226,7 +226,7 @@ def x16(spark, sf):
     FROM (SELECT id, line, row_number() OVER (PARTITION BY id ORDER BY n) - 1 AS n FROM cl WHERE line <> '')""",
 )
 def x17(spark, sf):
-    lines = with_lines(roles.calls(spark, sf)).select("id", F.posexplode("lines").alias("n", "line"))
+    lines = call_lines(roles.calls(spark, sf), "id")
     return lines.select("id", F.col("n").cast("bigint").alias("n"), calls.action_item(F.col("line")).alias("action_item"))
 
 
@@ -238,7 +238,7 @@ def x17(spark, sf):
     FROM (SELECT id, line, row_number() OVER (PARTITION BY id ORDER BY n) - 1 AS n FROM cl WHERE line <> '')""",
 )
 def x18(spark, sf):
-    lines = with_lines(roles.calls(spark, sf)).select("id", F.posexplode("lines").alias("n", "line"))
+    lines = call_lines(roles.calls(spark, sf), "id")
     line = F.col("line")
     return lines.select(
         "id", F.col("n").cast("bigint").alias("n"), calls.watch_link(line).alias("link"),

@@ -6,6 +6,7 @@ Clients are injected. Spark decides which rows a task sends; a client only answe
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ class RefusedText(Exception):
 
 @lru_cache(maxsize=1 << 18)
 def _slot(token: str, dim: int) -> int:
-    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
+    return int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % dim
 
 
 class HashingEmbedder:
@@ -47,10 +48,12 @@ class HashingEmbedder:
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         vectors = []
         for text in texts:
-            slots = [_slot(token, self.dim) for token in text.split(" ") if token]
-            if not slots:
+            tokens = Counter(text.split(" "))
+            tokens.pop("", None)
+            if not tokens:
                 raise RefusedText("text content is empty")
-            counts = np.bincount(slots, minlength=self.dim).astype("float64")
+            slots = [_slot(token, self.dim) for token in tokens]
+            counts = np.bincount(slots, weights=list(tokens.values()), minlength=self.dim)
             vectors.append((counts / np.linalg.norm(counts)).astype("float32"))
         return vectors
 
@@ -95,9 +98,13 @@ def _chunks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]
         yield pd.concat(pending, ignore_index=True)
 
 
-def embed_rows(df: DataFrame, text: str, client: Embedder, size: int = 35) -> DataFrame:
+def embed_rows(
+    df: DataFrame, text: str, client: Embedder, size: int = 35, parallelism: int | None = None
+) -> DataFrame:
     """Add ``embedding``; it is null for texts the service refused, so that they can be reported.
 
+    ``parallelism`` sets how many tasks call the service; without it the input's partitioning is kept.
+
     Blank texts and known keys should be filtered out before: Spark does not move filters below
     this step. Any other failure of the service fails the task, which Spark retries.
     """
@@ -108,7 +115,7 @@ def embed_rows(df: DataFrame, text: str, client: Embedder, size: int = 35) -> Da
         for chunk in _chunks(frames, size):
             yield chunk.assign(embedding=_embed_batch(chunk[text].tolist(), client))
 
-    return df.mapInPandas(run, schema)
+    return (df.repartition(parallelism) if parallelism else df).mapInPandas(run, schema)
 
 
 def embedded_only(df: DataFrame) -> DataFrame:

@@ -14,14 +14,19 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, required: str | None = None
+) -> DataFrame:
     """Mark ``df`` for broadcast when it is proven small, else return it unchanged.
 
     The check counts at most ``max_rows + 1`` rows and their size. An unmarked frame is joined by
-    shuffle, where adaptive execution splits skewed keys of the other side.
+    shuffle, where adaptive execution splits skewed keys of the other side. With ``required`` an
+    empty frame is an error of that text.
     """
     rows = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("size"))
     measured = rows.agg(F.count("size").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
+    if required and measured["n"] == 0:
+        raise ValueError(required)
     return F.broadcast(df) if measured["n"] <= max_rows and measured["b"] <= max_bytes else df
 
 
@@ -42,9 +47,7 @@ def resolve_names(df: DataFrame, name: str, speakers: DataFrame, position: str,
 
     The name is compared in lower case and is not trimmed. An empty speaker list is an error.
     """
-    if speakers.isEmpty():
-        raise ValueError("the speaker dimension is empty")
-    lookup = bounded_broadcast(alias_map(speakers, position))
+    lookup = bounded_broadcast(alias_map(speakers, position), required="the speaker dimension is empty")
     return (
         df.withColumn("lookup_name", F.lower(name))
         .join(lookup.withColumnRenamed("email", "_email"), "lookup_name", "left")

@@ -9,6 +9,8 @@ adaptive execution Spark broadcasts a side it has measured to be small and split
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,7 +87,7 @@ def running_total(
 
     ``block`` cuts a key into ordered pieces and must never decrease along ``order``. Each block is
     summed (with a partial aggregate), the block sums are accumulated, and the rows are numbered
-    inside their block. Only the block sums of a key meet in one task.
+    inside their block. Only the block sums of a key meet in one task. Null keys form a group.
     """
     blocked = df.withColumn("_block", block).withColumn("_value", value)
     groups = [*keys, "_block"]
@@ -94,14 +96,13 @@ def running_total(
         blocked.groupBy(*groups)
         .agg(F.sum("_value").alias("_sum"))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-        .drop("_sum")
+        .select("_before", *[F.col(c).alias(f"_of_{c}") for c in groups])
     )
     inside = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     numbered = blocked.withColumn("_inside", F.sum("_value").over(inside))
-    return (
-        numbered.join(offsets, groups)
-        .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_block", "_value", "_inside", "_before")
+    same_block = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups])
+    return numbered.join(offsets, same_block).select(
+        *df.columns, (F.col("_before") + F.col("_inside")).alias(name)
     )
 
 

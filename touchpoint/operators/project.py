@@ -39,12 +39,19 @@ def resolve_spellings(df: DataFrame, spellings: dict[str, tuple[str, ...]] | Non
     return df.select(*chosen)
 
 
-def spelled_value(payload: Column, names: tuple[str, ...]) -> Column:
-    """First non-null of several spellings of a JSON field.
+def spelled_fields(df: DataFrame, payload: str, spellings: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Fields of a JSON object column by their accepted spellings, as strings; other columns are kept.
 
-    An earlier spelling that is there but null is passed over.
+    The object is parsed once. Of several spellings the first one with a value counts: an earlier
+    spelling that is there but null is passed over.
     """
-    return F.coalesce(*[F.get_json_object(payload, f"$['{n}']") for n in names])
+    kept = [c for c in df.columns if c != payload]
+    parsed = df.withColumn("_fields", F.from_json(payload, "map<string,string>"))
+    chosen = [
+        f"coalesce({', '.join(f"try_element_at(_fields, '{n}')" for n in names)}) AS `{field}`"
+        for field, names in (spellings or MENTION_SPELLINGS).items()
+    ]
+    return parsed.selectExpr(*[f"`{c}`" for c in kept], *chosen)
 
 
 def mention_defaults(df: DataFrame) -> DataFrame:

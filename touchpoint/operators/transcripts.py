@@ -9,7 +9,7 @@ from touchpoint.functions import calls
 from touchpoint.functions.text import organization
 from touchpoint.operators.joins import resolve_names
 from touchpoint.operators.keys import running_total
-from touchpoint.operators.validate import Checked, check
+from touchpoint.operators.validate import REASON, Checked, split_checked, with_reason
 
 NO_SPEAKER = "content before the first speaker"
 BAD_WATCH = "invalid watch link"
@@ -34,9 +34,18 @@ def with_lines(calls_df: DataFrame) -> DataFrame:
     )
 
 
-def check_transcripts(lined: DataFrame) -> Checked:
+def call_lines(calls_df: DataFrame, call: str) -> DataFrame:
+    """Line table of calls: (call, n from 0, line), blank lines left out.
+
+    The split itself is exploded. From an exploded column Spark would infer a filter on its size and
+    split every transcript once more for it.
+    """
+    return calls_df.select(call, F.posexplode(calls.transcript_lines(F.col("plaintext"))).alias("n", "line"))
+
+
+def flag_transcripts(lined: DataFrame) -> DataFrame:
     """Calls without a recording id, with text before the first speaker or with a broken watch line are refused."""
-    return check(
+    return with_reason(
         lined,
         [
             (F.col("recording_id").isNotNull(), BAD_URL),
@@ -46,10 +55,12 @@ def check_transcripts(lined: DataFrame) -> Checked:
     )
 
 
-def explode_messages(lined: DataFrame) -> DataFrame:
-    """One row per message: the header line and the content lines up to the next header.
+def explode_messages(flagged: DataFrame) -> DataFrame:
+    """One row per message of the accepted calls: the header line and the content lines up to the next header.
 
-    A transcript is one value of one row, so it is cut inside the row: no shuffle, no window.
+    A transcript is one value of one row, so it is cut inside the row: no shuffle, no window. A
+    refused call explodes to nothing instead of being filtered out: Spark would move the filter
+    below the projections and split every transcript again just to decide on it.
     """
     def until_next(head: Column, k: Column) -> Column:
         end = F.coalesce(F.get("heads", k + 1), F.size("lines"))
@@ -59,8 +70,9 @@ def explode_messages(lined: DataFrame) -> DataFrame:
             F.slice("lines", head + 2, end - head - 1).alias("content"),
         )
 
-    cut = lined.withColumn("message", F.explode(F.transform("heads", until_next))).drop("lines", "heads")
-    return cut.select("*", "message.*").drop("message")
+    kept = [c for c in flagged.columns if c not in ("lines", "heads", "plaintext", REASON)]
+    accepted = F.when(F.col(REASON).isNull(), F.transform("heads", until_next))
+    return flagged.select(*kept, F.inline(accepted))
 
 
 def message_fields(content: Column) -> dict[str, Column]:
@@ -90,17 +102,18 @@ def attributed(messages: DataFrame, speakers: DataFrame, position: str) -> DataF
 
 def transcript_messages(calls_df: DataFrame, speakers: DataFrame, position: str) -> Checked:
     """Messages of calls given as (url, title, date, plaintext), and the refused calls."""
-    checked = check_transcripts(with_lines(calls_df))
+    flagged = flag_transcripts(with_lines(calls_df))
     columns = [
         "id", "recording_id", "message_id", "url", "title", "date", "timestamp", "speaker", "organization",
         "message", "action_item", "watch_link",
     ]
 
-    def messages(valid: DataFrame) -> DataFrame:
-        cut = explode_messages(valid.drop("plaintext")).withColumns(message_fields(F.col("content")))
+    def messages() -> DataFrame:
+        cut = explode_messages(flagged).withColumns(message_fields(F.col("content")))
         return attributed(cut.drop("content"), speakers, position).select(*columns)
 
-    return checked.then(messages, lambda rejects: rejects.drop("lines", "heads", "plaintext"))
+    refused = split_checked(flagged)
+    return Checked(messages, lambda: refused.rejects.drop("lines", "heads", "plaintext"))
 
 
 def number_messages(lines: DataFrame, call: str, block: Column, order: list[str]) -> DataFrame:

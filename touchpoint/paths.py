@@ -21,6 +21,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    return [entry.getPath().getName() for entry in listed]
+
+
 def _resolve(path: str) -> tuple[fs.FileSystem, str]:
     scheme = urlparse(path).scheme
     if scheme in ("", "file"):

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from touchpoint.operators.keys import latest_per_key
 from touchpoint.operators.validate import check, speaker_rules, strict
-from touchpoint.paths import exists
+from touchpoint.paths import exists, folder_names
 
 
 class KeyedTable:
@@ -18,8 +18,8 @@ class KeyedTable:
 
     An upsert adds its rows as one partition ``load=<n>``; reading keeps the newest load per key. So
     an upsert costs what its rows cost, not what the table costs, and repeating a load replaces its
-    own partition only: the result is the same. ``compact`` writes the current rows as a new table.
-    One writer at a time per table.
+    own partition only: the result is the same. ``compact`` writes the current rows as a new table,
+    whose first load is then the large one. One writer at a time per table.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str):
@@ -37,7 +37,16 @@ class KeyedTable:
         return self.spark.read.parquet(self.path)
 
     def read(self) -> DataFrame:
-        return latest_per_key(self.loads(), [self.key], [F.desc("load")]).drop("load")
+        """Current rows.
+
+        The first load has unique keys, so it is only filtered by the keys of the later loads, which
+        Spark broadcasts while they are few; only the later loads are shuffled to find their newest.
+        """
+        first = min(int(name.removeprefix("load=")) for name in folder_names(self.spark, self.path) if "load=" in name)
+        base = self.loads().where(F.col("load") == first)
+        later = self.loads().where(F.col("load") > first)
+        newest = latest_per_key(later, [self.key], [F.desc("load")])
+        return base.join(later.select(self.key), self.key, "left_anti").unionByName(newest).drop("load")
 
     def keys(self, schema: StructType, before: int | None = None) -> DataFrame:
         """Keys stored by the loads before ``before``, or by all; none for a table that does not exist."""

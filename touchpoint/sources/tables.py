@@ -19,6 +19,16 @@ def read_table(spark: SparkSession, path: str, where: Column | None = None) -> D
     return df if where is None else df.where(where)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy work on a scan of few files at least one partition per slot.
+
+    A scan that already has as many partitions as slots, as any large one has, is returned
+    unchanged and is not shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, key: str, lower: int, upper: int, parts: int, **options: str
 ) -> DataFrame:
