@@ -79,7 +79,7 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, block_rows: int) ->
             "id",
             "vector",
             F.pmod(F.xxhash64("id"), F.lit(own)).alias(own_name),
-            F.explode(F.sequence(F.lit(0), F.lit(other - 1))).cast("bigint").alias(other_name),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(other - 1).cast("bigint"))).alias(other_name),
         )
 
     left = cut(corpus, n_corpus, n_queries, "corpus_block", "query_block")

@@ -1,7 +1,7 @@
 """File sources: folders of JSON, JSON Lines, CSV, exports and raw text.
 
-All readers are lazy. Files whose name starts with ``.`` or ``_`` are not read (Spark treats them
-as hidden).
+All readers are lazy. As in every Spark file scan, files of zero length and files whose name starts
+with ``.`` or ``_`` are not read.
 """
 
 from __future__ import annotations
