@@ -41,20 +41,21 @@ def test_csv_headers_are_matched_by_name(spark, folder):
         {
             "b.csv": "email,name\nb@x.com,Bea\n",
             "a.csv": 'name,email,company\n"Al, Jr",a@x.com,0042\n"two\nlines",t@x.com,\n',
-            "c.csv": "name,email\nCy,\n",
+            "c d+%.csv": "name,email\r\nCy,\r\n",
             "note.txt": "x",
         }
     )
     rows = sources.read_csv_folder(spark, path).collect()
     assert {(r._file, r.name, r.email, r.company) for r in rows} == {
         ("a.csv", "Al, Jr", "a@x.com", "0042"), ("a.csv", "two\nlines", "t@x.com", None), ("b.csv", "Bea", "b@x.com", None),
-        ("c.csv", "Cy", None, None),
+        ("c d+%.csv", "Cy", None, None),
     }
 
 
 def test_csv_folder_errors(spark, folder):
     with pytest.raises(ValueError, match="no CSV"):
         sources.read_csv_folder(spark, folder({"x.txt": ""}))
+    assert sources.read_csv_folder(spark, folder({"q.csv": "name\nname\n"})).first().name == "name"
     with pytest.raises(FileNotFoundError):
         sources.read_csv_folder(spark, "/no/such/folder")
 

@@ -8,7 +8,7 @@ from touchpoint.catalog import roles
 from touchpoint.catalog.registry import query
 from touchpoint.catalog.roles import table
 from touchpoint.operators.enrich import (
-    RECEIPT_FALLBACK, HashingEmbedder, RefusedText, embed_rows, embedded_only, generate_text, lookup_status, template_text,
+    RECEIPT_FALLBACK, HashingEmbedder, RefusedText, embed_rows, generate_text, lookup_status, template_text,
 )
 from touchpoint.operators.similarity import cosine_topk
 from touchpoint.operators.validate import status_split
@@ -29,20 +29,22 @@ class _LimitedEmbedder(HashingEmbedder):
     "e01_embed",
     f"""WITH t AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents WHERE length(text) <= {TOO_LONG}),
     c AS (SELECT doc_id, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot, count(*) AS n FROM t WHERE token <> '' GROUP BY ALL)
-    SELECT doc_id, CAST(slot AS BIGINT) AS slot, n, CAST(64 AS BIGINT) AS dim FROM c""",
+    SELECT doc_id, CAST(slot AS BIGINT) AS slot, n, CAST(64 AS BIGINT) AS dim FROM c
+    UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE length(text) > {TOO_LONG}""",
 )
 def e01(spark, sf):
+    """Vectors of all documents as (slot, count); a document the service refuses is one row of nulls."""
     rows = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("body"))
     slots = spark.sparkContext.defaultParallelism
-    vectors = embedded_only(embed_rows(rows, "body", _LimitedEmbedder(64), parallelism=slots))
+    vectors = embed_rows(rows, "body", _LimitedEmbedder(64), parallelism=slots)
     tokens = F.size(F.filter(F.split("body", " "), lambda t: t != ""))
     summed = F.aggregate("embedding", F.lit(0.0), lambda total, value: total + value)
     listed = vectors.select(
-        "doc_id", F.size("embedding").cast("bigint").alias("dim"), (tokens / summed).alias("norm"),
-        F.posexplode("embedding").alias("slot", "value"),
+        "doc_id", F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("bigint")).alias("dim"), (tokens / summed).alias("norm"),
+        F.posexplode_outer("embedding").alias("slot", "value"),
     )
     count = F.round(F.col("value") * F.col("norm")).cast("bigint")
-    return listed.where(F.col("value") != 0).select("doc_id", F.col("slot").cast("bigint").alias("slot"), count.alias("n"), "dim")
+    return listed.where(F.col("value").isNull() | (F.col("value") != 0)).select("doc_id", F.col("slot").cast("bigint").alias("slot"), count.alias("n"), "dim")
 
 
 @query(

@@ -84,6 +84,56 @@ def job_events_etl(spark, sf):
     return objects.union(rejects.select(nothing.cast("string"), nothing.cast("bigint"), nothing.cast("string"), "reject_reason"))
 
 
+@query(
+    "job_events_mentions",
+    f"""WITH {roles.MENTIONS_SQL}, ok AS (SELECT *, {MENTION_NAME_SQL} AS file_name FROM mv WHERE length(body) % 4 <> 1)
+    SELECT file_name, source_id, body, bookmarked, CAST(NULL AS VARCHAR) AS reject_reason, CAST(1 AS BIGINT) AS n FROM (
+      SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY ts DESC, url DESC) AS f FROM ok) WHERE f = 1
+    UNION ALL SELECT NULL, NULL, NULL, NULL, r, count(*) FROM (SELECT CASE WHEN length(body) % 4 = 1 THEN 'Invalid webhook: mention_deleted'
+      ELSE concat_ws(', ', CASE WHEN relevance_comment IS NULL THEN 'relevance_comment' END, CASE WHEN doc_id % 11 = 0 THEN 'timestamp' END) END AS r FROM mn)
+      WHERE r <> '' GROUP BY r""",
+)
+def job_events_mentions(spark, sf):
+    action = F.when(F.length("body") % 4 == 0, "mention_created").when(F.length("body") % 4 == 1, "mention_deleted")
+    rows = roles.mentions(spark, sf).withColumnsRenamed({"author": "Author", "source_id": "sourceId"})
+    payload = F.to_json(F.struct(action.alias("action"), F.struct(*rows.columns).alias("data")))
+    out = scratch_path(spark, "job-event-mentions")
+    mentions.run_payloads(rows.select(payload.alias("payload")), "payload", out)
+    mention = F.from_json("value", "source_id string, body string, bookmarked boolean").alias("m")
+    objects = spark.read.schema("file_name string, value string").json(f"{out}/objects").select("file_name", mention)
+    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects").groupBy("reject_reason").count()
+    nothing = F.lit(None)
+    return objects.select(
+        "file_name", "m.source_id", "m.body", "m.bookmarked", nothing.cast("string").alias("reject_reason"),
+        F.lit(1).cast("bigint").alias("n"),
+    ).union(
+        rejects.select(
+            nothing.cast("string"), nothing.cast("string"), nothing.cast("string"), nothing.cast("boolean"), "reject_reason", "count"
+        )
+    )
+
+
+@query(
+    "job_events_calls",
+    f"""{LIST_ROWS_SQL} SELECT strftime(start_at, '%Y_%m_%d_%H_%M_%S') || '-' || id || '-' || lower(title) || '.jsonl' AS file_name,
+      id || '-' || lpad(CAST(n AS VARCHAR), 5, '0') AS id, d AS domain_name, p AS invitee, CAST(NULL AS VARCHAR) AS reject_reason FROM e WHERE url LIKE '%/calls/%'
+    UNION ALL SELECT NULL, NULL, NULL, NULL, 'no recording id in url' FROM lc WHERE url NOT LIKE '%/calls/%'""",
+)
+def job_events_calls(spark, sf):
+    events = roles.list_calls(spark, sf)
+    payloads = events.select(F.to_json(F.struct(*events.columns)).alias("payload"))
+    out = scratch_path(spark, "job-event-calls")
+    calls.run_flat(calls.read_events(payloads, "payload").valid, out)
+    stored = spark.read.schema(
+        "file_name string, id string, meeting_external_domains_domain_name string, meeting_invitees_name string, reject_reason string"
+    ).json(f"{out}/calls")
+    nothing = F.lit(None).cast("string")
+    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects")
+    return stored.withColumnsRenamed(
+        {"meeting_external_domains_domain_name": "domain_name", "meeting_invitees_name": "invitee"}
+    ).union(rejects.select(nothing, nothing, nothing, nothing, "reject_reason"))
+
+
 @query(
     "job_messages",
     f"""WITH {roles.SPEAKERS_SQL}, {roles.MESSAGES_SQL} SELECT recording_id || '-' || lpad(CAST(message_id AS VARCHAR), 5, '0') AS id,

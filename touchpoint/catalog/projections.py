@@ -184,19 +184,20 @@ def p10(spark, sf):
 @query(
     "p11_call_from_srt",
     f"""WITH {roles.EXPORTS_SQL} SELECT url, title, strftime(date, '%Y-%m-%d %H:%M:%S') AS start_at, minutes, text AS plaintext,
-      CAST(NULL AS BOOLEAN) AS external, 'backfill' AS join_url, true AS id_in_range,
-      (SELECT count(*) FROM ex WHERE url IS NOT NULL) AS n_ids
-    FROM ex WHERE url IS NOT NULL""",
+      CAST(NULL AS BOOLEAN) AS external, 'backfill' AS join_url, CAST(NULL AS BIGINT) AS n_ids
+    FROM ex WHERE url IS NOT NULL
+    UNION ALL SELECT NULL, 'ids from 0 without gaps', NULL, NULL, NULL, NULL, NULL, count(*) FROM ex WHERE url IS NOT NULL""",
 )
 def p11(spark, sf):
     folder = staged(spark, sf, "exports", lambda path: export_objects(roles.export_files(spark, sf), path))
     parsed = parse_exports(read_exports(spark, folder), roles.EXPORT_AS_OF)
     events = export_events(parsed.valid, "backfill", "backfill@mail.example.com", "devx")
-    counted = events.agg(F.count_distinct("id").alias("n_ids"))
-    return events.join(F.broadcast(counted), F.lit(True)).select(
+    gap_free = (F.min("id") == 0) & (F.max("id") == F.count_distinct("id") - 1)
+    ids = events.agg(F.when(gap_free, F.count_distinct("id")).alias("n_ids"), F.lit("ids from 0 without gaps").alias("title"))
+    rows = events.select(
         F.col("recording.url").alias("url"), F.col("meeting.title").alias("title"),
         ts_text(F.col("meeting.scheduled_start_time")).alias("start_at"),
         F.col("recording.duration_in_minutes").alias("minutes"), F.col("transcript.plaintext").alias("plaintext"),
         F.col("meeting.has_external_invitees").alias("external"), F.col("meeting.join_url").alias("join_url"),
-        F.col("id").between(0, F.col("n_ids") - 1).alias("id_in_range"), "n_ids",
     )
+    return rows.unionByName(ids, allowMissingColumns=True)

@@ -69,15 +69,8 @@ def allocate_ids(rows: DataFrame, table: DataFrame, key: str, order: Sequence[Co
     The rows are a sample of at most a handful (see ``sample_rows``), so one unpartitioned window
     is enough; for large inputs use ``running_total``.
     """
-    start = F.broadcast(next_id(table, key))
     position = F.row_number().over(Window.orderBy(*order))
-    return (
-        rows.withColumn("_position", position)
-        .withColumn("_one", F.lit(1))
-        .join(start.withColumn("_one", F.lit(1)), "_one")
-        .withColumn(key, F.col("next_id") + F.col("_position") - 1)
-        .drop("_position", "_one", "next_id")
-    )
+    return rows.withColumn(key, next_id(table, key).scalar() + position - 1)
 
 
 def running_total(

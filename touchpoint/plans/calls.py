@@ -12,9 +12,17 @@ from touchpoint.operators.flatten import explode_lists, flatten_structs, keyed_r
 from touchpoint.operators.project import warehouse_rows
 from touchpoint.operators.transcripts import transcript_messages
 from touchpoint.operators.validate import Checked, check
-from touchpoint.schemas import CALL_TABLE, MESSAGE_TABLE
+from touchpoint.schemas import CALL_EVENT, CALL_TABLE, MESSAGE_TABLE
 from touchpoint.sinks.files import raw_objects, write_keyed_json
-from touchpoint.sources.files import read_exports
+from touchpoint.sources.files import parse_json, read_exports
+
+
+REQUIRED = ("id", "recording", "meeting", "fathom_user", "transcript")
+
+
+def read_events(payloads: DataFrame, payload: str) -> Checked:
+    """Posted call events given as JSON text."""
+    return parse_json(payloads.select(payload), payload, CALL_EVENT, REQUIRED)
 
 
 def transcripts_of(events: DataFrame) -> DataFrame:
@@ -48,11 +56,14 @@ def flat_rows(events: DataFrame) -> Checked:
     return checked.then(flatten)
 
 
-def object_names(events: DataFrame) -> DataFrame:
-    name = call_name(
-        F.col("meeting.scheduled_start_time"), recording_id(F.col("recording.url")), F.col("meeting.title")
-    )
-    return events.withColumn("file_name", name)
+def named_messages(rows: DataFrame) -> DataFrame:
+    """Messages with the name of their call's object."""
+    return rows.withColumn("file_name", call_name(F.col("date"), F.col("recording_id"), F.col("title")))
+
+
+def named_flat_rows(rows: DataFrame) -> DataFrame:
+    start = F.col("meeting_scheduled_start_time")
+    return rows.withColumn("file_name", call_name(start, F.col("recording_id"), F.col("meeting_title")))
 
 
 def exported_events(spark: SparkSession, folder: str, as_of: str, origin: str, email: str, team: str) -> Checked:
@@ -62,12 +73,14 @@ def exported_events(spark: SparkSession, folder: str, as_of: str, origin: str, e
 
 def run_messages(events: DataFrame, speakers: DataFrame, position: str, out: str) -> None:
     built = messages(events, speakers, position)
-    write_keyed_json(built.valid, f"{out}/messages")
+    write_keyed_json(named_messages(built.valid), f"{out}/messages")
     built.rejects.write.mode("overwrite").json(f"{out}/rejects")
 
 
 def run_flat(events: DataFrame, out: str) -> None:
-    write_keyed_json(flat_rows(events).valid, f"{out}/calls")
+    built = flat_rows(events)
+    write_keyed_json(named_flat_rows(built.valid), f"{out}/calls")
+    built.rejects.select("row_key", "reject_reason").write.mode("overwrite").json(f"{out}/rejects")
 
 
 def run_import(spark: SparkSession, folder: str, out: str, as_of: str, origin: str, email: str, team: str) -> None:

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from touchpoint.functions.dates import event_timestamp
 from touchpoint.functions.names import mention_name
 from touchpoint.operators.keys import latest_per_key
-from touchpoint.operators.project import align_schema, json_line, mention_defaults, resolve_spellings, wrap_event
-from touchpoint.operators.validate import Checked, check, required_rules
+from touchpoint.operators.joins import stack_frames
+from touchpoint.operators.project import (
+    align_schema, event_defaults, json_line, mention_defaults, resolve_spellings, spelled_fields, wrap_event,
+)
+from touchpoint.operators.validate import REASON, Checked, check, flag_mentions, required_rules, split_checked
 from touchpoint.schemas import MENTION, MENTION_TABLE
 from touchpoint.sinks.files import newest_objects, write_keyed_json
-from touchpoint.sources.files import read_csv_folder
+from touchpoint.sources.files import parse_json, read_csv_folder
 
 NOT_TIMED = {n: t for n, t in MENTION_TABLE.items() if n not in ("timestamp", "bookmarked")}
 
@@ -43,6 +46,33 @@ def plan(spark: SparkSession, folder: str) -> Checked:
     return checked.then(lambda valid: newest_objects(events(newest_per_url(valid)), [F.desc("data.url")]))
 
 
+def from_payloads(payloads: DataFrame, payload: str) -> Checked:
+    """Posted mention events (JSON text) → (file_name, value) with the mention as a JSON line.
+
+    Rejects carry the reason: text that is no event, an action that is not taken, a missing field.
+    """
+    opened = parse_json(payloads.select(payload), payload, "action string, data string", ("data",))
+    taken = opened.then(lambda events: flag_mentions(event_defaults(events)))
+    accepted = split_checked(taken.valid)
+    read = typed(spelled_fields(accepted.valid.select("data"), "data"))
+
+    def lines() -> DataFrame:
+        mentions = read.valid
+        name = mention_name(F.col("source"), F.col("keyword"), F.col("timestamp"), F.col("author"))
+        return mentions.select(name.alias("file_name"), json_line(mentions).alias("value"), "timestamp")
+
+    def rejects() -> DataFrame:
+        return stack_frames([c.rejects.select(REASON) for c in (opened, accepted, read)])
+
+    return Checked(lambda: newest_objects(lines(), [F.desc("timestamp"), F.desc("value")]), rejects)
+
+
+def run_payloads(payloads: DataFrame, payload: str, out: str) -> None:
+    built = from_payloads(payloads, payload)
+    write_keyed_json(built.valid, f"{out}/objects")
+    built.rejects.write.mode("overwrite").json(f"{out}/rejects")
+
+
 def run(spark: SparkSession, folder: str, out: str) -> None:
     built = plan(spark, folder)
     write_keyed_json(built.valid, f"{out}/objects")

@@ -68,6 +68,18 @@ def export_objects(df: DataFrame, root: str, name: str = "file_name", value: str
     df.select(name, value).foreachPartition(write)
 
 
+def line_objects(rows: DataFrame, key: str = "id", name: str = "file_name") -> DataFrame:
+    """JSON Lines content per object, (file_name, value), for ``export_objects``.
+
+    Copies of a line are reduced to one per object and key before the lines of an object, which are
+    one record's own, are joined in key order.
+    """
+    line = F.to_json(F.struct(*[c for c in rows.columns if c != name]), {"ignoreNullFields": "false"})
+    lined = latest_per_key(rows.select(name, key, line.alias("_line")), [name, key], [F.desc("_line")])
+    listed = lined.groupBy(name).agg(F.sort_array(F.collect_list(F.struct(key, "_line"))).alias("_lines"))
+    return listed.select(name, F.array_join("_lines._line", "\n").alias("value"))
+
+
 def safe_names(df: DataFrame, name: str = "file_name") -> DataFrame:
     """Rows whose object name stays in its folder."""
     parts = F.split(name, "/")

@@ -6,6 +6,7 @@ with ``.`` or ``_`` are not read.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,13 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from touchpoint.functions.text import strip
-from touchpoint.operators.joins import bounded_broadcast, stack_frames
+from touchpoint.operators.joins import bounded_broadcast
 from touchpoint.operators.keys import running_total
 from touchpoint.operators.validate import REASON, Checked, check, split_checked
 from touchpoint.paths import is_folder, open_input
 from touchpoint.schemas import struct_type
 
 CORRUPT = "_corrupt_record"
+LINE_ENDS = "\\r\\n|\\r|\\n"
 TRAILING = "trailing characters after the document"
 LINES_PER_BLOCK = 1_000_000
 MANY_DOCUMENTS = "more than one JSON document in a file; read it as JSON Lines"
@@ -43,6 +45,11 @@ def list_folder(spark: SparkSession, folder: str, suffixes: list[str] | None = N
     return files.select("path", F.substring_index("path", "/", -1).alias("name"), "length")
 
 
+def file_origin(field: str) -> Column:
+    """``file_path`` or ``file_name`` of a row's file, as it is on disk: Spark reports it URL-encoded."""
+    return F.url_decode(F.replace(F.col(f"_metadata.{field}"), F.lit("+"), F.lit("%2B")))
+
+
 def file_stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
@@ -63,11 +70,6 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select("path", "line_no", "line")
 
 
-def read_csv_strings(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
-    """CSV with header, every column a string, so that ids keep their zeros and names stay names."""
-    return spark.read.options(header="true", inferSchema="false", multiLine="true", escape='"', **options).csv(paths)
-
-
 def read_csv_columns(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with declared column types."""
     return spark.read.schema(schema).options(header="true", enforceSchema="false").csv(path)
@@ -79,43 +81,57 @@ def read_csv_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _headers(files: DataFrame) -> DataFrame:
-    """First line of every file, read by the tasks."""
+    """Column names of every file, read by the tasks from its first line: (_file, _names)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(header=[_first_line(p) for p in frame["path"]])
+            yield pd.DataFrame({"_file": frame["name"], "_names": [_column_names(p) for p in frame["path"]]})
 
-    return files.select("path").mapInPandas(run, "path string, header string")
+    return files.select("path", "name").mapInPandas(run, "_file string, _names array<string>")
 
 
-def _first_line(path: str) -> str:
+def _column_names(path: str) -> list[str]:
     data = b""
     with open_input(path) as stream:
         while b"\n" not in data and (more := stream.read(65536)):
             data += more
-    return data.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+    return next(csv.reader([data.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")]), [])
 
 
-def read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
+def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
     """All CSV files of a folder by column name, with ``_file`` (name of the file) added.
 
-    One read of files with different headers would map columns by position. So files are grouped by
-    their header line, each group is read by itself, and the groups are stacked by name. Only file
-    names and headers reach the driver, as they do for any Spark file scan.
+    One read of files with different headers would take one file's header and map the others by
+    position. So the files are read by position, in one scan, and each row is then laid out by the
+    header of its own file. Only column names reach the driver. Turn ``multi_line`` off for files
+    without line breaks inside quotes, so that large files are split.
     """
-    files = list_folder(spark, folder, [".csv"])
-    groups = (
-        _headers(files)
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy(F.element_at("paths", 1))
-        .collect()
-    )
-    if not groups:
+    headers = _headers(list_folder(spark, folder, [".csv"]))
+    summary = headers.agg(F.max(F.size("_names")).alias("width"), F.count(F.lit(1)).alias("n_files")).first()
+    if not summary["n_files"]:
         raise ValueError(f"no CSV files in {folder}")
-    frames = [
-        read_csv_strings(spark, group["paths"]).withColumn("_file", F.col("_metadata.file_name")) for group in groups
+    columns = [
+        row["name"]
+        for row in headers.select("_file", F.posexplode("_names").alias("place", "name"))
+        .groupBy("name")
+        .agg(F.min(F.struct("_file", "place")).alias("first"))
+        .orderBy("first")
+        .select("name")
+        .collect()
     ]
-    return stack_frames(frames)
+    values = [f"_c{i}" for i in range(summary["width"])]
+    rows = (
+        spark.read.schema(", ".join(f"{v} string" for v in values))
+        .options(header="true", multiLine=str(multi_line).lower(), escape='"', pathGlobFilter="*.csv")
+        .csv(folder)
+        .select(F.array(*values).alias("_values"), file_origin("file_name").alias("_file"))
+    )
+    laid_out = rows.join(bounded_broadcast(headers), "_file", "left")
+
+    def named(name: str) -> Column:
+        place = F.array_position("_names", name).cast("int")
+        return F.when(place > 0, F.get("_values", place - 1)).alias(name)
+
+    return laid_out.select(*[named(name) for name in columns], "_file")
 
 
 def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checked:
@@ -128,7 +144,7 @@ def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checke
         .options(multiLine="true", mode="PERMISSIVE", pathGlobFilter="*.json")
         .json(require_folder(spark, folder))
         .select(
-            file_stem(F.col("_metadata.file_name")).alias("_stem"),
+            file_stem(file_origin("file_name")).alias("_stem"),
             F.col("event_url").alias("_url"),
             F.col(CORRUPT).isNotNull().alias("_malformed"),
         )
@@ -180,7 +196,7 @@ def read_json_docs(
     A file that holds several documents is a reject with a hint.
     """
     files = spark.read.options(**_glob(suffixes)).text(require_folder(spark, folder), wholetext=True)
-    texts = files.select(F.col("_metadata.file_path").alias("_file"), "value")
+    texts = files.select(file_origin("file_path").alias("_file"), "value")
     return parse_json(texts, "value", schema, required, MANY_DOCUMENTS)
 
 
@@ -210,8 +226,8 @@ def require_suffix(path: str, suffix: str) -> str:
 def read_compact_text(spark: SparkSession, folder: str, suffixes: list[str] | None = None) -> DataFrame:
     """Every file as one string, lines stripped and joined; nothing is parsed."""
     files = spark.read.options(**_glob(suffixes)).text(require_folder(spark, folder), wholetext=True)
-    compact = F.array_join(F.transform(F.split("value", "\n"), strip), "")
-    return files.select(F.col("_metadata.file_path").alias("_file"), compact.alias("payload"))
+    compact = F.array_join(F.transform(F.split("value", LINE_ENDS), strip), "")
+    return files.select(file_origin("file_path").alias("_file"), compact.alias("payload"))
 
 
 def read_csv_slice(spark: SparkSession, path: str, skip_rows: int = 0, n_rows: int | None = None) -> DataFrame:
@@ -234,6 +250,6 @@ def read_csv_slice(spark: SparkSession, path: str, skip_rows: int = 0, n_rows: i
 
 
 def read_exports(spark: SparkSession, folder: str) -> DataFrame:
-    """Text exports, one file per call: (path, value)."""
+    """Text exports, one file per call: (path, value), line ends made equal."""
     files = spark.read.text(require_folder(spark, folder), wholetext=True, pathGlobFilter="*.srt")
-    return files.select(F.col("_metadata.file_path").alias("path"), "value")
+    return files.select(file_origin("file_path").alias("path"), F.regexp_replace("value", LINE_ENDS, "\n").alias("value"))
