@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpoint.session import scratch_path, use_utc
+from touchpoint.session import scratch_path, ship_package, use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(use_utc(spark), sf_dir)
+            return build(use_utc(ship_package(spark)), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,7 +26,21 @@ def build_session(app: str = "touchpoint", master: str | None = None, **conf: st
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, wherever the session was started from. Once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="touchpoint-code-"), "touchpoint_code")
+        context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(context.applicationId)
+    return spark
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
