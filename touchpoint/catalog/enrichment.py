@@ -39,10 +39,9 @@ def e01(spark, sf):
     vectors = embed_rows(rows, "body", _LimitedEmbedder(64), parallelism=slots)
     tokens = F.size(F.filter(F.split("body", " "), lambda t: t != ""))
     summed = F.aggregate("embedding", F.lit(0.0), lambda total, value: total + value)
-    listed = vectors.select(
-        "doc_id", F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("bigint")).alias("dim"), (tokens / summed).alias("norm"),
-        F.posexplode_outer("embedding").alias("slot", "value"),
-    )
+    dim = F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("bigint"))
+    measured = vectors.select("doc_id", "embedding", dim.alias("dim"), (tokens / summed).alias("norm"))
+    listed = measured.select("doc_id", "dim", "norm", F.posexplode_outer("embedding").alias("slot", "value"))
     count = F.round(F.col("value") * F.col("norm")).cast("bigint")
     return listed.where(F.col("value").isNull() | (F.col("value") != 0)).select("doc_id", F.col("slot").cast("bigint").alias("slot"), count.alias("n"), "dim")
 

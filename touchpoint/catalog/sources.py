@@ -197,8 +197,8 @@ def s11(spark, sf):
     """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderstatus = 'F'""",
 )
 def s12(spark, sf):
-    recent = (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")) & (F.col("o_orderstatus") == "F")
-    return spark.read.parquet(f"{sf}/orders.parquet").where(recent).select("o_orderkey", "o_custkey", "o_totalprice")
+    recent = (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")) & (F.col("o_orderstatus") == "F")
+    return tables.read_table(spark, f"{sf}/orders.parquet", recent).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 @query("s13_key_scan", "SELECT DISTINCT l_partkey FROM lineitem")

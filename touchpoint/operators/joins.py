@@ -66,7 +66,8 @@ def align_frames(frames: list[DataFrame]) -> DataFrame:
 
     The result is that of chained full outer joins, written as a left outer join plus the unmatched
     right rows: Spark can split a skewed left side in both, but no side of a full outer join. Rows
-    with a null in a shared column match nothing and are kept.
+    with a null in a shared column match nothing and are kept. Exact copies of a row count once per
+    frame: they are reduced before the shuffle and cannot multiply in the join.
     """
     shared = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
     if not shared:
@@ -82,7 +83,7 @@ def align_frames(frames: list[DataFrame]) -> DataFrame:
         merged = {c: F.coalesce(F.col(c), F.col(f"_right_{c}")) for c in clash}
         return both.withColumns(merged).drop(*[f"_right_{c}" for c in clash])
 
-    return reduce(pair, frames)
+    return reduce(pair, [frame.distinct() for frame in frames])
 
 
 def pair_receipts(receipts: DataFrame, transactions: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
 from touchpoint.operators.keys import key_set
 from touchpoint.paths import exists
@@ -12,10 +12,16 @@ from touchpoint.paths import exists
 def read_table(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
     """Parquet table, optionally filtered; comparisons are pushed into the scan.
 
-    Timestamps stored without zone are taken as UTC.
+    Timestamps stored without zone are read as UTC. They are declared so rather than cast, because a
+    filter on a cast column would not reach the scan.
     """
     df = spark.read.parquet(path)
-    df = df.withColumns({n: F.col(n).cast("timestamp") for n, t in df.dtypes if t == "timestamp_ntz"})
+    if any(isinstance(f.dataType, TimestampNTZType) for f in df.schema.fields):
+        zoned = [
+            StructField(f.name, TimestampType() if isinstance(f.dataType, TimestampNTZType) else f.dataType, f.nullable)
+            for f in df.schema.fields
+        ]
+        df = spark.read.schema(StructType(zoned)).parquet(path)
     return df if where is None else df.where(where)
 
 
