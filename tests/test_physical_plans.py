@@ -41,9 +41,13 @@ def test_transcripts_are_cut_without_a_shuffle_and_once(spark, tmp_path):
     rows = [("https://rec.example/calls/1", "00:01 - A\nx")]
     spark.createDataFrame(rows, "url string, plaintext string").write.parquet(str(tmp_path / "t"))
     lined = transcripts.with_lines(spark.read.parquet(str(tmp_path / "t")))
-    text = plan(transcripts.explode_messages(transcripts.flag_transcripts(lined)))
-    assert "Exchange" not in text
-    assert text.count("split(plaintext") == 1
+    people = spark.createDataFrame([(0, "A", "a@x.com", [])], "idx int, name string, email string, aliases array<string>")
+    rows = spark.read.parquet(str(tmp_path / "t")).selectExpr("url", "url AS title", "url AS date", "plaintext")
+    built = transcripts.transcript_messages(rows, people, "idx")
+    for text in (plan(transcripts.explode_messages(transcripts.flag_transcripts(lined))), plan(built.rejects)):
+        assert "Exchange" not in text
+        assert text.count("split(plaintext") == 1
+    assert plan(built.valid).count("split(plaintext") == 1
 
 
 def test_alignment_has_no_full_outer_join(spark):

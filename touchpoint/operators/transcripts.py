@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchpoint.functions import calls
-from touchpoint.functions.text import organization
+from touchpoint.functions.text import organization, row_identifier
 from touchpoint.operators.joins import resolve_names
 from touchpoint.operators.keys import running_total
-from touchpoint.operators.validate import REASON, Checked, split_checked, with_reason
+from touchpoint.operators.validate import REASON, Checked, with_reason
 
 NO_SPEAKER = "content before the first speaker"
 BAD_WATCH = "invalid watch link"
@@ -112,8 +112,12 @@ def transcript_messages(calls_df: DataFrame, speakers: DataFrame, position: str)
         cut = explode_messages(flagged).withColumns(message_fields(F.col("content")))
         return attributed(cut.drop("content"), speakers, position).select(*columns)
 
-    refused = split_checked(flagged)
-    return Checked(messages, lambda: refused.rejects.drop("lines", "heads", "plaintext"))
+    def rejects() -> DataFrame:
+        kept = [c for c in flagged.columns if c not in ("lines", "heads", "plaintext", REASON)]
+        reason = F.explode(F.when(F.col(REASON).isNotNull(), F.array(REASON))).alias(REASON)
+        return flagged.select(row_identifier(kept).alias("row_key"), *kept, reason)
+
+    return Checked(messages, rejects)
 
 
 def number_messages(lines: DataFrame, call: str, block: Column, order: list[str]) -> DataFrame:
