@@ -124,6 +124,16 @@ def test_json_lines_number_their_rejects(spark, folder):
         sources.require_suffix("a.json", ".jsonl")
 
 
+def test_speaker_file(spark, folder):
+    document = {"speakers_internal": [{"name": "Alice Johnson", "email": "a@x.com", "aliases": ["Alice J.", "AJ"]}, {"name": "Bo", "email": "b@x.com"}]}
+    path = folder({"storage.json": json.dumps(document, indent=2), "bad.json": "{oops", "none.json": '{"speakers_internal": []}'})
+    rows = sources.read_speakers(spark, f"{path}/storage.json").orderBy("idx").collect()
+    assert [tuple(r) for r in rows] == [(0, "Alice Johnson", "a@x.com", ["Alice J.", "AJ"]), (1, "Bo", "b@x.com", [])]
+    assert sources.read_speakers(spark, f"{path}/none.json").count() == 0
+    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ"):
+        sources.read_speakers(spark, f"{path}/bad.json").collect()
+
+
 def test_line_numbers_of_split_files(spark, folder):
     path = folder({"long.txt": "\n".join(f"line {i}" for i in range(1, 5001)) + "\n", "short.txt": "line 1\n"})
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")

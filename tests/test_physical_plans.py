@@ -57,10 +57,9 @@ def test_alignment_has_no_full_outer_join(spark):
 
 
 @tables
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(n for n in queries() if not n.startswith(("g0", "job_", "k0", "s0"))))
 def test_no_cross_joins(spark, name):
-    if name.startswith(("g0", "job_", "k0", "s0")):
-        pytest.skip("writes or reads files; its joins are those of the other queries")
+    """Queries that read and write files are left out here; their joins are those of the other queries."""
     text = plan(queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 

@@ -105,6 +105,13 @@ def test_mention_requires_fields(spark, field):
     assert typed(mentions(spark, author="")).valid.count() == 1
 
 
+def test_unreadable_flag_is_refused(spark):
+    checked = typed(mentions(spark, bookmarked="maybe"))
+    assert [r[REASON] for r in checked.rejects.collect()] == ["bookmarked"]
+    assert typed(mentions(spark, bookmarked="true")).valid.first().bookmarked is True
+    assert "_readable" not in checked.rejects.columns
+
+
 def test_wrapped_event_json(spark):
     wrapped = project.wrap_event(typed(mentions(spark)).valid.select("url", "title", "image_url", "timestamp", "bookmarked"))
     line = wrapped.select(project.json_line(wrapped).alias("v")).first().v

@@ -22,9 +22,18 @@ NOT_TIMED = {n: t for n, t in MENTION_TABLE.items() if n not in ("timestamp", "b
 
 def typed(rows: DataFrame) -> Checked:
     """Mentions with their fields named, defaulted and timed; rows without a required field are refused."""
-    named = align_schema(mention_defaults(resolve_spellings(rows)), MENTION)
-    timed = named.withColumn("timestamp", event_timestamp(F.col("timestamp")))
-    return check(timed, [*required_rules(NOT_TIMED), (F.col("timestamp").isNotNull(), "timestamp")])
+    named = resolve_spellings(rows)
+    flag_given = "bookmarked" in named.columns
+    readable = "bookmarked IS NULL OR try_cast(bookmarked AS boolean) IS NOT NULL" if flag_given else "true"
+    defaulted = mention_defaults(named.withColumn("_readable", F.expr(readable)))
+    aligned = align_schema(defaulted, f"{MENTION}, _readable boolean")
+    rules = [
+        *required_rules(NOT_TIMED),
+        (F.col("timestamp").isNotNull(), "timestamp"),
+        (F.col("_readable"), "bookmarked"),
+    ]
+    checked = check(aligned.withColumn("timestamp", event_timestamp(F.col("timestamp"))), rules)
+    return checked.then(lambda valid: valid.drop("_readable"), lambda rejects: rejects.drop("_readable"))
 
 
 def newest_per_url(mentions: DataFrame) -> DataFrame:

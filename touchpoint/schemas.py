@@ -13,7 +13,6 @@ MENTION = (
     "source_id string, author string, author_avatar_url string, author_profile_link string, "
     "relevance_score string, relevance_comment string, language string, keyword string, bookmarked boolean"
 )
-MENTION_EVENT = f"action string, data struct<{MENTION.replace(' string', ': string').replace(' boolean', ': boolean')}>"
 CALL_EVENT = (
     "id bigint, recording struct<url: string, duration_in_minutes: double>, "
     "meeting struct<scheduled_start_time: timestamp, scheduled_end_time: timestamp, "

@@ -19,7 +19,7 @@ from touchpoint.operators.joins import bounded_broadcast
 from touchpoint.operators.keys import running_total
 from touchpoint.operators.validate import REASON, Checked, check, split_checked
 from touchpoint.paths import is_folder, open_input
-from touchpoint.schemas import struct_type
+from touchpoint.schemas import SPEAKER_STORAGE, struct_type
 
 CORRUPT = "_corrupt_record"
 LINE_ENDS = "\\r\\n|\\r|\\n"
@@ -217,6 +217,19 @@ def read_json_lines(spark: SparkSession, path: str, schema: str, required: tuple
     )
 
 
+def read_speakers(spark: SparkSession, path: str) -> DataFrame:
+    """Speakers of the dimension file, a document with one list: (idx, name, email, aliases).
+
+    ``idx`` is the place in the list, which decides between equal names. A document that is
+    malformed or not of this shape fails the job.
+    """
+    document = spark.read.schema(SPEAKER_STORAGE).options(multiLine="true", mode="FAILFAST").json(path)
+    listed = document.select(F.posexplode("speakers_internal").alias("idx", "speaker"))
+    return listed.select("idx", "speaker.*").withColumn(
+        "aliases", F.coalesce("aliases", F.array().cast("array<string>"))
+    )
+
+
 def require_suffix(path: str, suffix: str) -> str:
     if not path.lower().endswith(suffix):
         raise ValueError(f"not a {suffix} file: {path}")
