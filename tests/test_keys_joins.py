@@ -81,17 +81,20 @@ def test_counts_by_source(spark):
     assert values(keys.counts_by_source(df, "source")) == [("a", 2, 1), ("b", 1, 1), (None, 3, 2)]
 
 
-def test_bounded_broadcast(spark):
+def test_only_small_frames_are_broadcast(spark, monkeypatch):
     df = spark.range(100).withColumn("v", F.repeat(F.lit("x"), 100))
-
-    def hinted(frame):
-        return "broadcast" in frame._jdf.queryExecution().logical().toString()
-
-    assert hinted(joins.bounded_broadcast(df, 100, 1 << 20))
-    assert not hinted(joins.bounded_broadcast(df, 99, 1 << 20))
-    assert not hinted(joins.bounded_broadcast(df, 100, 1000))
+    assert joins.is_small(df, 100, 1 << 20)
+    assert not joins.is_small(df, 99, 1 << 20)
+    assert not joins.is_small(df, 100, 1000)
     with pytest.raises(ValueError, match="nothing"):
-        joins.bounded_broadcast(df.where("false"), required="nothing")
+        joins.is_small(df.where("false"), required="nothing")
+    rows = spark.range(90, 110, 1, 4)
+    expected = sorted((r.id, r.v) for r in rows.join(df, "id", "left").collect())
+    for limit in (joins.BROADCAST_ROWS, 10):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+        joined = joins.lookup_join(rows, df, "id")
+        hinted = "ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()
+        assert hinted == (limit > 10) and sorted((r.id, r.v) for r in joined.collect()) == expected
 
 
 SPEAKERS = [
@@ -104,7 +107,7 @@ SPEAKERS = [
 
 @pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
 def test_resolve_names(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins.bounded_broadcast, "__defaults__", (limit, joins.BROADCAST_BYTES, None))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
     speakers = spark.createDataFrame(SPEAKERS, "idx int, name string, email string, aliases array<string>")
     cases = {
         "john doe": "last@example.com", "JD": "bob@example.com", "johnny": "first@example.com", "Alice": "bob@example.com",

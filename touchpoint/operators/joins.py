@@ -9,25 +9,40 @@ from pyspark.sql import functions as F
 
 from touchpoint.operators.keys import latest_per_key
 
-# A dimension is broadcast only below both limits.
+# A dimension is broadcast only below both limits; beyond them its join is salted.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+SALTS = 32
 
 
-def bounded_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES, required: str | None = None
-) -> DataFrame:
-    """Mark ``df`` for broadcast when it is proven small, else return it unchanged.
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None, required: str | None = None) -> bool:
+    """Whether ``df`` is proven to fit both limits; at most ``max_rows + 1`` of its rows are looked at.
 
-    The check counts at most ``max_rows + 1`` rows and their size. An unmarked frame is joined by
-    shuffle, where adaptive execution splits skewed keys of the other side. With ``required`` an
-    empty frame is an error of that text.
+    With ``required`` an empty frame is an error of that text.
     """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
     rows = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("size"))
     measured = rows.agg(F.count("size").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
     if required and measured["n"] == 0:
         raise ValueError(required)
-    return F.broadcast(df) if measured["n"] <= max_rows and measured["b"] <= max_bytes else df
+    return measured["n"] <= max_rows and measured["b"] <= max_bytes
+
+
+def lookup_join(df: DataFrame, dimension: DataFrame, key: str, required: str | None = None) -> DataFrame:
+    """Left join to a dimension with one row per key.
+
+    A small dimension is broadcast. A larger one is copied once per salt and joined on (key, salt),
+    so the rows of a hot key are spread over as many tasks. The salt is the number of a row's
+    partition: the same when a task is repeated. Adaptive execution alone would not do: a dimension
+    that was just reduced to one row per key is joined without a shuffle of its own, and then Spark
+    splits neither side.
+    """
+    if is_small(dimension, required=required):
+        return df.join(F.broadcast(dimension), key, "left")
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
 def alias_map(speakers: DataFrame, position: str) -> DataFrame:
@@ -47,13 +62,10 @@ def resolve_names(df: DataFrame, name: str, speakers: DataFrame, position: str,
 
     The name is compared in lower case and is not trimmed. An empty speaker list is an error.
     """
-    lookup = bounded_broadcast(alias_map(speakers, position), required="the speaker dimension is empty")
-    return (
-        df.withColumn("lookup_name", F.lower(name))
-        .join(lookup.withColumnRenamed("email", "_email"), "lookup_name", "left")
-        .withColumn(out, F.coalesce("_email", name))
-        .drop("lookup_name", "_email")
-    )
+    lookup = alias_map(speakers, position).withColumnRenamed("email", "_email")
+    named = df.withColumn("lookup_name", F.lower(name))
+    found = lookup_join(named, lookup, "lookup_name", "the speaker dimension is empty")
+    return found.withColumn(out, F.coalesce("_email", name)).drop("lookup_name", "_email")
 
 
 def stack_frames(frames: list[DataFrame]) -> DataFrame:

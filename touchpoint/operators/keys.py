@@ -4,6 +4,8 @@ Sizes: every operator here shuffles on the key and keeps at most one row per key
 the shuffle (``row_number() <= k`` gets a partial group limit, ``distinct`` a partial aggregate), so
 a key that holds a large part of the rows does not load one task. Joins are plain equi joins: with
 adaptive execution Spark broadcasts a side it has measured to be small and splits skewed left sides.
+It can split only when both sides are shuffled for the join, so pass key tables as they are scanned,
+repeated keys included, rather than their distinct keys.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from touchpoint.functions.text import strip
-from touchpoint.operators.joins import bounded_broadcast
+from touchpoint.operators.joins import lookup_join
 from touchpoint.operators.keys import running_total
 from touchpoint.operators.validate import REASON, Checked, check, split_checked
 from touchpoint.paths import is_folder, open_input
@@ -125,7 +125,7 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -
         .csv(folder)
         .select(F.array(*values).alias("_values"), file_origin("file_name").alias("_file"))
     )
-    laid_out = rows.join(bounded_broadcast(headers), "_file", "left")
+    laid_out = lookup_join(rows, headers, "_file")
 
     def named(name: str) -> Column:
         place = F.array_position("_names", name).cast("int")
@@ -150,7 +150,7 @@ def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checke
         )
     )
     stemmed = rows.drop("event_url").withColumn("_stem", file_stem(F.col("_file")))
-    joined = stemmed.join(bounded_broadcast(sidecars), "_stem", "left")
+    joined = lookup_join(stemmed, sidecars, "_stem")
     reason = (
         F.when(F.col("_malformed").isNull(), "required metadata file not found")
         .when(F.col("_malformed"), "malformed metadata file")
