@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle import compare, connect
+from touchpoint.catalog import oracle_sql, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
