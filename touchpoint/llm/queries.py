@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import jaccard
+from touchpoint.llm import jaccard, suffixes
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose sets of 4-word shingles share 85 %, as components."""
     rows, _ = jaccard.similar_classes(table(spark, sf_dir, "documents"), percent=85, k=4)
     return rows.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents covered by a 200-byte string that starts at several places."""
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
