@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import jaccard, suffixes
+from touchpoint.llm import jaccard, quality, suffixes
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of documents covered by a 200-byte string that starts at several places."""
     cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.train(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
+    scored = quality.score(docs, trees).withColumn("held_out", quality.held_out())
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
