@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import jaccard, quality, suffixes
+from touchpoint.llm import decontaminate, jaccard, packing, quality, suffixes
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = quality.train(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
     scored = quality.score(docs, trees).withColumn("held_out", quality.held_out())
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op6_decontaminate")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items of which a document has 80 % of the 5-word shingles."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_pack")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 2048 tokens."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "context_size", "step_id")
