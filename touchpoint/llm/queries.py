@@ -75,3 +75,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 tokens."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "context_size", "step_id")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

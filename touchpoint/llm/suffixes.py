@@ -327,11 +327,13 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """Every input row with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (the bytes left).
+    """Every input row with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept`` (the bytes left) and ``kept_text``.
+
+    ``kept_text`` leaves out characters of which only some bytes are kept.
 
     The columns of ``docs`` are kept, but those of these names, ``row_key`` and ``spans`` are replaced.
     """
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
     docs = with_row_key(docs.drop(*added, "row_key", "spans"))
     spans = written(repeated_spans(docs, length), "spans")
     names = [c for c in docs.columns if c != "row_key"]
@@ -343,7 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
         clean, cut = both.where("spans is null").drop("spans"), both.where("spans is not null")
     clean = clean.select(
         *names, F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
-        F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.encode("text", "UTF-8").alias("kept"),
+        F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.encode("text", "UTF-8").alias("kept"), F.col("text").alias("kept_text"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,9 +358,9 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
                 gone = merged(found.as_py())
                 edges = [0, *(e for span in gone for e in span), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                rows.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
+                rows.append((len(data), len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept, kept.decode(errors="ignore")))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
             columns += [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
