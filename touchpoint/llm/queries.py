@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import decontaminate, jaccard, packing, quality, suffixes
+from touchpoint.llm import decontaminate, jaccard, licenses, packing, quality, suffixes
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op9_licenses")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return licenses.summarize(licenses.scan(table(spark, sf_dir, "documents")))
