@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import decontaminate, jaccard, licenses, packing, quality, suffixes
+from touchpoint.llm import decontaminate, jaccard, licenses, neighbours, packing, quality, suffixes
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and labels of every document."""
     return licenses.summarize(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op10_neighbours")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors by cosine of every vector whose id is divisible by 50."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
