@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import decontaminate, jaccard, licenses, neighbours, packing, quality, suffixes
+from touchpoint.llm import decontaminate, html, jaccard, licenses, neighbours, packing, quality, suffixes
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors by cosine of every vector whose id is divisible by 50."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op4_html_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html.main_text(pages, html.train(pages))
