@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import decontaminate, html, jaccard, licenses, neighbours, packing, quality, suffixes
+from touchpoint.llm import decontaminate, html, jaccard, licenses, neighbours, packing, quality, substrings, suffixes, tokens
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return html.main_text(pages, html.train(pages))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the unigram vocabulary of the public 32k pieces."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query("op2_near_passages")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that occur in another document with 80 % of their 5-word shingles."""
+    return substrings.near_passages(table(spark, sf_dir, "documents"))
