@@ -219,11 +219,11 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     keywords = sorted({r.keyword for r in rules})
     df = docs.select("doc_id", words_of(F.col("text")).alias("_words"))
     words = F.col("_words")
-    count = F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) - 1
+    count = F.when(words == "  ", 0).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) - 1)
     gate = F.lit(False)
     for word in GATES:
         gate = gate | F.contains(words, F.lit(word))
-    df = df.select("doc_id", F.greatest(count, F.lit(0)).cast("bigint").alias("n_words"), F.when(gate, words).alias("_words"))
+    df = df.select("doc_id", count.cast("bigint").alias("n_words"), F.when(gate, words).alias("_words"))
     present = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(words, k))
     active = F.filter(_array(list(enumerate(rules))), lambda r: F.array_contains(present, r["keyword"]))
     df = df.select("doc_id", "n_words", _detections(words, _array(base)).alias("base"), _detections(words, active).alias("_found"))
