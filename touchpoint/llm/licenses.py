@@ -113,7 +113,7 @@ SINGLE = [
     Rule("ruby", f"ruby {_LICENSE}", "ruby", 30),
     Rule("perl", f"(?:same terms as perl|perl (?:5 )?{_LICENSE})(?: [^ ]+){{0,6}}? {_LICENSE}|perl {_LICENSE}", "perl", 30),
     Rule("vim", f"vim {_LICENSE}", "vim", 30),
-    Rule("wtfpl", f"wtfpl {_LICENSE}|do what the [^ ]+ you want to public {_LICENSE}", "wtfpl", 30),
+    Rule("wtfpl", f"wtfpl {_LICENSE}", "wtfpl", 30),
     Rule("do what", f"do what the [^ ]+ you want to public {_LICENSE}", "wtfpl", 30),
     Rule("unlicense", "(?:the )?unlicense", "unlicense", 30),
     Rule("public domain", "(?:released|dedicated|placed|donated) (?:in|into|to) the public domain", "public-domain", 40),
@@ -149,13 +149,13 @@ def _version(text: str) -> str:
 def build_rules() -> list[Rule]:
     """All rules in order: versions with and without "or later" or "only", Creative Commons, single signatures."""
     rules = []
-    endings = ((" or (?:any )?later(?: version)?| or \\(?at your option\\)? any later version", "-or-later", 8), (" only", "-only", 8), ("", "", 0))
+    endings = ((" or (?:any )?later(?: version)?| or at your option any later version", "-or-later", 8), (" only", "-only", 8), ("", "", 0))
     for (label, keyword, long, short, versions), (ending, suffix, more) in product(VERSIONED, endings):
         if suffix and label not in ("gpl", "lgpl", "agpl", "gfdl"):
             continue
         for version in versions:
             name = long if long else short
-            between = f"(?: {_ANY_VERSION}| ?v)" if short else f",? {_ANY_VERSION}"
+            between = f"(?: {_ANY_VERSION}| ?v)" if short else f"(?: {_ANY_VERSION}| v)"
             tail = f"(?:{ending})" if ending else ""
             rules.append(Rule(keyword, f"{name}{between}{_version(version)}{tail}", f"{label}-{version}{suffix}", 50 + more))
     for (label, long, short), version in product(CC_TERMS, CC_VERSIONS):
