@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from touchpoint.llm import rolling
 from touchpoint.llm.components import components
 from touchpoint.llm.rolling import U64, mix
-from touchpoint.llm.scratch import broadcast_if_few, written
+from touchpoint.llm.scratch import BROADCAST_ROWS, broadcast_if_few, written
 
 SKETCH_WORDS = 4
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
@@ -236,20 +236,44 @@ def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFram
     wide = split.select(F.col("a").alias("node")).join(near, "node").select("component").distinct()
     nodes = near.join(wide, "component", "left_semi").select(F.col("node").alias("doc_id"))
     nodes = nodes.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-    nodes = written(nodes, "open")
+    nodes = broadcast_if_few(written(nodes, "open"))
+    wanted = docs.select("doc_id", "text").join(nodes, "doc_id").select("doc_id", "text", "component")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, int, int]]:
+        for batch in batches:
+            component = iter(batch.column(2).to_pylist())
+            for doc_id, hashes in _sets(iter([batch]), k, table):
+                with np.errstate(over="ignore"):
+                    keys = np.unique(layouts.keys(hashes)).view(np.int64) if len(hashes) else np.zeros(0, np.int64)
+                yield keys, doc_id, next(component)
+
+    def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each key and component once per task, so that a hot key has few rows."""
+        held, size = [], 0
+
+        def send() -> pa.RecordBatch:
+            rows = np.unique(np.concatenate(held), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["key", "component"])
+
+        for keys, _, component in keyed(batches):
+            held.append(np.stack((keys, np.full(len(keys), component)), axis=1))
+            size += len(keys)
+            if size >= FLUSH_KEYS:
+                yield send()
+                held, size = [], 0
+        if held:
+            yield send()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_id, hashes in _sets(batches, k, table):
-            with np.errstate(over="ignore"):
-                keys = np.unique(layouts.keys(hashes)).view(np.int64) if len(hashes) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc_id, np.int64))], ["key", "doc_id"])
+    def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, doc_id, component in keyed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc_id)), pa.array(np.full(len(keys), component))], ["key", "doc_id", "component"])
 
-    wanted = docs.select("doc_id", "text").join(broadcast_if_few(nodes.select("doc_id")), "doc_id", "left_semi")
-    rows = wanted.mapInArrow(run, "key bigint, doc_id bigint").join(nodes, "doc_id")
+    spread = wanted.mapInArrow(labels, "key bigint, component bigint").groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("two"))
+    mixed = written(spread.where("one <> two").select("key"), "mixed")
+    rows = wanted.mapInArrow(members_of, "key bigint, doc_id bigint, component bigint").join(broadcast_if_few(mixed, 4 * BROADCAST_ROWS), "key", "left_semi")
     rows = written(rows, "open_keys")
     counts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    main = written(main.select("key", "main"), "main")
+    main = written(counts.groupBy("key").agg(F.max_by("component", "n").alias("main")), "main")
     sketches = classes.where("doc_id = rep").select("doc_id", "n_shingles", *SKETCH).distinct()
     members = written(rows.join(main, "key").join(sketches, "doc_id").select("key", "main", "component", "doc_id", "n_shingles", *SKETCH), "members")
     sides = {s: members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("main", "component", "doc_id", "n_shingles", *SKETCH)]) for s in ("a", "b")}

@@ -24,9 +24,9 @@ def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.count() <= limit
 
 
-def broadcast_if_few(df: DataFrame) -> DataFrame:
+def broadcast_if_few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a written table of narrow rows for broadcast if its counted size allows it."""
-    return F.broadcast(df) if few_rows(df) else df
+    return F.broadcast(df) if few_rows(df, limit) else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
