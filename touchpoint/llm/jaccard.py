@@ -58,7 +58,15 @@ class Layouts:
         self.starts = np.array(starts, np.int64)
         top = self.starts[1:] - 1
         self.most = (100 - percent) * 2 * top // (100 + percent)
-        self.words = self.most + 1 + self.most // 32
+        self.words = self._words(self.starts[:-1] * percent / 100)
+
+    def _words(self, least: np.ndarray) -> np.ndarray:
+        """Words per band: more than t by the empty words to be expected in a set of the least size, at most by a quarter."""
+        words = self.most + 1
+        for _ in range(8):
+            empty = words * np.exp(-np.maximum(least, 1) / words)
+            words = np.minimum(np.ceil(self.most + 1 + empty + 2 * np.sqrt(empty)), (self.most + 1) * 5 // 4 + 1).astype(np.int64)
+        return np.where(self.most > 0, words, 1)
 
     def of(self, size: int) -> list[int]:
         """Layouts of a set: its own band's, and the next one's if a partner may be there."""
