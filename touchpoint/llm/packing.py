@@ -22,6 +22,8 @@ null doc_id is kept. An empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BLOCK_TOKENS = 4_000_000
-#: Chunks whose ids a task remembers.
-CACHE_CHUNKS = 200_000
+#: Chunks, and parts of chunks, whose ids a task remembers.
+CACHE_CHUNKS = 600_000
 TIERS_BELOW = 5
 STEP_TOKENS = 1 << 17
 
@@ -43,29 +45,78 @@ SCHEMA = (
 
 
 class ChunkIds(dict):
-    """Token ids of chunks, as little-endian unsigned 32-bit integers."""
+    """Token ids of chunks, as little-endian unsigned 32-bit integers.
+
+    A chunk of letters between ASCII marks is put together from its parts: the splitter separates letters from marks
+    (but for apostrophes and special tokens, whose chunks stay whole). Unknown parts are encoded many at a time; their
+    ids are told apart by the end-of-word mark that every part's last token carries.
+    """
+
+    _PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.parts: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of one word each, encoded as one text; one by one if a part is more than one word after all."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(parts):
+            return self._each(parts)
+        raw = ids.tobytes()
+        return [raw[4 * x:4 * y] for x, y in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
     def learn(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self]
         if len(self) + len(new) > CACHE_CHUNKS:
             self.clear()
             new = list(chunks)
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            for chunk, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self[chunk] = np.array(got.ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text: chunks between spaces and line feeds are independent."""
-        chunks = text.replace("\n", " ").split(" ")
-        self.learn(set(chunks))
-        return b"".join(map(self.__getitem__, chunks))
+        if len(self.parts) > CACHE_CHUNKS:
+            self.parts = {"": b""}
+        cut, whole, match, known = [], [], self._PARTS.fullmatch, self.parts
+        for chunk in new:
+            found = match(chunk)
+            if found and "<|" not in chunk:
+                before, letters, after = found.groups()
+                cut.append((chunk, before, letters.lower() if letters.isascii() else letters, after))
+            else:
+                whole.append(chunk)
+        unknown = list({part for row in cut for part in row[1:] if part not in known})
+        for at in range(0, len(unknown), 1_000):
+            part = unknown[at:at + 1_000]
+            known.update(zip(part, self._together(part), strict=True))
+        for chunk, before, letters, after in cut:
+            self[chunk] = known[before] + known[letters] + known[after]
+        self.update(zip(whole, self._each(whole), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts: chunks between spaces and line feeds are independent."""
+        chunks = [text.replace("\n", " ").split(" ") for text in texts]
+        self.learn(set().union(*chunks))
+        return [b"".join(map(self.__getitem__, c)) for c in chunks]
+
+
+def _groups(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
+    """Texts in groups of about a million characters."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text)
+        held += len(text)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 def pack(lengths: list[int], longest: int) -> list[list[tuple[int, int, int]]]:
@@ -171,18 +222,27 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, longes
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[at:at + 20_000], strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # millions of strings and no cycles; the collector would walk them again and again
+        try:
+            yield from packed(batches)
+        finally:
+            gc.enable()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, cache, end = TaskContext.get().partitionId(), ChunkIds(tokenizer_path), np.array([end_id], "<u4").tobytes()
         ids, tokens, held, block = [], [], 0, 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids.append(doc_id)
-                tokens.append(cache.encode(text.as_py() or "") + end)
-                held += len(tokens[-1]) // 4
-                if held >= BLOCK_TOKENS:
-                    yield from emit(ids, tokens, task, block)
-                    ids, tokens, held, block = [], [], 0, block + 1
+            own = iter(batch.column(0).to_pylist())
+            for group in _groups([t or "" for t in batch.column(1).to_pylist()]):
+                for encoded in cache.encode(group):
+                    ids.append(next(own))
+                    tokens.append(encoded + end)
+                    held += len(tokens[-1]) // 4
+                    if held >= BLOCK_TOKENS:
+                        yield from emit(ids, tokens, task, block)
+                        ids, tokens, held, block = [], [], 0, block + 1
         if ids:
             yield from emit(ids, tokens, task, block)
 
