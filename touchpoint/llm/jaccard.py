@@ -14,6 +14,8 @@ difference is at most t = (100 - percent) * (a + b) / (100 + percent).
   has all its shingles as keys, so that two such documents still meet. No similar pair is lost.
 * **A second, 256-bit parity sketch** per document (each shingle flips one bit) has a Hamming distance
   that never exceeds the symmetric difference either; pairs above t are dropped before verification.
+  Then all parity words of the larger document's layout are compared, by 16 bits each: pairs that differ in more than t
+  words are dropped as well. Both bounds are exact, so they drop no similar pair.
 * **Verification** intersects the whole shingle sets of the pairs that remain.
 
 Groups: documents with the same shingle set are one class, represented by its smallest doc_id. Under a
@@ -68,6 +70,21 @@ class Layouts:
             words = np.minimum(np.ceil(self.most + 1 + empty + 2 * np.sqrt(empty)), (self.most + 1) * 5 // 4 + 1).astype(np.int64)
         return np.where(self.most > 0, words, 1)
 
+    def _dealt(self, hashes: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+        """Non-empty words of a set: their numbers and the XOR of their hashes."""
+        word = ((hashes >> U64(32)) * U64(int(self.words[band]))) >> U64(32)
+        order = np.argsort(word, kind="stable")
+        word = word[order]
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        return word[first], np.bitwise_xor.reduceat(hashes[order], first)
+
+    def short_words(self, hashes: np.ndarray, band: int) -> np.ndarray:
+        """All words of a layout by 16 bits; empty ones are 0."""
+        out = np.zeros(int(self.words[band]), np.int16)
+        number, parity = self._dealt(hashes, band)
+        out[number.astype(np.int64)] = (mix(parity) >> U64(48)).astype(np.uint16).view(np.int16)
+        return out
+
     def of(self, size: int) -> list[int]:
         """Layouts of a set: its own band's, and the next one's if a partner may be there."""
         own = int(np.searchsorted(self.starts, size, "right")) - 1
@@ -77,14 +94,9 @@ class Layouts:
         """Join keys of a distinct, non-empty shingle set."""
         out = []
         for band in self.of(len(hashes)):
-            n_words = int(self.words[band])
-            word = ((hashes >> U64(32)) * U64(n_words)) >> U64(32)
-            order = np.argsort(word, kind="stable")
-            word = word[order]
-            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            parity = np.bitwise_xor.reduceat(hashes[order], first)
-            out.append(mix(parity ^ mix(word[first] * U64(4096) + U64(2 * band + 2))))
-            if len(first) <= self.most[band]:
+            number, parity = self._dealt(hashes, band)
+            out.append(mix(parity ^ mix(number * U64(4096) + U64(2 * band + 2))))
+            if len(number) <= self.most[band]:
                 out.append(mix(hashes + U64(2 * band + 1)))
         return np.concatenate(out)
 
@@ -211,22 +223,69 @@ def _near(percent: int):
     return distance * (100 + percent) <= (F.col("n_shingles_a") + F.col("n_shingles_b")) * (100 - percent)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, percent: int, k: int, table: np.ndarray) -> DataFrame:
-    """The pairs whose whole shingle sets are similar; each set is read once, only for documents in a pair."""
+def _batch(rows: list[tuple[int, int, np.ndarray]], kind: pa.DataType, names: list[str]) -> pa.RecordBatch:
+    """One batch of ``(doc_id, number, values)`` rows."""
+    offsets = np.cumsum([0, *(len(v) for _, _, v in rows)])
+    values = pa.array(np.concatenate([v for _, _, v in rows]), kind)
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], names)
+
+
+def _of_needed(docs: DataFrame, pairs: DataFrame, make, kind: pa.DataType, spark_kind: str, k: int, table: np.ndarray) -> DataFrame:
+    """``(doc_id, number, values)`` rows that ``make`` gives for the shingle sets of the documents in a pair."""
     needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "needed")
+    names = ["doc_id", "number", "values"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for doc_id, hashes in _sets(batches, k, table):
-            values = pa.array(hashes.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.ListArray.from_arrays([0, len(values)], values)], ["doc_id", "hashes"])
+            for number, values in make(hashes):
+                rows.append((doc_id, number, values))
+                size += len(values)
+            if size >= 200_000:
+                yield _batch(rows, kind, names)
+                rows, size = [], 0
+        if rows:
+            yield _batch(rows, kind, names)
 
     wanted = docs.select("doc_id", "text").join(broadcast_if_few(needed), "doc_id", "left_semi")
-    sets = written(wanted.mapInArrow(run, "doc_id bigint, hashes array<bigint>"), "sets")
-    both = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
-    both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
+    return written(wanted.mapInArrow(run, f"doc_id bigint, number int, values array<{spark_kind}>"), "values")
+
+
+def _plausible(docs: DataFrame, pairs: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> DataFrame:
+    """The pairs that do not differ in more than t parity words of the larger document's layout.
+
+    Words are compared by 16 bits: equal bits of different words only let a pair pass.
+    """
+
+    def make(hashes: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        with np.errstate(over="ignore"):
+            return [(band, layouts.short_words(hashes, band)) for band in layouts.of(len(hashes))] if len(hashes) else []
+
+    words = _of_needed(docs, pairs, make, pa.int16(), "smallint", k, table)
+    starts = F.array(*[F.lit(int(x)) for x in layouts.starts])
+    number = (F.size(F.filter(starts, lambda x: x <= F.col("largest"))) - 1).alias("number")
+    both = pairs.select("a", "b", "total", number)
+    for side, name in (("a", "x"), ("b", "y")):
+        both = both.join(words.select(F.col("doc_id").alias(side), "number", F.col("values").alias(name)), [side, "number"])
+    differ = F.size(F.filter(F.zip_with("x", "y", lambda x, y: x != y), lambda z: z))
+    return both.where(differ * (100 + layouts.percent) <= F.col("total") * (100 - layouts.percent)).select("a", "b").distinct()
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> DataFrame:
+    """The pairs whose whole shingle sets are similar; only sets of plausible pairs are read and sent."""
+    pairs = written(_plausible(docs, pairs, layouts, k, table), "plausible")
+    sets = _of_needed(docs, pairs, lambda hashes: [(0, hashes.view(np.int64))], pa.int64(), "bigint", k, table)
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("values").alias("x")), "a")
+    both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("values").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     both = both.select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y") - shared).alias("union"))
-    return both.where(F.col("shared") * 100 >= F.col("union") * percent).select("a", "b")
+    return both.where(F.col("shared") * 100 >= F.col("union") * layouts.percent).select("a", "b")
+
+
+def _sizes() -> list:
+    """What the filters need to know of the two set sizes."""
+    one, two = F.col("n_shingles_a"), F.col("n_shingles_b")
+    return [(one + two).alias("total"), F.greatest(one, two).alias("largest")]
 
 
 def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> DataFrame | None:
@@ -288,7 +347,7 @@ def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFram
     ratio = F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * layouts.percent
     minor = sides["a"].where("component_a <> main_a")
     on = (minor["key"] == sides["b"]["key"]) & (F.col("component_a") != F.col("component_b")) & ratio & _near(layouts.percent)
-    met = minor.join(sides["b"], on).select(F.greatest("doc_id_a", "doc_id_b").alias("a"), F.least("doc_id_a", "doc_id_b").alias("b"))
+    met = minor.join(sides["b"], on).select(F.greatest("doc_id_a", "doc_id_b").alias("a"), F.least("doc_id_a", "doc_id_b").alias("b"), *_sizes())
     return written(met.distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "hidden")
 
 
@@ -303,9 +362,9 @@ def similar_classes(docs: DataFrame, percent: int = 80, k: int = 5, table: np.nd
     classes = written(_classes(written(describe(docs, k, table), "described")), "classes")
     known = written(_as_classes(_candidates(docs, layouts, k, table), classes), "pairs")
     pairs = known.select("a", "b")
-    links = written(_verified(docs, known.where(_near(percent)), percent, k, table), "verified")
+    links = written(_verified(docs, known.where(_near(percent)).select("a", "b", *_sizes()), layouts, k, table), "verified")
     if (hidden := _rest(docs, pairs, links, classes, layouts, k, table)) is not None:
-        links = written(links.union(_verified(docs, hidden, percent, k, table)), "verified")
+        links = written(links.union(_verified(docs, hidden, layouts, k, table)), "verified")
     joined = written(components(links), "joined")
     rows = classes.join(joined, classes["rep"] == joined["node"], "left").select(
         "doc_id", "n_shingles", "rep", F.coalesce("component", "rep").alias("component_id")
