@@ -205,18 +205,20 @@ def _kept(found: Column) -> Column:
     return F.filter(found, lambda d: ~F.exists(found, lambda e: beats(e, d)))
 
 
-def _array(rules: list[tuple[int, Rule]]) -> Column:
-    return F.array(*[
-        F.struct(F.lit(r.keyword).alias("keyword"), F.lit(_whole_words(r.pattern)).alias("pattern"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(i).alias("number"))
-        for i, r in rules
-    ])
+def _active(words: Column, rules: list[tuple[int, Rule]]) -> Column:
+    """The rules whose keyword the words contain; each keyword is looked for once."""
+    by_keyword: dict[str, list[Column]] = {}
+    for i, r in rules:
+        rule = F.struct(F.lit(_whole_words(r.pattern)).alias("pattern"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(i).alias("number"))
+        by_keyword.setdefault(r.keyword, []).append(rule)
+    groups = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*own).alias("rules")) for k, own in sorted(by_keyword.items())])
+    return F.flatten(F.transform(F.filter(groups, lambda g: F.contains(words, g["keyword"])), lambda g: g["rules"]))
 
 
 def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """doc_id, n_words, base and detections (arrays of first, last, priority, number, label) of every row."""
     rules = build_rules() if rules is None else rules
-    base = [(i, Rule(phrase.split()[0], phrase, label, 0)) for i, (phrase, label) in enumerate(BASE.items())]
-    keywords = sorted({r.keyword for r in rules})
+    base = [(i, Rule(phrase, phrase, label, 0)) for i, (phrase, label) in enumerate(BASE.items())]
     df = docs.select("doc_id", words_of(F.col("text")).alias("_words"))
     words = F.col("_words")
     count = F.when(words == "  ", 0).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) - 1)
@@ -224,9 +226,8 @@ def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     for word in GATES:
         gate = gate | F.contains(words, F.lit(word))
     df = df.select("doc_id", count.cast("bigint").alias("n_words"), F.when(gate, words).alias("_words"))
-    present = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(words, k))
-    active = F.filter(_array(list(enumerate(rules))), lambda r: F.array_contains(present, r["keyword"]))
-    df = df.select("doc_id", "n_words", _detections(words, _array(base)).alias("base"), _detections(words, active).alias("_found"))
+    found, base_found = (F.when(words.isNotNull(), _detections(words, _active(words, r))) for r in (list(enumerate(rules)), base))
+    df = df.select("doc_id", "n_words", base_found.alias("base"), found.alias("_found"))
     return df.select("doc_id", "n_words", "base", _kept(F.col("_found")).alias("detections"))
 
 
