@@ -1,7 +1,7 @@
 import json
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,13 +16,22 @@ from touchpoint.streaming import landing
 
 
 def test_batches_are_full_but_the_last():
-    frames = [pd.DataFrame({"x": range(n)}) for n in (1, 0, 7, 3, 12)]
-    sizes = [len(c) for c in enrich._chunks(iter(frames), 5)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64())], ["x"]) for n in (1, 0, 7, 3, 12)]
+    sizes = [c.num_rows for c in enrich._chunks(iter(batches), 5)]
     assert sizes == [5, 5, 5, 5, 3]
-    assert [x for c in enrich._chunks(iter(frames), 5) for x in c["x"]] == [0, *range(7), *range(3), *range(12)]
+    assert [x for c in enrich._chunks(iter(batches), 5) for x in c.column(0).to_pylist()] == [0, *range(7), *range(3), *range(12)]
     assert list(enrich._chunks(iter([]), 5)) == []
 
 
+def test_large_integers_beside_nulls_pass_unchanged(spark):
+    rows = spark.createDataFrame([(9007199254740993, "a b"), (None, "c")], "id bigint, body string")
+    assert {r.id for r in enrich.embed_rows(rows, "body", enrich.HashingEmbedder(8)).collect()} == {9007199254740993, None}
+    made = enrich.generate_text(rows, lambda row: None, "no {id}", "text").collect()
+    assert sorted(r.text for r in made) == ["no 9007199254740993", "no None"]
+    asked = enrich.lookup_status(rows, "id", lambda key: 1).collect()
+    assert {r.id for r in asked} == {"9007199254740993", None}
+
+
 def test_refused_batch_is_retried_text_by_text():
     calls = []
 

@@ -28,8 +28,8 @@ def folder(tmp_path):
 
 def test_list_folder(spark, folder):
     path = folder({"a.json": "{}", "b.JSON": "x", "c.txt": "x", "d.jsonl": "x", "sub/e.json": "x", "noext": "x", "zero.json": ""})
-    assert sorted(r.name for r in sources.list_folder(spark, path, [".json", ".jsonl"]).collect()) == ["a.json", "d.jsonl"]
-    assert sources.list_folder(spark, path).count() == 5
+    assert sorted(r.name for r in sources.list_folder(spark, path, [".json", ".jsonl"]).collect()) == ["a.json", "d.jsonl", "zero.json"]
+    assert sources.list_folder(spark, path).count() == 6
     with pytest.raises(FileNotFoundError):
         sources.list_folder(spark, f"{path}/none")
     with pytest.raises(FileNotFoundError):
@@ -52,6 +52,37 @@ def test_csv_headers_are_matched_by_name(spark, folder):
     }
 
 
+def test_csv_folder_loses_nothing(spark, folder):
+    path = folder(
+        {
+            "a.csv": 'name,email\nBo,b@x.com,EXTRA\nCy,c@x.com\nDi\n"E, F",e@x.com\n"G, H",g@x.com,\n',
+            "b.csv": "name,email,company\nIo,i@x.com,co\nJo,j@x.com,co,more,cells\n",
+            "_hidden.csv": "name,email\nKa,k@x.com\n", "zero.csv": "", ".dot.csv": "name\nx\n",
+        }
+    )
+    read = sources.read_csv_rows(spark, path)
+    assert sorted(r.name for r in read.valid.collect()) == ["Cy", "Di", "E, F", "Io"]
+    assert sorted((r.row_key, r.reject_reason) for r in read.rejects.collect()) == [
+        ("a.csv", "3 cells under 2 columns"), ("a.csv", "3 cells under 2 columns"), ("b.csv", "5 cells under 3 columns"),
+    ]
+    assert sorted(r.row_key for r in sources.unread_files(spark, path, [".csv"]).collect()) == [".dot.csv", "_hidden.csv", "zero.csv"]
+    assert sorted(r.name for r in sources.list_folder(spark, path).collect()) == [".dot.csv", "_hidden.csv", "a.csv", "b.csv", "zero.csv"]
+
+
+def test_quoted_commas_in_a_sliced_header(spark, folder):
+    path = folder({"q.csv": 'note\n"a,b",c\n1,2\n"3,4",5\n'})
+    rows = sources.read_csv_slice(spark, f"{path}/q.csv", 1)
+    assert rows.columns == ["line_no", "a,b", "c"]
+    assert sorted(tuple(r)[1:] for r in rows.collect()) == [("1", "2"), ("3,4", "5")]
+
+
+def test_strings_must_be_strings(spark):
+    rows = spark.createDataFrame([('{"s":5}',), ('{"s":{"a":1}}',), ('{"s":[1]}',), ('{"s":true}',), ('{"s":"5"}',), ('{"s":null}',), ("{}",)], "v string")
+    read = sources.parse_json(rows, "v", "s string")
+    assert sorted((r.s or "") for r in read.valid.collect()) == ["", "", "5"]
+    assert [r.reject_reason for r in read.rejects.collect()] == ["s is not a string"] * 4
+
+
 def test_csv_folder_errors(spark, folder):
     with pytest.raises(ValueError, match="no CSV"):
         sources.read_csv_folder(spark, folder({"x.txt": ""}))
@@ -118,7 +149,7 @@ def test_json_lines_number_their_rejects(spark, folder):
     checked = sources.read_json_lines(spark, f"{path}/x.jsonl", DOC, ("name", "value"))
     assert [(r.name, r.value) for r in checked.valid.collect()] == [("a", 1)]
     assert [(r.line_no, r[REASON]) for r in checked.rejects.orderBy("line_no").collect()] == [
-        (4, "missing value"), (5, "not a document of this schema"), (6, sources.TRAILING),
+        (4, "missing value, name is not a string"), (5, "not a document of this schema"), (6, sources.TRAILING),
     ]
     with pytest.raises(ValueError, match=".jsonl"):
         sources.require_suffix("a.json", ".jsonl")
@@ -210,12 +241,27 @@ def test_keyed_table(spark, tmp_path):
         table.upsert(second, 1, [F.desc("t")])
         assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "a"), (2, "B"), (3, "c")]
     table.upsert(second.where("id = 3").withColumn("v", F.lit("C")), 2, [F.desc("t")])
-    compacted = table.compact(str(tmp_path / "u"), 2)
+    compacted = table.compact(str(tmp_path / "u"))
     for current in (table, compacted):
         assert sorted((r.id, r.v) for r in current.read().collect()) == [(1, "a"), (2, "B"), (3, "C")]
     assert sorted(r.id for r in table.keys(first.schema, before=1).collect()) == [1, 2]
     with pytest.raises(AnalysisException):
-        table.compact(str(tmp_path / "u"), 2)
+        table.compact(str(tmp_path / "u"))
+
+
+def test_loads_repeated_after_compaction_lose_nothing(spark, tmp_path):
+    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
+    loads = [spark.range(10 * n, 10 * n + 15).select(F.col("id").cast("int").alias("id"), F.lit(f"load {n}").alias("v")) for n in range(3)]
+    for n, rows in enumerate(loads):
+        table.upsert(rows, n, [F.col("v")])
+    expected = sorted((r.id, r.v) for r in table.read().collect())
+    compacted = table.compact(str(tmp_path / "u"))
+    for _ in range(2):
+        compacted.upsert(loads[2], 2, [F.col("v")])
+        assert sorted((r.id, r.v) for r in compacted.read().collect()) == expected
+    assert sorted(r.id for r in compacted.keys(loads[0].schema, before=2).collect()) == list(range(35))
+    with pytest.raises(ValueError, match="load numbers start at 0"):
+        compacted.upsert(loads[0], -1, [F.col("v")])
 
 
 def test_ledger(spark, tmp_path):

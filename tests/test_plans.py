@@ -127,4 +127,4 @@ def test_profiles_replace_the_table(spark, tmp_path):
     for _ in range(2):
         records.run_profiles(users, "2023-02-28", str(tmp_path / "p"), client)
     rows = {r.id: r.bio for r in spark.read.parquet(str(tmp_path / "p")).collect()}
-    assert rows == {1: "Ann, 22", 2: "Hi, I'm Bo. I enjoy exploring new experiences and connecting with others."}
+    assert rows == {1: "Ann, 22", 2: "Hi, I'm Bo. I enjoy exploring new experiences and connecting with others.", 3: None}

@@ -12,31 +12,31 @@ from touchpoint.operators.enrich import (
 )
 from touchpoint.operators.similarity import cosine_topk
 from touchpoint.operators.validate import status_split
+from touchpoint.sources.tables import spread
 
-TOO_LONG = 15000
+REFUSED = "worthless"
 
 
-class _LimitedEmbedder(HashingEmbedder):
-    """Refuses long texts, as a service with a token limit does."""
+class _ChoosyEmbedder(HashingEmbedder):
+    """Refuses texts with a certain word, as a service refuses some texts."""
 
     def __call__(self, texts):
-        if any(len(t) > TOO_LONG for t in texts):
+        if any(REFUSED in t for t in texts):
             raise RefusedText("the input token count exceeds the limit")
         return super().__call__(texts)
 
 
 @query(
     "e01_embed",
-    f"""WITH t AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents WHERE length(text) <= {TOO_LONG}),
+    f"""WITH t AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM documents WHERE NOT contains(text, '{REFUSED}')),
     c AS (SELECT doc_id, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % 64 AS slot, count(*) AS n FROM t WHERE token <> '' GROUP BY ALL)
     SELECT doc_id, CAST(slot AS BIGINT) AS slot, n, CAST(64 AS BIGINT) AS dim FROM c
-    UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE length(text) > {TOO_LONG}""",
+    UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE contains(text, '{REFUSED}')""",
 )
 def e01(spark, sf):
     """Vectors of all documents as (slot, count); a document the service refuses is one row of nulls."""
     rows = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("body"))
-    slots = spark.sparkContext.defaultParallelism
-    vectors = embed_rows(rows, "body", _LimitedEmbedder(64), parallelism=slots)
+    vectors = embed_rows(spread(rows), "body", _ChoosyEmbedder(64))
     tokens = F.size(F.filter(F.split("body", " "), lambda t: t != ""))
     summed = F.aggregate("embedding", F.lit(0.0), lambda total, value: total + value)
     dim = F.when(F.col("embedding").isNotNull(), F.size("embedding").cast("bigint"))

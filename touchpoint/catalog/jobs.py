@@ -153,17 +153,19 @@ def job_messages(spark, sf):
     f"""{LIST_ROWS_SQL} SELECT id || '-' || lpad(CAST(n AS VARCHAR), 5, '0') AS id, CAST(id AS VARCHAR) AS recording_id, url AS recording_url,
       minutes AS recording_duration_in_minutes, title AS meeting_title, strftime(start_at, '%Y-%m-%d %H:%M:%S') AS meeting_scheduled_start_time,
       d AS meeting_external_domains_domain_name, p AS meeting_invitees_name, p || '@mail.example.com' AS meeting_invitees_email,
-      p = 'red' AS meeting_invitees_is_external, 'host@mail.example.com' AS fathom_user_email
-    FROM e WHERE url LIKE '%/calls/%'""",
+      p = 'red' AS meeting_invitees_is_external, 'host@mail.example.com' AS fathom_user_email, CAST(NULL AS VARCHAR) AS reject_reason
+    FROM e WHERE url LIKE '%/calls/%'
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'no recording id in url' FROM lc WHERE url NOT LIKE '%/calls/%'""",
 )
 def job_calls_flat(spark, sf):
-    rows = calls.flat_rows(roles.list_calls(spark, sf)).valid
-    return rows.select(
+    built = calls.flat_rows(roles.list_calls(spark, sf))
+    rows = built.valid.select(
         "id", "recording_id", "recording_url", "recording_duration_in_minutes", "meeting_title",
         ts_text(F.col("meeting_scheduled_start_time")).alias("meeting_scheduled_start_time"),
         "meeting_external_domains_domain_name", "meeting_invitees_name", "meeting_invitees_email",
         "meeting_invitees_is_external", "fathom_user_email",
     )
+    return rows.unionByName(built.rejects.select("reject_reason"), allowMissingColumns=True)
 
 
 @query(

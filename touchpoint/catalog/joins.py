@@ -71,7 +71,7 @@ def j04(spark, sf):
 )
 def j06(spark, sf):
     transactions = roles.transactions(spark, sf)
-    return joins.pair_receipts(receipts_of(transactions), transactions)
+    return joins.pair_receipts(receipts_of(transactions).valid, transactions)
 
 
 @query(

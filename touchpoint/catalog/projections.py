@@ -10,6 +10,7 @@ from touchpoint.catalog.roles import table, ts_text
 from touchpoint.operators import flatten, project
 from touchpoint.operators.exports import export_events, parse_exports
 from touchpoint.functions.text import row_identifier
+from touchpoint.operators.validate import REASON
 from touchpoint.plans.mentions import typed
 from touchpoint.schemas import ATTENDEE
 from touchpoint.sinks.files import export_objects
@@ -126,7 +127,7 @@ def p06(spark, sf):
 @query(
     "p07_drop_columns_count",
     """SELECT doc_id, CAST(CASE WHEN lang = 'en' THEN 6 WHEN lang = 'de' THEN 2 ELSE 0 END AS BIGINT) AS removed,
-      '{"fathom_call.id":"' || doc_id || '","note":"' || source || '"}' AS kept FROM documents""",
+       '{"fathom_call.id":"' || doc_id || '","note":"' || source || '","id":' || doc_id || ',"ok":true,"half":0.5,"none":null,"inner":{"a":' || doc_id || '},"list":[1,"x",false]}' AS kept FROM documents""",
 )
 def p07(spark, sf):
     def field(name: str, langs: list[str]):
@@ -136,6 +137,8 @@ def p07(spark, sf):
     payload = F.to_json(
         F.struct(F.col("doc_id").cast("string").alias("fathom_call.id"), *large, F.col("source").alias("note"))
     )
+    typed = F.format_string(',"id":%d,"ok":true,"half":0.5,"none":null,"inner":{"a":%d},"list":[1,"x",false]}', "doc_id", "doc_id")
+    payload = F.concat(F.substring(payload, F.lit(1), F.length(payload) - 1), typed)
     kept, removed = flatten.drop_json_keys(F.col("payload"), LARGE_FIELDS)
     answers = table(spark, sf, "documents").select("doc_id", payload.alias("payload"))
     return answers.select("doc_id", removed.cast("bigint").alias("removed"), kept.alias("kept"))
@@ -175,10 +178,20 @@ def p09(spark, sf):
 
 @query(
     "p10_receipt_projection",
-    """SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "at", user_id, 'Transaction: ' || event_type AS body FROM events""",
+    """SELECT CASE WHEN user_id NOT IN (7, 8) THEN event_id END AS id, CASE WHEN user_id NOT IN (7, 8) THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS "at",
+      CASE WHEN user_id NOT IN (7, 8) THEN user_id END AS user_id, CASE WHEN user_id NOT IN (7, 8) THEN 'Transaction: ' || event_type END AS body,
+      CASE user_id WHEN 7 THEN 'id' WHEN 8 THEN 'at, description' END AS reject_reason FROM events""",
 )
 def p10(spark, sf):
-    return project.receipts_of(roles.transactions(spark, sf)).withColumn("at", ts_text(F.col("at")))
+    rows = roles.transactions(spark, sf).withColumns({
+        "id": F.when(F.col("user_id") == 7, "none").otherwise(F.col("id").cast("string")),
+        "at": F.when(F.col("user_id") == 8, "some day").otherwise(F.col("at").cast("string")),
+        "description": F.when(F.col("user_id") != 8, F.col("description")),
+    })
+    made = project.receipts_of(rows)
+    good = made.valid.select("id", ts_text(F.col("at")).alias("at"), "user_id", "body", F.lit(None).cast("string").alias(REASON))
+    nothing = F.lit(None)
+    return good.union(made.rejects.select(nothing.cast("bigint"), nothing.cast("string"), nothing.cast("bigint"), nothing.cast("string"), REASON))
 
 
 @query(

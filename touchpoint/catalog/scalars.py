@@ -193,6 +193,7 @@ def x14(spark, sf):
     return table(spark, sf, "events").select("event_id", F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"))
 
 
+# Fixed value: the header pattern in the dialect of the checking SQL.
 HEADER_RE2 = r"^([0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)\s+-\s+(.+?)(?:\s+\(([^)]+)\))?$"
 
 
@@ -204,11 +205,8 @@ HEADER_RE2 = r"^([0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)\s+-\s+(.+?)(?:\s+\(([^)]+)\)
 )
 def x15(spark, sf):
     lines = call_lines(roles.calls(spark, sf), "id")
-    line = F.col("line")
-    return lines.select(
-        "id", F.col("n").cast("bigint").alias("n"), calls.header_offset(line).alias("off"),
-        calls.header_speaker(line).alias("who"), calls.header_group(line).alias("grp"),
-    )
+    parts = lines.select("id", F.col("n").cast("bigint").alias("n"), calls.header_parts(F.col("line")).alias("header"))
+    return parts.select("id", "n", F.col("header.offset").alias("off"), F.col("header.speaker").alias("who"), F.col("header.group").alias("grp"))
 
 
 @query(

@@ -33,6 +33,7 @@ def _account_docs(spark, sf):
             F.when(nation == 3, wrong_type)
             .when(nation == 4, no_name)
             .when(nation == 5, F.concat(good, F.lit("\n"), good))
+            .when(nation == 6, F.concat(F.lit('{"id": '), _string("s_suppkey"), F.lit(', "name": 5, "balance": 1.5}')))
             .otherwise(good)
         )
         suppliers = table(spark, sf, "supplier")
@@ -78,8 +79,8 @@ def s03(spark, sf):
 
 @query(
     "s04_json_doc_scan",
-    """SELECT 'acc-' || s_suppkey || '.json' AS name, CASE WHEN s_nationkey NOT IN (3, 4, 5) THEN s_acctbal END AS balance,
-      CASE s_nationkey WHEN 3 THEN 'not a document of this schema' WHEN 4 THEN 'missing name'
+    """SELECT 'acc-' || s_suppkey || '.json' AS name, CASE WHEN s_nationkey NOT IN (3, 4, 5, 6) THEN s_acctbal END AS balance,
+      CASE s_nationkey WHEN 3 THEN 'not a document of this schema' WHEN 4 THEN 'missing name' WHEN 6 THEN 'name is not a string'
         WHEN 5 THEN 'more than one JSON document in a file; read it as JSON Lines' END AS reject_reason FROM supplier""",
 )
 def s04(spark, sf):
@@ -208,12 +209,17 @@ def s13(spark, sf):
     return stack_frames([stored, absent])
 
 
-@query("s14_event_stream", "SELECT event_id AS id, value, props FROM events WHERE user_id <> 7")
+@query(
+    "s14_event_stream",
+    """SELECT event_id AS id, value, props, CAST(NULL AS VARCHAR) AS refused_text FROM events WHERE user_id <> 7
+    UNION ALL SELECT NULL, NULL, NULL, '{"id": ' || event_id || ', "kind": ' FROM events WHERE user_id = 7""",
+)
 def s14(spark, sf):
     out, checkpoint = scratch_path(spark, "s14-out"), scratch_path(spark, "s14-state")
-    events = landing.event_stream(spark, _event_lines(spark, sf), "id bigint, kind string, value double, props string")
-    parsed = events.where(F.col("value").isNotNull())
-    parsed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
+    events = landing.event_stream(spark, _event_lines(spark, sf), "id bigint, kind string, value double, props string", text="refused_text")
+    events.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start().awaitTermination()
-    return spark.read.schema(parsed.schema).parquet(out).select("id", "value", "props")
+    landed = spark.read.schema(events.schema).parquet(out)
+    fields = [F.when(F.col("refused_text").isNull(), F.col(c)).alias(c) for c in ("id", "value", "props")]
+    return landed.select(*fields, "refused_text")

@@ -56,6 +56,15 @@ def header_group(line: Column) -> Column:
     return _found(line, HEADER_PATTERN, 3)
 
 
+def header_parts(line: Column) -> Column:
+    """Offset, speaker and group of a header in one pass over the line; null fields for other lines."""
+    mark = "\u0001"
+    marked = F.regexp_replace(line, HEADER_PATTERN, f"$1{mark}$2{mark}$3")
+    parts = F.when((marked != line) & ~line.contains(mark), F.split(marked, mark))
+    field = lambda i: F.nullif(F.get(parts, F.lit(i)), F.lit(""))
+    return F.struct(field(0).alias("offset"), strip(field(1)).alias("speaker"), field(2).alias("group"))
+
+
 def is_action(line: Column) -> Column:
     return line.startswith(ACTION_PREFIX)
 

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, FloatType, IntegerType, StringType, StructField, StructType
@@ -80,22 +80,31 @@ def _embed_batch(texts: list[str], client: Embedder) -> list[list[float] | None]
     return answers
 
 
-def _chunks(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Re-cut the Arrow batches of a task into service batches; only the last one is short."""
-    pending: list[pd.DataFrame] = []
+    pending: list[pa.RecordBatch] = []
     held = 0
-    for frame in frames:
+
+    def whole() -> pa.RecordBatch:
+        return pa.Table.from_batches(pending).combine_chunks().to_batches()[0]
+
+    for batch in batches:
         start = 0
-        while held + len(frame) - start >= size:
+        while held + batch.num_rows - start >= size:
             stop = start + size - held
-            pending.append(frame.iloc[start:stop])
-            yield pd.concat(pending, ignore_index=True)
+            pending.append(batch.slice(start, stop - start))
+            yield whole()
             pending, held, start = [], 0, stop
-        if start < len(frame):
-            pending.append(frame.iloc[start:])
-            held += len(frame) - start
+        if start < batch.num_rows:
+            pending.append(batch.slice(start))
+            held += batch.num_rows - start
     if pending:
-        yield pd.concat(pending, ignore_index=True)
+        yield whole()
+
+
+def _with_column(batch: pa.RecordBatch, name: str, values: list, kind: pa.DataType) -> pa.RecordBatch:
+    """The batch with one more column; the others are passed on as they came."""
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, kind)], [*batch.schema.names, name])
 
 
 def embed_rows(
@@ -111,11 +120,12 @@ def embed_rows(
     size = batch_size(size)
     schema = StructType(df.schema.fields + [StructField("embedding", ArrayType(FloatType()), True)])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in _chunks(frames, size):
-            yield chunk.assign(embedding=_embed_batch(chunk[text].tolist(), client))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, size):
+            texts = chunk.column(chunk.schema.get_field_index(text)).to_pylist()
+            yield _with_column(chunk, "embedding", _embed_batch(texts, client), pa.list_(pa.float32()))
 
-    return (df.repartition(parallelism) if parallelism else df).mapInPandas(run, schema)
+    return (df.repartition(parallelism) if parallelism else df).mapInArrow(run, schema)
 
 
 def embedded_only(df: DataFrame) -> DataFrame:
@@ -139,11 +149,11 @@ def generate_text(
             answer = None
         return answer.strip() if answer and answer.strip() else fallback.format(**row)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(**{out: [one(row) for row in frame.to_dict("records")]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _with_column(batch, out, [one(row) for row in batch.to_pylist()], pa.string())
 
-    return (df.repartition(parallelism) if parallelism else df).mapInPandas(run, schema)
+    return (df.repartition(parallelism) if parallelism else df).mapInArrow(run, schema)
 
 
 def template_text(df: DataFrame, fallback: str, out: str = "body") -> DataFrame:
@@ -161,8 +171,11 @@ def _format_parts(template: str) -> list[tuple[str, str | None]]:
     return [(literal, field) for literal, field, _, _ in Formatter().parse(template)]
 
 
-def lookup_status(df: DataFrame, key: str, client: StatusClient, parallelism: int = 3) -> DataFrame:
-    """Ask a service about every key: (key, status, ok). No status, or a failed call, is not ok."""
+def lookup_status(df: DataFrame, key: str, client: StatusClient, parallelism: int | None = None) -> DataFrame:
+    """Ask a service about every key: (key, status, ok). No status, or a failed call, is not ok.
+
+    ``parallelism`` bounds the calls in flight; without it the partitioning of the input is kept.
+    """
     keys = df.select(F.col(key).cast("string").alias(key))
     schema = StructType(
         [
@@ -178,9 +191,9 @@ def lookup_status(df: DataFrame, key: str, client: StatusClient, parallelism: in
         except (OSError, ValueError, KeyError, TypeError):
             return None
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            status = pd.array([one(v) for v in frame[key]], dtype="Int32")
-            yield pd.DataFrame({key: frame[key], "status": status, "ok": ~pd.isna(status)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            status = pa.array([one(v) for v in batch.column(0).to_pylist()], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), status, status.is_valid()], [key, "status", "ok"])
 
-    return keys.repartition(parallelism).mapInPandas(run, schema)
+    return (keys.repartition(parallelism) if parallelism else keys).mapInArrow(run, schema)

@@ -54,11 +54,11 @@ def drop_large(df: DataFrame, names: list[str]) -> tuple[DataFrame, int]:
 
 
 def drop_json_keys(payload: Column, names: list[str]) -> tuple[Column, Column]:
-    """JSON object without the named keys, and how many of them it had."""
-    entries = F.map_entries(F.from_json(payload, "map<string,string>"))
-    kept = F.filter(entries, lambda e: ~e["key"].isin(*names))
-    removed = F.size(entries) - F.size(kept)
-    return F.to_json(F.map_from_entries(kept)), removed
+    """JSON object without the named keys, and how many of them it had. Other values keep their type and shape."""
+    fields = F.from_json(payload, "map<string,variant>")
+    kept = F.map_filter(fields, lambda key, _: ~key.isin(*names))
+    removed = F.size(F.map_keys(fields)) - F.size(F.map_keys(kept))
+    return F.to_json(kept, {"ignoreNullFields": "false"}), removed
 
 
 def iso_datetimes(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchpoint.operators.keys import latest_per_key
+from touchpoint.session import scratch_path
 
 # A dimension is broadcast only below both limits; beyond them its join is salted.
 BROADCAST_ROWS = 200_000
@@ -78,8 +79,9 @@ def align_frames(frames: list[DataFrame]) -> DataFrame:
 
     The result is that of chained full outer joins, written as a left outer join plus the unmatched
     right rows: Spark can split a skewed left side in both, but no side of a full outer join. Rows
-    with a null in a shared column match nothing and are kept. Exact copies of a row count once per
-    frame: they are reduced before the shuffle and cannot multiply in the join.
+    with a null in a shared column match nothing and are kept, and so are copies of a row. A pair uses its
+    left side twice, so in a chain of more than two frames each result but the last is written to the
+    shared scratch folder; otherwise the plan would double with every frame.
     """
     shared = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
     if not shared:
@@ -95,7 +97,14 @@ def align_frames(frames: list[DataFrame]) -> DataFrame:
         merged = {c: F.coalesce(F.col(c), F.col(f"_right_{c}")) for c in clash}
         return both.withColumns(merged).drop(*[f"_right_{c}" for c in clash])
 
-    return reduce(pair, [frame.distinct() for frame in frames])
+    combined = frames[0]
+    for i, frame in enumerate(frames[1:], 1):
+        combined = pair(combined, frame)
+        if 1 < len(frames) - 1 != i:
+            path = scratch_path(combined.sparkSession, "aligned")
+            combined.write.parquet(path)
+            combined = combined.sparkSession.read.schema(combined.schema).parquet(path)
+    return combined
 
 
 def pair_receipts(receipts: DataFrame, transactions: DataFrame) -> DataFrame:

@@ -126,7 +126,10 @@ def page(df: DataFrame, order: Sequence[Column], offset: int, size: int) -> Data
 def counts_by_source(df: DataFrame, source: str) -> DataFrame:
     """Rows per source, and a row with a null source for the total and the number of sources.
 
-    Rows are counted once per source; only the counts are rolled up.
+    Rows without a source count in the total only. Rows are counted once per source; only the counts are rolled up.
     """
-    counted = df.where(F.col(source).isNotNull()).groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.rollup(source).agg(F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_sources"))
+    counted = df.groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
+    rolled = counted.rollup(source).agg(
+        F.sum("_n").alias("n_rows"), F.count(source).alias("n_sources"), F.grouping(source).alias("_total")
+    )
+    return rolled.where((F.col("_total") == 1) | F.col(source).isNotNull()).drop("_total")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchpoint.operators.validate import Checked, check
 from touchpoint.schemas import MENTION_SPELLINGS, column_names, struct_type, table_columns
 
 ISO_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX"}
@@ -85,11 +86,17 @@ def warehouse_rows(df: DataFrame, table: dict[str, tuple[str, bool]]) -> DataFra
     return df.selectExpr(*table_columns(df, table))
 
 
-def receipts_of(transactions: DataFrame) -> DataFrame:
-    """Receipt of each transaction: same id, time and user, body from the description."""
-    return transactions.select(
-        F.col("id").try_cast("bigint").alias("id"),
-        F.col("at").try_cast("timestamp").alias("at"),
-        F.col("user_id").try_cast("bigint").alias("user_id"),
-        F.concat(F.lit("Transaction: "), F.col("description")).alias("body"),
-    )
+def receipts_of(transactions: DataFrame) -> Checked:
+    """Receipt of each transaction: same id, time and user, body from the description.
+
+    A transaction whose id, time or user does not cast, or without a description, is a reject that names the columns.
+    """
+    receipts = {
+        "id": F.col("id").try_cast("bigint"),
+        "at": F.col("at").try_cast("timestamp"),
+        "user_id": F.col("user_id").try_cast("bigint"),
+        "description": F.concat(F.lit("Transaction: "), F.col("description")),
+    }
+    checked = check(transactions, [(value.isNotNull(), name) for name, value in receipts.items()])
+    columns = [value.alias("body" if name == "description" else name) for name, value in receipts.items()]
+    return checked.then(lambda valid: valid.select(*columns))

@@ -14,6 +14,8 @@ from touchpoint.operators.keys import latest_per_key
 # Query vectors up to this many float values are shipped to every task; beyond it, blocks are joined.
 QUERY_VALUES = 8_000_000
 SCORE_DIGITS = 6
+# Scores held at once: queries are cut so that a block of corpus rows times a block of queries stays below.
+SCORE_VALUES = 4_000_000
 _OUT = "query_id bigint, neighbor_id bigint, score double"
 
 
@@ -22,8 +24,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
 
 
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best rows of one block for every query: by rounded score, then by id."""
+def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, values: int | None = None) -> pd.DataFrame:
+    """The k best rows of one block for every query: by rounded score, then by id; bounded in memory."""
+    step = max(1, (SCORE_VALUES if values is None else values) // max(1, len(ids)))
+    parts = [_best_of(query_ids[i:i + step], queries[i:i + step], ids, vectors, k) for i in range(0, len(query_ids), step)]
+    return pd.concat(parts, ignore_index=True)
+
+
+def _best_of(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> pd.DataFrame:
     scores = np.round(queries @ _unit(vectors).T, SCORE_DIGITS)
     scores[query_ids[:, None] == ids[None, :]] = -np.inf
     by_id = np.argsort(ids, kind="stable")

@@ -28,6 +28,13 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in listed]
 
 
+def folder_files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """Path, name and length of every file directly below a folder, whatever its name."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    return [(e.getPath().toString(), e.getPath().getName(), e.getLen()) for e in listed if e.isFile()]
+
+
 def _resolve(path: str) -> tuple[fs.FileSystem, str]:
     scheme = urlparse(path).scheme
     if scheme in ("", "file"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from touchpoint.operators.project import align_schema, with_constants
 from touchpoint.operators.validate import Checked, required_rules, split_checked, with_reason
 from touchpoint.schemas import ATTENDEE
 from touchpoint.sinks.files import newest_objects, write_csv, write_keyed_json
-from touchpoint.sources.files import attach_sidecars, file_stem, read_csv_folder
+from touchpoint.sources.files import attach_sidecars, file_stem, read_csv_rows, unread_files
 
 REQUIRED = {"source": ("string", True), "event_url": ("string", True), "created_at": ("timestamp", True)}
 
@@ -36,7 +37,8 @@ def tagged(rows: DataFrame, as_of: str) -> DataFrame:
 
 
 def plan(spark: SparkSession, folder: str, as_of: str) -> Attendees:
-    sided = attach_sidecars(read_csv_folder(spark, folder), spark, folder)
+    read = read_csv_rows(spark, folder)
+    sided = attach_sidecars(read.valid, spark, folder)
     checked: Checked = split_checked(with_reason(tagged(sided.valid, as_of), required_rules(REQUIRED, ("event_url",))))
     aligned = checked.valid
     named = aligned.withColumn(
@@ -47,7 +49,10 @@ def plan(spark: SparkSession, folder: str, as_of: str) -> Attendees:
         aligned,
         newest_objects(named, newest),
         counts_by_source(aligned, "source"),
-        sided.rejects.select("row_key", "reject_reason"),
+        reduce(DataFrame.union, [
+            unread_files(spark, folder, [".csv", ".json"]),
+            *[side.rejects.select("row_key", "reject_reason") for side in (read, sided, checked)],
+        ]),
     )
 
 

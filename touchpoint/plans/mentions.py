@@ -60,7 +60,7 @@ def from_payloads(payloads: DataFrame, payload: str) -> Checked:
 
     Rejects carry the reason: text that is no event, an action that is not taken, a missing field.
     """
-    opened = parse_json(payloads.select(payload), payload, "action string, data string", ("data",))
+    opened = parse_json(payloads.select(payload), payload, "action string, data string", ("data",), raw=("data",))
     taken = opened.then(lambda events: flag_mentions(event_defaults(events)))
     accepted = split_checked(taken.valid)
     read = typed(spelled_fields(accepted.valid.select("data"), "data"))

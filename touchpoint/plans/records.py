@@ -36,13 +36,15 @@ def embed_upsert(
     target.upsert(embedded_only(embed_rows(new, dataset.text, embedder, batch_size)), load, dataset.ordering())
 
 
-def backfill(ids: DataFrame, key: str, succeeded: Ledger, failed: Ledger, client: StatusClient, run_path: str) -> None:
-    """Look up the ids that have not succeeded yet and note each in a ledger.
+def backfill(
+    ids: DataFrame, key: str, succeeded: Ledger, failed: Ledger, client: StatusClient, run_path: str, parallelism: int | None = None
+) -> None:
+    """Look up the ids that have not succeeded yet and note each in a ledger; ``parallelism`` bounds the calls in flight.
 
     The answers are written to ``run_path`` once, so that the two ledgers do not ask the service twice.
     """
     todo = resume(ids.select(F.col(key).cast("string").alias(key)), succeeded.read(), key)
-    lookup_status(todo, key, client).write.mode("overwrite").parquet(run_path)
+    lookup_status(todo, key, client, parallelism).write.mode("overwrite").parquet(run_path)
     answers = ids.sparkSession.read.parquet(run_path)
     succeeded.add(answers.where("ok").select(key))
     failed.add(answers.where("not ok").select(key))
@@ -65,17 +67,22 @@ def run_replay(
     new = replayed(history, target_date, user_id, seed, size)
     append_rows(new, transactions)
     if receipts:
-        append_rows(receipts_of(new), receipts)
+        append_rows(receipts_of(new).valid, receipts)
+
 
+def profiles(users: DataFrame, today: str, client: TextClient | None = None, parallelism: int | None = None) -> DataFrame:
+    """Profile text per user from a client, or the fixed text without one; null for a user without a name or an age.
 
-def profiles(users: DataFrame, today: str, client: TextClient | None = None) -> DataFrame:
-    """Profile text per user from a client, or the fixed text without one."""
+    ``parallelism`` bounds the calls in flight; without it the partitioning of the input is kept.
+    """
     aged = users.withColumn("age", age(F.to_date("dob"), F.to_date(F.lit(today))))
-    known = aged.where(F.col("age").isNotNull() & F.col("name").isNotNull())
-    made = generate_text(known, client, PROFILE_FALLBACK, "bio", 10) if client else template_text(
+    complete = F.col("age").isNotNull() & F.col("name").isNotNull()
+    known = aged.where(complete)
+    made = generate_text(known, client, PROFILE_FALLBACK, "bio", parallelism) if client else template_text(
         known, PROFILE_FALLBACK, "bio"
     )
-    return made.select(F.col("id").cast("bigint").alias("id"), "bio")
+    missing = aged.where(~complete).select("id", F.lit(None).cast("string").alias("bio"))
+    return made.select("id", "bio").union(missing).select(F.col("id").cast("bigint").alias("id"), "bio")
 
 
 def run_profiles(users: DataFrame, today: str, path: str, client: TextClient | None = None) -> None:

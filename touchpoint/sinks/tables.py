@@ -18,10 +18,13 @@ class KeyedTable:
 
     An upsert adds its rows as one partition ``load=<n>``; reading keeps the newest load per key. So
     an upsert costs what its rows cost, not what the table costs, and repeating a load replaces its
-    own partition only: the result is the same. ``compact`` writes the current rows as a new table,
-    whose first load is then the large one. One writer at a time per table.
+    own partition only: the result is the same. ``compact`` writes the current rows as the base of a new
+    table, below every load number, so that a load repeated after the compaction replaces only its own
+    rows. One writer at a time per table.
     """
 
+    BASE = -1
+
     def __init__(self, spark: SparkSession, path: str, key: str):
         self.spark, self.path, self.key = spark, path, key
 
@@ -30,6 +33,8 @@ class KeyedTable:
 
     def upsert(self, rows: DataFrame, load: int, order: Sequence[Column]) -> None:
         """Insert or replace rows by key. Of equal keys in ``rows`` the first in ``order`` counts."""
+        if load <= self.BASE:
+            raise ValueError(f"load numbers start at {self.BASE + 1}")
         newest = latest_per_key(rows.where(F.col(self.key).isNotNull()), [self.key], order)
         newest.write.mode("overwrite").parquet(f"{self.path}/load={load}")
 
@@ -55,9 +60,9 @@ class KeyedTable:
         loads = self.loads()
         return (loads if before is None else loads.where(F.col("load") < before)).select(self.key)
 
-    def compact(self, path: str, load: int) -> KeyedTable:
-        """Write the current rows to a new path as one load and return that table."""
-        self.read().write.mode("errorifexists").parquet(f"{path}/load={load}")
+    def compact(self, path: str) -> KeyedTable:
+        """Write the current rows to a new path as its base and return that table."""
+        self.read().write.mode("errorifexists").parquet(f"{path}/load={self.BASE}")
         return KeyedTable(self.spark, path, self.key)
 
 

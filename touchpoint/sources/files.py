@@ -1,7 +1,7 @@
 """File sources: folders of JSON, JSON Lines, CSV, exports and raw text.
 
-All readers are lazy. As in every Spark file scan, files of zero length and files whose name starts
-with ``.`` or ``_`` are not read.
+All readers are lazy. A Spark file scan passes over files of zero length and files whose name starts
+with ``.`` or ``_``; ``unread_files`` lists them as rejects, so that no file goes missing unnoticed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from touchpoint.functions.text import strip
 from touchpoint.operators.joins import lookup_join
 from touchpoint.operators.keys import running_total
 from touchpoint.operators.validate import REASON, Checked, check, split_checked
-from touchpoint.paths import is_folder, open_input
+from touchpoint.paths import folder_files, is_folder, open_input
 from touchpoint.schemas import SPEAKER_STORAGE, struct_type
 
 CORRUPT = "_corrupt_record"
@@ -41,8 +41,27 @@ def _glob(suffixes: list[str] | None) -> dict[str, str]:
 def list_folder(spark: SparkSession, folder: str, suffixes: list[str] | None = None) -> DataFrame:
     """Files of a folder, not of its subfolders: path, name and length. File contents are not read."""
     reader = spark.read.format("binaryFile").options(recursiveFileLookup="false", **_glob(suffixes))
-    files = reader.load(require_folder(spark, folder))
-    return files.select("path", F.substring_index("path", "/", -1).alias("name"), "length")
+    files = reader.load(require_folder(spark, folder)).select("path", F.substring_index("path", "/", -1).alias("name"), "length")
+    passed = spark.createDataFrame(_passed_over(spark, folder, suffixes), files.schema)
+    return files.where(F.col("length") > 0).union(passed)
+
+
+def _passed_over(spark: SparkSession, folder: str, suffixes: list[str] | None) -> list[tuple[str, str, int]]:
+    """Path, name and length of the files of a folder that a scan does not read; markers of Spark's writers are no data."""
+    return [
+        (path, name, length)
+        for path, name, length in folder_files(spark, folder)
+        if (length == 0 or name.startswith(("_", "."))) and name != "_SUCCESS" and (not suffixes or name.endswith(tuple(suffixes)))
+    ]
+
+
+def unread_files(spark: SparkSession, folder: str, suffixes: list[str] | None = None) -> DataFrame:
+    """Rejects for the files of a folder that a scan passes over: (row_key, reject_reason); the key is the file name."""
+    rows = [
+        (name, "empty file" if length == 0 else "file names that start with _ or . are not read")
+        for _, name, length in _passed_over(spark, require_folder(spark, folder), suffixes)
+    ]
+    return spark.createDataFrame(rows, f"row_key string, {REASON} string")
 
 
 def file_origin(field: str) -> Column:
@@ -98,14 +117,22 @@ def _column_names(path: str) -> list[str]:
 
 
 def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
+    """The good rows of ``read_csv_rows``."""
+    return read_csv_rows(spark, folder, multi_line).valid
+
+
+def read_csv_rows(spark: SparkSession, folder: str, multi_line: bool = True) -> Checked:
     """All CSV files of a folder by column name, with ``_file`` (name of the file) added.
 
+    A row with more cells than its file's header has columns is a reject with the file as its key; missing cells at
+    the end are null.
+
     One read of files with different headers would take one file's header and map the others by
     position. So the files are read by position, in one scan, and each row is then laid out by the
     header of its own file. Only column names reach the driver. Turn ``multi_line`` off for files
     without line breaks inside quotes, so that large files are split.
     """
-    headers = _headers(list_folder(spark, folder, [".csv"]))
+    headers = _headers(list_folder(spark, folder, [".csv"]).where("length > 0 AND NOT startswith(name, '_') AND NOT startswith(name, '.')"))
     summary = headers.agg(F.max(F.size("_names")).alias("width"), F.count(F.lit(1)).alias("n_files")).first()
     if not summary["n_files"]:
         raise ValueError(f"no CSV files in {folder}")
@@ -120,10 +147,10 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -
     ]
     values = [f"_c{i}" for i in range(summary["width"])]
     rows = (
-        spark.read.schema(", ".join(f"{v} string" for v in values))
-        .options(header="true", multiLine=str(multi_line).lower(), escape='"', pathGlobFilter="*.csv")
+        spark.read.schema(", ".join(f"{v} string" for v in [*values, CORRUPT]))
+        .options(header="true", multiLine=str(multi_line).lower(), escape='"', pathGlobFilter="*.csv", columnNameOfCorruptRecord=CORRUPT)
         .csv(folder)
-        .select(F.array(*values).alias("_values"), file_origin("file_name").alias("_file"))
+        .select(F.array(*values).alias("_values"), _cells(F.col(CORRUPT), values).alias("_n_cells"), file_origin("file_name").alias("_file"))
     )
     laid_out = lookup_join(rows, headers, "_file")
 
@@ -131,7 +158,19 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -
         place = F.array_position("_names", name).cast("int")
         return F.when(place > 0, F.get("_values", place - 1)).alias(name)
 
-    return laid_out.select(*[named(name) for name in columns], "_file")
+    width = F.size("_names")
+    ragged = F.concat(F.col("_n_cells").cast("string"), F.lit(" cells under "), width.cast("string"), F.lit(" columns"))
+    flagged = laid_out.select(*[named(name) for name in columns], "_file", F.when(F.col("_n_cells") > width, ragged).alias(REASON))
+    return split_checked(flagged).then(lambda valid: valid, lambda rejects: rejects.withColumn("row_key", F.col("_file")))
+
+
+def _cells(record: Column, values: list[str]) -> Column:
+    """Cells of a row: the parser hands over the text of a row that has not exactly as many of them as ``values``.
+
+    The values are named although they decide nothing, because Spark refuses to read the text of bad rows alone.
+    """
+    plain = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    return F.when(record.isNull() | (F.length(F.concat_ws("", *values)) < 0), len(values)).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1)
 
 
 def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checked:
@@ -165,15 +204,19 @@ def _with_corrupt(schema: str) -> StructType:
 
 
 def parse_json(
-    df: DataFrame, value: str, schema: str, required: tuple[str, ...] = (), trailing: str = TRAILING
+    df: DataFrame, value: str, schema: str, required: tuple[str, ...] = (), trailing: str = TRAILING, raw: tuple[str, ...] = ()
 ) -> Checked:
     """Parse a JSON text column against a schema; other columns are kept.
 
     Rejects: empty text, text that does not parse, more text after the document (which the parser
-    alone would pass over), a required field that is absent.
+    alone would pass over), a required field that is absent, a string field with a value of another type
+    (which the parser would turn into text), unless the field is in ``raw`` and takes any JSON as text.
     """
     kept = [c for c in df.columns if c != value]
     parsed = df.withColumn("_doc", F.from_json(value, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))
+    strings = [f.name for f in struct_type(schema).fields if isinstance(f.dataType, StringType) and f.name not in raw]
+    if strings:
+        parsed = parsed.withColumn("_types", F.transform_values(F.from_json(value, "map<string,variant>"), lambda _, v: F.schema_of_variant(v)))
     filled = F.coalesce(strip(F.col(value)), F.lit("")) != ""
     fits = F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull()
     alone = F.size(F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")) == 1
@@ -182,6 +225,7 @@ def parse_json(
         (fits | ~filled, "not a document of this schema"),
         (alone | ~fits, trailing),
         *[(F.col(f"_doc.{name}").isNotNull() | ~fits, f"missing {name}") for name in required],
+        *[(F.coalesce(F.try_element_at("_types", F.lit(name)), F.lit("STRING")).isin("STRING", "VOID") | ~fits, f"{name} is not a string") for name in strings],
     ]
     checked = check(parsed, rules)
     fields = [F.col(f"_doc.{f.name}").alias(f.name) for f in struct_type(schema).fields]
@@ -253,7 +297,7 @@ def read_csv_slice(spark: SparkSession, path: str, skip_rows: int = 0, n_rows: i
     header = lines.where(F.col("line_no") == skip_rows + 1).select("line").first()
     if header is None:
         raise ValueError(f"no header after {skip_rows} lines in {path}")
-    schema = ", ".join(f"`{name.strip()}` string" for name in header["line"].split(","))
+    schema = ", ".join(f"`{name.strip()}` string" for name in next(csv.reader([header["line"]])))
     rows = lines.where((F.col("line_no") > skip_rows + 1) & (F.col("line") != ""))
     if n_rows is not None:
         block = F.floor(F.col("line_no") / LINES_PER_BLOCK)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from touchpoint.datasets import Dataset
 from touchpoint.operators.enrich import Embedder, embed_rows, embedded_only
@@ -21,10 +22,11 @@ from touchpoint.schemas import struct_type, with_embedding
 from touchpoint.sinks.tables import KeyedTable
 
 
-def event_stream(spark: SparkSession, landing: str, schema: str, max_files: int = 1000) -> DataFrame:
-    """Events of a landing folder, parsed; a line that does not parse has nulls only."""
-    reader = spark.readStream.schema(struct_type(schema)).option("maxFilesPerTrigger", max_files)
-    return reader.json(landing)
+def event_stream(spark: SparkSession, landing: str, schema: str, max_files: int = 1000, text: str | None = None) -> DataFrame:
+    """Events of a landing folder, parsed; a line that does not parse has nulls only, and its text in the column ``text``."""
+    fields = struct_type(schema).fields + ([StructField(text, StringType(), True)] if text else [])
+    reader = spark.readStream.schema(StructType(fields)).option("maxFilesPerTrigger", max_files)
+    return (reader.option("columnNameOfCorruptRecord", text) if text else reader).json(landing)
 
 
 def payload_stream(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
