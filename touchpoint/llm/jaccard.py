@@ -45,7 +45,7 @@ from touchpoint.llm.scratch import BROADCAST_ROWS, broadcast_if_few, written
 SKETCH_WORDS = 4
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 #: Keys held by a task before it sends them on.
-FLUSH_KEYS = 2_000_000
+FLUSH_KEYS = 800_000
 
 
 class Layouts:

@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 
 BLOCK_TOKENS = 4_000_000
 #: Chunks, and parts of chunks, whose ids a task remembers.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 250_000
+CACHE_PARTS = 500_000
 TIERS_BELOW = 5
 STEP_TOKENS = 1 << 17
 
@@ -81,7 +82,7 @@ class ChunkIds(dict):
         if len(self) + len(new) > CACHE_CHUNKS:
             self.clear()
             new = list(chunks)
-        if len(self.parts) > CACHE_CHUNKS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts = {"": b""}
         cut, whole, match, known = [], [], self._PARTS.fullmatch, self.parts
         for chunk in new:
