@@ -45,21 +45,29 @@ SCHEMA = (
 )
 
 
+#: Letters before this one have a lower case of one character and no other normal form.
+_PLAIN_END = "\u0130"
+
+
 class ChunkIds(dict):
     """Token ids of chunks, as little-endian unsigned 32-bit integers.
 
     A chunk of letters between ASCII marks is put together from its parts: the splitter separates letters from marks
-    (but for apostrophes and special tokens, whose chunks stay whole). Unknown parts are encoded many at a time; their
-    ids are told apart by the end-of-word mark that every part's last token carries.
+    (but for apostrophes and special tokens, whose chunks stay whole). Parts of plain letters, which normalize to their
+    lower case, skip the normalizer and splitter and are encoded many at a time; their ids are told apart by the
+    end-of-word mark that every part's last token carries.
     """
 
     _PARTS = re.compile(r"([!-&(-/:-@\[-`{-~]*)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.parts: dict[str, bytes] = {"": b""}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -70,7 +78,7 @@ class ChunkIds(dict):
 
     def _together(self, parts: list[str]) -> list[bytes]:
         """Ids of parts of one word each, encoded as one text; one by one if a part is more than one word after all."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.plain.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(parts):
             return self._each(parts)
@@ -87,9 +95,8 @@ class ChunkIds(dict):
         cut, whole, match, known = [], [], self._PARTS.fullmatch, self.parts
         for chunk in new:
             found = match(chunk)
-            if found and "<|" not in chunk:
-                before, letters, after = found.groups()
-                cut.append((chunk, before, letters.lower() if letters.isascii() else letters, after))
+            if found and "<|" not in chunk and (letters := found[2]).isalpha() and max(letters) < _PLAIN_END:
+                cut.append((chunk, found[1], letters.lower(), found[3]))
             else:
                 whole.append(chunk)
         unknown = list({part for row in cut for part in row[1:] if part not in known})
@@ -107,6 +114,16 @@ class ChunkIds(dict):
         return [b"".join(map(self.__getitem__, c)) for c in chunks]
 
 
+_known: dict[str, ChunkIds] = {}
+
+
+def chunk_ids(path: str) -> ChunkIds:
+    """The ids this Python worker remembers; they serve all its tasks, and their number is bounded."""
+    if path not in _known:
+        _known[path] = ChunkIds(path)
+    return _known[path]
+
+
 def _groups(texts: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
     """Texts in groups of about a million characters."""
     group, held = [], 0
@@ -232,7 +249,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, longes
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task, cache, end = TaskContext.get().partitionId(), ChunkIds(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        task, cache, end = TaskContext.get().partitionId(), chunk_ids(tokenizer_path), np.array([end_id], "<u4").tobytes()
         ids, tokens, held, block = [], [], 0, 0
         for batch in batches:
             own = iter(batch.column(0).to_pylist())
