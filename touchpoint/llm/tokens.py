@@ -121,11 +121,21 @@ class UnigramCounter(dict):
         return sum(self[MARK + chunk] for chunk in marked[1:].split(MARK))
 
 
+_counters: dict[str, UnigramCounter] = {}
+
+
+def counter_of(model_path: str) -> UnigramCounter:
+    """The counter of this Python worker, with the segments it remembers; it serves all tasks of the worker."""
+    if model_path not in _counters:
+        _counters[model_path] = UnigramCounter(vocabulary(model_path))
+    return _counters[model_path]
+
+
 def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens)`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = UnigramCounter(vocabulary(model_path))
+        counter = counter_of(model_path)
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(1)]
             sizes = [len(t.encode()) for t in texts]
