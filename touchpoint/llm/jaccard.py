@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from touchpoint.llm import rolling
 from touchpoint.llm.components import components
 from touchpoint.llm.rolling import U64, mix
-from touchpoint.llm.scratch import BROADCAST_ROWS, broadcast_if_few, written
+from touchpoint.llm.scratch import BROADCAST_ROWS, broadcast_if_few, release, written
 
 SKETCH_WORDS = 4
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
@@ -339,6 +339,8 @@ def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFram
     mixed = written(spread.where("one <> two").select("key"), "mixed")
     rows = wanted.mapInArrow(members_of, "key bigint, doc_id bigint, component bigint").join(broadcast_if_few(mixed, 4 * BROADCAST_ROWS), "key", "left_semi")
     rows = written(rows, "open_keys")
+    del spread, wanted
+    release(docs.sparkSession)
     counts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = written(counts.groupBy("key").agg(F.max_by("component", "n").alias("main")), "main")
     sketches = classes.where("doc_id = rep").select("doc_id", "n_shingles", *SKETCH).distinct()
@@ -361,8 +363,10 @@ def similar_classes(docs: DataFrame, percent: int = 80, k: int = 5, table: np.nd
     layouts = Layouts(percent)
     classes = written(_classes(written(describe(docs, k, table), "described")), "classes")
     known = written(_as_classes(_candidates(docs, layouts, k, table), classes), "pairs")
+    release(docs.sparkSession)
     pairs = known.select("a", "b")
     links = written(_verified(docs, known.where(_near(percent)).select("a", "b", *_sizes()), layouts, k, table), "verified")
+    release(docs.sparkSession)
     if (hidden := _rest(docs, pairs, links, classes, layouts, k, table)) is not None:
         links = written(links.union(_verified(docs, hidden, layouts, k, table)), "verified")
     joined = written(components(links), "joined")

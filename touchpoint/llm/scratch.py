@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does once the driver has collected the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def few_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a written table has at most ``limit`` rows; counted, not guessed."""
     return df.count() <= limit
