@@ -276,7 +276,8 @@ def extract(page: str | None, weights: np.ndarray) -> str:
 
 def train(pages: DataFrame, max_pages: int = MAX_PAGES, steps: int = 200) -> np.ndarray:
     """Weights of the looks, from blocks whose place is beyond doubt; zero if only one kind of them is there."""
-    chosen = pages.select("page_id", "html").where("html is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
+    ids = pages.where("html is not null and page_id is not null").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
+    chosen = pages.select("page_id", "html").where("html is not null").join(F.broadcast(ids), "page_id", "left_semi").limit(max_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
