@@ -40,6 +40,24 @@ def test_small_pages(page, expected):
     assert html.extract(page, ZERO) == expected
 
 
+ARTICLE = "<article><h1>Head</h1><p>The text of the page, at length.</p></article>"
+
+
+@pytest.mark.parametrize(("page", "expected"), [
+    (f'<div class="layout has-sidebar">{ARTICLE}<div class="sidebar"><p>side</p></div></div>', "Head\nThe text of the page, at length."),
+    (f'<div id="page" class="no-ads"><nav>menu</nav>{ARTICLE}<div class="related-posts"><article><p>teaser</p></article></div></div>', "Head\nThe text of the page, at length."),
+    (f'<div class="no-ads"><main><div class="with-toc">{ARTICLE}</div></main></div><div class="comments"><article><p>{"a comment " * 20}</p></article></div>', "Head\nThe text of the page, at length."),
+    (f'<div class="comments">{ARTICLE}</div>', ""),
+])
+def test_names_of_wrappers_do_not_silence_the_article(page, expected):
+    assert html.extract(page, ZERO) == expected
+
+
+def test_wrapper_without_article_is_judged_by_its_blocks():
+    blocks = html.blocks_of('<div class="has-sidebar"><div><p>The text of the page, at length.</p></div><div class="sidebar"><p>side</p></div></div>')
+    assert [b.element.place for b in blocks] == [0.0, -6.0]
+
+
 def test_cut_is_the_cheapest_labelling():
     source = np.random.default_rng(5)
     for _ in range(60):

@@ -3,6 +3,8 @@
 1. A tolerant tokenizer walks the markup once, keeps the open elements (with the implied ends of p, li, td and the
    like) and cuts the page into blocks: text between the edges of block elements. Scripts, styles, comments and the
    head are no text.
+   A name like "has-sidebar" on a wrapper says nothing about what it holds: negative parts of names do not count on an
+   element around the page's main element, around its long articles, or around most of its text. Whole names count.
 2. A classifier gives every block a cost for either label. Where a block stands (article, nav, footer, class names)
    is a fixed prior; the look of its text (length, links, punctuation, heading, list) is a logistic regression that is
    trained on at most ``max_pages`` pages of the table (those with the smallest digests), with the blocks whose place is
@@ -78,14 +80,38 @@ ADJACENT, SIBLING, SCALE = 0.6, 0.8, 1000
 
 
 class Element:
-    __slots__ = ("tag", "place", "depth", "parent")
+    __slots__ = ("tag", "own", "kind", "part", "whole", "place", "depth", "parent", "size", "wraps")
 
-    def __init__(self, tag: str, place: float, parent: Element | None):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, own: float, kind: str, part: bool, whole: bool, parent: Element | None):
+        self.tag, self.own, self.kind, self.part, self.whole, self.parent = tag, own, kind, part, whole, parent
         self.depth = parent.depth + 1 if parent else 0
+        self.place, self.size, self.wraps = 0.0, 0, False
+
+
+def _settle(elements: list[Element]) -> None:
+    """Places of all elements of a page, parents first, when its texts are known."""
+    for e in reversed(elements[1:]):
+        e.parent.size += e.size
+    total = elements[0].size
+    shut, inside = set(), set()
+    for e in elements:
+        if e.whole or e.own <= -2 or id(e.parent) in shut:
+            shut.add(id(e))
+        if e.kind == "main" or id(e.parent) in inside:
+            inside.add(id(e))
+    fit = [e for e in elements if e.kind and e.size and not e.part and id(e) not in shut]
+    articles = [e for e in fit if e.kind == "article"]
+    articles = [e for e in articles if id(e) in inside] or ([] if inside else articles)
+    longest = max((e.size for e in articles), default=0)
+    for e in [e for e in fit if e.kind == "main"] + [e for e in articles if 2 * e.size >= longest]:
+        while (e := e.parent) and not e.wraps:
+            e.wraps = True
+    for e in elements:
+        lifted = e.part and not e.whole and (e.wraps or 2 * e.size > total)
+        place, above = e.own + (NAME_COST if (e.part or e.whole) and not lifted else 0.0), e.parent.place if e.parent else 0.0
         # what is inside a menu stays a menu, and an advert in an article is an advert
-        self.place = min(place, parent.place + min(place, 0)) if parent and parent.place < 0 else place if place < 0 else place + (parent.place if parent else 0)
-        self.place = max(min(self.place, 4.0), -12.0)
+        place = min(place, above + min(place, 0)) if above < 0 else place if place < 0 else place + above
+        e.place = max(min(place, 4.0), -12.0)
 
 
 class Block:
@@ -95,34 +121,39 @@ class Block:
         self.text, self.links, self.element, self.tag = text, links, element, tag
 
 
-def _place(tag: str, attributes: str) -> float:
-    place = PLACE.get(tag, 0.0)
+def _element(tag: str, attributes: str, parent: Element | None) -> Element:
+    """An element with what its tag, role and names say; its place follows when the page is read."""
+    own, kind = PLACE.get(tag, 0.0), tag if tag in ("main", "article") else ""
     if not attributes or attributes.isspace():
-        return place
-    names: list[str] = []
+        return Element(tag, own, kind, False, False, parent)
+    parts: list[str] = []
+    whole: list[str] = []
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
-            names += [n.lower() for n in _NAME_PART.findall(value)]
-            names += value.lower().split()
+            parts += [n.lower() for n in _NAME_PART.findall(value)]
+            whole += value.lower().split()
         elif name == "role":
-            place += ROLES.get(value.lower().strip(), 0.0)
+            role = value.lower().strip()
+            own += ROLES.get(role, 0.0)
+            kind = role if role in ("main", "article") else kind
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            place += HIDDEN_COST
+            own += HIDDEN_COST
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            place += HIDDEN_COST
-    if tag not in ("html", "body"):
-        if NEGATIVE_NAMES.intersection(names):
-            place += NAME_COST
-        elif POSITIVE_NAMES.intersection(names):
-            place += NAME_GAIN
-    return place
+            own += HIDDEN_COST
+    if tag in ("html", "body"):
+        return Element(tag, own, kind, False, False, parent)
+    bad, exact = not NEGATIVE_NAMES.isdisjoint(parts), not NEGATIVE_NAMES.isdisjoint(whole)
+    if not (bad or exact) and POSITIVE_NAMES.intersection(parts + whole):
+        own += NAME_GAIN
+    return Element(tag, own, kind, bad, exact, parent)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks of a page in order, with white space collapsed; empty ones are left out."""
     out: list[Block] = []
-    stack = [Element("#root", 0.0, None)]
+    stack = [_element("#root", "", None)]
+    elements = list(stack)
     pieces: list[str] = []
     links = 0
 
@@ -132,6 +163,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join("".join(pieces).split())
             if text:
                 holder = next((e for e in reversed(stack) if e.tag in BLOCK or e.tag == "#root"))
+                holder.size += len(text)
                 out.append(Block(text, min(links, len(text)), holder, holder.tag))
             pieces.clear()
         links = 0
@@ -184,8 +216,10 @@ def blocks_of(page: str) -> list[Block]:
                     close({"p"}, P_LIMITS)
                 if name in CLOSES:
                     close(*CLOSES[name])
-            stack.append(Element(name, _place(name, attributes), stack[-1]))
+            stack.append(_element(name, attributes, stack[-1]))
+            elements.append(stack[-1])
     cut()
+    _settle(elements)
     return out
 
 
