@@ -48,6 +48,40 @@ def test_longest_signature_wins(spark, text, expected):
     assert labels(spark, text)["labels"] == expected
 
 
+MIT = """Copyright (c) 2020 The Holders
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright
+notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."""
+
+
+@pytest.mark.parametrize(("text", "expected"), [
+    (MIT, "mit"),
+    (MIT.partition("including")[0].partition("\n\n")[2], "mit"),
+    (BSD, "bsd"),
+    ("Copyright 2001 " + " ".join(words(60, 2)) + "\n" + BSD, "bsd"),
+    (BSD.partition(" provided")[0], "bsd"),
+    ("Copyright 2004 A. Holder\n" + ISC, "isc"),
+    (ISC.replace("and/or", "and"), "isc"),
+])
+def test_standard_notices_without_a_title(spark, text, expected):
+    assert labels(spark, text)["labels"] == expected
+
+
 def test_higher_priority_survives_inside_a_longer_match(spark):
     rules = [licenses.Rule("license", "some long license text", "outer", 10), licenses.Rule("license", "long license", "inner", 20), licenses.Rule("license", "license", "small", 10)]
     found = licenses.scan(documents(spark, ["Some long LICENSE text"]), rules).first()["detections"]

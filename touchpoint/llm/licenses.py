@@ -40,7 +40,7 @@ class Rule(NamedTuple):
 
 
 #: Words of which every match of every rule contains one.
-GATES = ["licen", "gpl", "cc by", "cc0", "creative commons", "public domain", "copyright"]
+GATES = ["licen", "gpl", "cc by", "cc0", "creative commons", "public domain", "copyright", "permission is hereby granted", "permission to use copy modify", "redistribution and use"]
 
 _LICENSE = "licen[cs]es?"
 _PUBLISHED = "(?: as published by the free software foundation)?"
@@ -93,7 +93,7 @@ CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
 #: Single signatures, from the specific to the general.
 SINGLE = [
-    Rule("permission is hereby granted", f"permission is hereby granted free of charge to any person obtaining a copy(?: [^ ]+){{1,40}}? {_LICENSE}", "mit", 60),
+    Rule("permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", "mit", 60),
     Rule("mit", f"(?:released|licensed|distributed|available|provided) (?:under|with) (?:the )?(?:terms of the )?mit(?: x11)? {_LICENSE}", "mit", 50),
     Rule("mit", f"mit x11 {_LICENSE}", "x11", 40),
     Rule("mit", f"mit no attribution {_LICENSE}|mit {_LICENSE} no attribution", "mit-0", 45),
@@ -104,8 +104,9 @@ SINGLE = [
     Rule("bsd", f"(?:three|3) clause bsd {_LICENSE}|bsd (?:three|3) clause {_LICENSE}|(?:new|modified|revised) bsd {_LICENSE}", "bsd-3-clause", 40),
     Rule("bsd", f"(?:four|4) clause bsd {_LICENSE}|bsd (?:four|4) clause {_LICENSE}|(?:old|original) bsd {_LICENSE}", "bsd-4-clause", 40),
     Rule("bsd", f"bsd(?: style)? {_LICENSE}", "bsd", 30),
-    Rule("redistribution and use", "copyright(?: [^ ]+){0,30}? redistribution and use in source and binary forms with or without modification are permitted", "bsd", 60),
+    Rule("redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted", "bsd", 60),
     Rule("isc", f"isc {_LICENSE}", "isc", 30),
+    Rule("permission to use copy modify", "permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice", "isc", 60),
     Rule("zlib", f"zlib(?: libpng)? {_LICENSE}", "zlib", 30),
     Rule("libpng", f"libpng {_LICENSE}", "libpng", 30),
     Rule("openssl", f"openssl {_LICENSE}", "openssl", 30),
