@@ -68,6 +68,20 @@ def test_chunks_do_not_change_the_result(spark, monkeypatch):
     assert found(neighbours.search(frame(spark, rows), F.col("vec_id") % 50 == 0, recall=1.0)) == whole
 
 
+def test_queries_that_no_probe_resembles_see_every_candidate(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PROBES", 8)
+    source = np.random.default_rng(4)
+    centre = source.standard_normal(12)
+    rows = [(i, (centre + 0.02 * source.standard_normal(12)).tolist()) for i in range(1_500)]
+    rows += [(1_500 + i, source.standard_normal(12).tolist()) for i in range(40)] + [(3_000 + i, source.standard_normal(7).tolist()) for i in range(30)]
+    odd = [1_500, 1_507, 1_515, 1_523, 1_539, 3_000, 3_011]
+    got = found(neighbours.search(frame(spark, rows), (F.col("vec_id") < 500) | F.col("vec_id").isin(odd)))
+    for query in odd:
+        expected = brute([(i, np.float32(v)) for i, v in rows], query, 5)
+        assert [i for i, _ in got[query]] == [i for i, _ in expected]
+    assert all(len(x) == 5 for x in got.values()) and len(got) == 507
+
+
 def test_common_bits():
     a = np.array([0, 1, 1 << 47, 0b1010, 5], np.int64)
     b = np.array([0, 0, 0, 0b1000, 5], np.int64)

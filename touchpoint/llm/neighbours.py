@@ -11,6 +11,10 @@ the first counts, for each query, tree and prefix length, what a cell offers (bi
 after a sum over trees gives the length each query ascends to; the second scores what lies below it and keeps the
 best per cell.
 
+The floor comes from the probes. A query that the trees offer less than the budget at the floor, or that ends with fewer
+distinct vectors than asked for (an entry may be offered by all trees), is scored against all vectors of its length in
+blocks: every query meets the budget or has seen every candidate.
+
 ``budget`` and ``floor`` are measured, not guessed: the true neighbours of at most ``PROBES`` queries are found by brute
 force against all vectors (linear, the probes are a bounded broadcast), and the smallest budget on a doubling scale whose
 recall on them reaches ``recall`` is taken. On vectors without structure this can be a large part of all vectors.
@@ -38,6 +42,8 @@ TREES = 24
 BITS = 48
 PROBES = 192
 CHUNK_ROWS = 50_000
+#: Queries of a block that is scored against all vectors.
+BLOCK_QUERIES = 4_000
 
 
 @lru_cache(maxsize=8)
@@ -231,7 +237,7 @@ def search(vectors: DataFrame, is_query, id_: str = "vec_id", vector: str = "emb
     thin = [c for c in names] + ["query", "key", "uid"]
     offered = dealt(base.select(*thin).unionByName(probe.select(*thin))).mapInArrow(count, "uid bigint, depth int, n bigint")
     depths = offered.groupBy("uid", "depth").agg(F.sum("n").alias("n")).groupBy("uid").agg(
-        F.coalesce(F.max(F.when(F.col("n") >= budget, F.col("depth"))), F.lit(floor)).alias("depth")
+        F.coalesce(F.max(F.when(F.col("n") >= budget, F.col("depth"))), F.lit(floor)).alias("depth"), (F.max("n") < budget).alias("short")
     )
     depths = written(depths, "depths")
 
@@ -253,9 +259,24 @@ def search(vectors: DataFrame, is_query, id_: str = "vec_id", vector: str = "emb
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["asked", "uid", "score"])
 
     full = [*thin, "vector", "depth"]
-    found = dealt(base.select(*full).unionByName(probe.join(depths, "uid").select(*full))).mapInArrow(score, "asked bigint, uid bigint, score double")
-    best = Window.partitionBy("asked").orderBy(F.desc("score"), "uid")
-    found = found.groupBy("asked", "uid").agg(F.max("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= top + 1)
+    kind, best = "asked bigint, uid bigint, score double", Window.partitionBy("asked").orderBy(F.desc("score"), "uid")
+
+    def nearest(scored: DataFrame) -> DataFrame:
+        return scored.groupBy("asked", "uid").agg(F.max("score").alias("score")).withColumn("n", F.row_number().over(best)).where(F.col("n") <= top + 1)
+
+    met = depths.where(~F.col("short")).select("uid", "depth")
+    found = written(nearest(dealt(base.select(*full).unionByName(probe.join(met, "uid").select(*full))).mapInArrow(score, kind)), "near")
+    enough = found.groupBy("asked").count().where(F.col("count") > top).select(F.col("asked").alias("uid"))
+    short = written(queries.select("uid", "size", "vector").join(enough, "uid", "left_anti"), "short")
+    if n_short := short.count():
+        n_rows, n_asking = -(-index.count() // CHUNK_ROWS), -(-n_short // BLOCK_QUERIES)
+        block = {n: F.pmod(F.xxhash64("uid"), F.lit(n)) for n in (n_rows, n_asking)}
+        each = {n: F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (n_rows, n_asking)}
+        rest = [F.lit(0).cast("bigint").alias("key"), "uid", "vector", F.lit(0).alias("depth")]
+        rows = index.select(block[n_rows].cast("bigint").alias("cell"), each[n_asking].alias("chunk"), "size", F.lit(False).alias("query"), *rest)
+        asking = short.select(each[n_rows].alias("cell"), block[n_asking].cast("int").alias("chunk"), "size", F.lit(True).alias("query"), *rest)
+        every = nearest(dealt(rows.unionByName(asking)).mapInArrow(score, kind))
+        found = found.join(enough.select(F.col("uid").alias("asked")), "asked", "left_semi").unionByName(every)
     found = written(found.join(index.select("uid", "ids"), "uid").select("asked", "score", F.explode("ids").alias("id")), "found")
     pairs = asked.join(found, asked["uid"] == found["asked"]).where("query_id <> id").select("query_id", "id", "score")
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
