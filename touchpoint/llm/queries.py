@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpoint.llm import decontaminate, html, jaccard, licenses, neighbours, packing, quality, substrings, suffixes, tokens
+from touchpoint.llm import decontaminate, html, importance, jaccard, licenses, lm, negatives, neighbours, packing, quality, substrings, suffixes, tokens
 from touchpoint.session import ship_package, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,92 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of at least 50 words that occur in another document with 80 % of their 5-word shingles."""
     return substrings.near_passages(table(spark, sf_dir, "documents"))
+
+
+#: Words as letters, digits and everything outside ASCII, of a lower-cased text.
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11_SQL = f"""
+WITH RECURSIVE crc_steps AS (
+    SELECT range AS byte, range::BIGINT AS value, 0 AS step FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN value % 2 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, step + 1 FROM crc_steps WHERE step < 8
+), crc_table AS (
+    SELECT list(value ORDER BY byte) AS crc FROM crc_steps WHERE step = 8
+), doc_words AS (
+    SELECT doc_id, {WORDS_SQL} AS words FROM documents
+), doc_features AS (
+    SELECT doc_id, unnest(words) AS word FROM doc_words
+), target_features AS (
+    SELECT unnest({WORDS_SQL}) AS word FROM benchmark
+), hashed AS (
+    SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM doc_features UNION SELECT word FROM target_features)
+), bucketed AS (
+    SELECT word, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, [('0x' || substr(digits, 2 * i - 1, 2))::BIGINT for i in range(1, length(digits) // 2 + 1)]),
+        lambda state, byte: xor(crc[(xor(state, byte) & 255) + 1], state >> 8)
+    ), 4294967295) % 10000 AS bucket FROM hashed, crc_table
+), source_counts AS (
+    SELECT bucket, count(*) AS s FROM doc_features JOIN bucketed USING (word) GROUP BY bucket
+), target_counts AS (
+    SELECT bucket, count(*) AS t FROM target_features JOIN bucketed USING (word) GROUP BY bucket
+), totals AS (
+    SELECT (SELECT count(*) FROM doc_features)::DOUBLE AS all_s, (SELECT count(*) FROM target_features)::DOUBLE AS all_t
+), gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain
+    FROM source_counts LEFT JOIN target_counts USING (bucket), totals
+), weights AS (
+    SELECT doc_id, sum(gain)::BIGINT AS weight FROM doc_features JOIN bucketed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+    SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT
+        + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM doc_words LEFT JOIN weights USING (doc_id)
+), placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END::BIGINT AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+@query("op11_resample", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by the importance of their words for the benchmark texts."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP12_SQL = """
+WITH entries AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.vector, b.vector)::BIGINT AS score
+    FROM entries a JOIN entries b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+    id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five best positives of every vector whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("id") % 100 == 0)
+
+
+@query("op13_lm_score")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and base scores of every document, learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = lm.score_documents(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
