@@ -11,7 +11,7 @@ from touchpoint.operators import enrich
 from touchpoint.operators.enrich import HashingEmbedder, RefusedText
 from touchpoint.operators.similarity import cosine_topk
 from touchpoint.plans import records
-from touchpoint.sinks.tables import KeyedTable, Ledger
+from touchpoint.sinks.tables import Ledger
 from touchpoint.streaming import landing
 
 
@@ -110,30 +110,61 @@ def write_lines(folder, name, rows):
     (folder / name).write_text("\n".join(json.dumps(r) for r in rows) + "\n")
 
 
-def test_embedding_stream_skips_known_keys_and_repeats(spark, tmp_path):
-    source = tmp_path / "in"
+def test_embedding_stream_skips_known_keys_and_keeps_refused_events(spark, tmp_path):
+    source, path, log = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "log")
     write_lines(source, "b.json", [{"id": 1, "title": "one"}, {"id": 2, "title": " "}, {"id": 0, "title": "zero"}])
-    target = KeyedTable(spark, str(tmp_path / "t"), "id")
+    with (source / "b.json").open("a") as f:
+        f.write('{"id": 9, \n')
 
     def drain():
-        events = landing.event_stream(spark, str(source), schemas.PRODUCT, 1)
+        events = landing.event_stream(spark, str(source), schemas.PRODUCT, 1, text="refused_text")
         landing.land_embeddings(
-            events, PRODUCTS, target, HashingEmbedder(4), str(tmp_path / "state"), drain=True
+            events, PRODUCTS, path, log, HashingEmbedder(4), str(tmp_path / "state"), drain=True, text="refused_text"
         ).awaitTermination()
-        return sorted((r.id, r.title) for r in target.read().collect())
+        return sorted((r.id, r.title) for r in spark.read.parquet(path).collect())
 
     assert drain() == [(1, "one")]
     write_lines(source, "a.json", [{"id": 1, "title": "changed"}, {"id": 3, "title": "three"}, {"id": 3, "title": "drei"}])
     assert drain() == [(1, "one"), (3, "three")]
     assert drain() == [(1, "one"), (3, "three")]
+    rejects = spark.read.parquet(f"{log}/rejects").collect()
+    assert sorted((r.reject_reason, r.refused_text) for r in rejects) == [
+        ("Invalid webhook: Empty product title", None), ("Invalid webhook: Invalid product ID", None), ("not a document of this schema", '{"id": 9, '),
+    ]
+    report = spark.read.parquet(f"{log}/report").drop("batch").groupBy().sum().first()
+    assert [report[f"sum({n})"] for n in ("n_total", "n_invalid", "n_skipped", "n_repeated", "n_failed", "n_embedded")] == [7, 3, 1, 1, 0, 2]
+
+
+def test_batch_that_is_done_is_not_done_again(spark, tmp_path):
+    source, path, log = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "log")
+    write_lines(source, "a.json", [{"id": 1, "title": "one"}])
+    for state in ("s1", "s2"):
+        # A new checkpoint numbers its batches from 0: the batch with the same number and log is the repeated one.
+        events = landing.event_stream(spark, str(source), schemas.PRODUCT)
+        landing.land_embeddings(events, PRODUCTS, path, log, HashingEmbedder(4), str(tmp_path / state), drain=True).awaitTermination()
+    assert spark.read.parquet(f"{log}/report").select("n_embedded", "n_skipped").collect() == [(1, 0)]
+    assert spark.read.parquet(path).count() == 1
+
+
+class Picky:
+    """Refuses the text ``no``."""
+
+    def __call__(self, texts):
+        if "no" in texts:
+            raise RefusedText("The input token count exceeds the limit")
+        return [[1.0]] * len(texts)
 
 
-def test_repeated_batch_gives_the_same_table(spark, tmp_path):
-    target = KeyedTable(spark, str(tmp_path / "t"), "id")
-    rows = spark.createDataFrame([("one", 1), ("two", 2)], schemas.PRODUCT)
-    for load in (0, 0, 1, 1):
-        records.embed_upsert(rows, PRODUCTS, target, load, HashingEmbedder(4))
-        assert sorted(r.id for r in target.read().collect()) == [1, 2]
+def test_embedding_run_reports_every_record(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("one", 1), ("eins", 1), ("no", 2), (" ", 3), ("x", 0), ("y", None), ("four", 4)], schemas.PRODUCT)
+    run = records.embed_upsert(rows, PRODUCTS, path, Picky(), 2)
+    assert run.report == {"n_total": 7, "n_invalid": 3, "n_skipped": 0, "n_repeated": 1, "n_failed": 1, "n_embedded": 2, "n_batches": 2}
+    assert sorted(r.reject_reason for r in run.rejects.collect()) == ["Invalid webhook: Empty product title"] + ["Invalid webhook: Invalid product ID"] * 2
+    assert [(r.id, r.title) for r in run.failed.collect()] == [(2, "no")]
+    again = records.embed_upsert(rows, PRODUCTS, path, Picky(), 2)
+    assert again.report == {"n_total": 7, "n_invalid": 3, "n_skipped": 3, "n_repeated": 0, "n_failed": 1, "n_embedded": 0, "n_batches": 1}
+    assert sorted((r.id, r.title) for r in spark.read.parquet(path).collect()) == [(1, "one"), (4, "four")]
 
 
 def test_raw_stream(spark, tmp_path):
@@ -143,8 +174,11 @@ def test_raw_stream(spark, tmp_path):
     out = str(tmp_path / "out")
     for _ in range(2):
         landing.land_raw(landing.payload_stream(spark, str(source), 1), out, f"{out}-state", drain=True).awaitTermination()
-    assert sorted(r.payload for r in landing.read_raw(spark, out).collect()) == ['{"x": 1}', '{"x": 2}']
-    assert spark.read.parquet(out).count() == 3
+    write_lines(source, "c.json", [{"x": 2}, {"x": 3}])
+    landing.land_raw(landing.payload_stream(spark, str(source), 1), out, f"{out}-state", drain=True).awaitTermination()
+    stored = landing.read_raw(spark, out)
+    assert sorted(r.payload for r in stored.collect()) == ['{"x": 1}', '{"x": 2}', '{"x": 3}']
+    assert "Exchange" not in stored._jdf.queryExecution().executedPlan().toString()
 
 
 def test_event_stream_keeps_rejects(spark, tmp_path):

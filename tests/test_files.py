@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from touchpoint.operators.validate import REASON
 from touchpoint.plans import attendees
 from touchpoint.sinks import files as sinks
+from touchpoint.sinks import outcomes
 from touchpoint.sinks import tables
 from touchpoint.sources import files as sources
 from touchpoint.sources import tables as stored
@@ -71,7 +72,7 @@ def test_csv_folder_loses_nothing(spark, folder):
 
 def test_quoted_commas_in_a_sliced_header(spark, folder):
     path = folder({"q.csv": 'note\n"a,b",c\n1,2\n"3,4",5\n'})
-    rows = sources.read_csv_slice(spark, f"{path}/q.csv", 1)
+    rows = sources.read_csv_slice(spark, f"{path}/q.csv", 1).valid
     assert rows.columns == ["line_no", "a,b", "c"]
     assert sorted(tuple(r)[1:] for r in rows.collect()) == [("1", "2"), ("3,4", "5")]
 
@@ -183,13 +184,106 @@ def test_compact_text(spark, folder):
 
 def test_csv_slice(spark, folder):
     path = folder({"t.csv": "made by\nhand, twice\nid,name\n1,a\n\n2,\"b, c\"\n3,d\n"})
-    rows = sources.read_csv_slice(spark, f"{path}/t.csv", 2, 2).orderBy("line_no").collect()
+    rows = sources.read_csv_slice(spark, f"{path}/t.csv", 2, 2).valid.orderBy("line_no").collect()
     assert [(r.id, r.name) for r in rows] == [("1", "a"), ("2", "b, c")]
-    assert sources.read_csv_slice(spark, f"{path}/t.csv", 2).count() == 3
+    assert sources.read_csv_slice(spark, f"{path}/t.csv", 2).valid.count() == 3
     with pytest.raises(ValueError, match="no header"):
         sources.read_csv_slice(spark, f"{path}/t.csv", 50)
 
 
+def test_sliced_rows_with_more_cells_are_rejects(spark, folder):
+    path = folder({"t.csv": 'x\nid,name\n1,a\n2,b,EXTRA,MORE\n3,"c, ""d"", e"\n4\n'})
+    read = sources.read_csv_slice(spark, f"{path}/t.csv", 1)
+    assert sorted((r.id, r.name) for r in read.valid.collect()) == [("1", "a"), ("3", 'c, "d", e'), ("4", None)]
+    (refused,) = read.rejects.collect()
+    assert (refused.line_no, refused.line, refused.reject_reason) == (4, "2,b,EXTRA,MORE", "4 cells under 2 columns")
+    assert refused.row_key.endswith("t.csv:4")
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        "", "a", "a,b", ",", ",,", '""', '"",""', '"a,b"', '"a,b",c', 'a,"b,c",d', '"a""b,c",d', '"a"",""b",c', '""""",x"', 'a"b,c', '5" pipe,b', 'a""b,c', '"a\nb,c",d',
+        'x,"",y', 'x,"""",y', '"a",', ',"a"', '"' + "x" * 200_000 + '",b', '"' + 'y"",' * 50_000 + '",b', "a," * 1000,
+    ],
+)
+def test_cells_are_counted_as_the_csv_module_does(spark, record):
+    import csv
+    import io
+
+    csv.field_size_limit(10_000_000)
+    expected = len(next(csv.reader(io.StringIO(record, newline="")), [""])) or 1
+    got = spark.createDataFrame([(record,)], "r string").select(sources.csv_cells(F.col("r")).alias("n")).first().n
+    assert got == expected
+
+
+def test_long_cells_and_broken_headers(spark, folder):
+    long = "word, " * 200_000
+    path = folder(
+        {
+            "a.csv": f'name,email\n"{long}",a@x.com\n"{long}",b@x.com,more\nCy,c@x.com\n',
+            "b.csv": '"first\nname",name,email,company\nX,"B ""Q"", C",b@x.com,"c\n\nd"\n,Di,d@x.com,,\n',
+        }
+    )
+    read = sources.read_csv_rows(spark, path)
+    rows = {r.email: r for r in read.valid.collect()}
+    assert set(rows) == {"a@x.com", "b@x.com", "c@x.com"} and rows["a@x.com"].name == long
+    assert (rows["b@x.com"]["first\nname"], rows["b@x.com"].name, rows["b@x.com"].company) == ("X", 'B "Q", C', "c\n\nd")
+    assert sorted((r.row_key, r.row_no, r.reject_reason) for r in read.rejects.collect()) == [
+        ("a.csv", 2, "3 cells under 2 columns"), ("b.csv", 2, "5 cells under 4 columns"),
+    ]
+
+
+def test_rows_of_split_files_have_numbers(spark, folder):
+    lines = [f"{i},n{i}" + (",x" if i % 900 == 0 else "") for i in range(1, 5001)]
+    path = folder({"long.csv": "id,name\n" + "\n".join(lines) + "\n", "short.csv": "id,name\n1,a\n2,b,c\n"})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        read = sources.read_csv_rows(spark, path, multi_line=False)
+        assert sorted((r.row_key, r.row_no) for r in read.rejects.collect()) == [*(("long.csv", n) for n in range(900, 5001, 900)), ("short.csv", 2)]
+        valid = sources.row_numbers(read.valid, sources.flag_csv_rows(spark, path, False).select(sources.POSITION), "n")
+        assert valid.where("_file = 'long.csv' AND CAST(id AS INT) <> n").count() == 0
+        later = valid.where("_file = 'long.csv'").orderBy(sources.POSITION).select(F.col("id").cast("int").alias("id")).collect()
+        assert [r.id for r in later] == sorted(r.id for r in later)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_the_later_record_wins(spark, folder, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("later"))
+    rows = ["Zed,same@x.com,OLD", "Bo,bo@x.com,first"] + [f"N{i},n{i}@x.com,c" for i in range(20)] + ["Amy,same@x.com,NEW", "Al,bo@x.com,last"]
+    path = folder({"2024-01-01-e.csv": "name,email,company\n" + "\n".join(rows) + "\n", "2024-01-01-e.json": '{"event_url": "u"}'})
+    assert attendees.run(spark, path, out, "2030-01-01") == {"valid": 24, "rejected": 0}
+    stored = {r.email: (r.name, r.company) for r in spark.read.json(f"{out}/objects").collect()}
+    assert len(stored) == 22 and stored["same@x.com"] == ("Amy", "NEW") and stored["bo@x.com"] == ("Al", "last")
+
+
+def test_attendee_folder_is_parsed_once(spark, folder, monkeypatch):
+    path = folder(ATTENDEES)
+    seen = []
+    settle = attendees.settle_flagged
+
+    def watch(flagged, name):
+        seen.append(flagged._jdf.queryExecution().executedPlan().toString().count("FileScan csv"))
+        return settle(flagged, name)
+
+    monkeypatch.setattr(attendees, "settle_flagged", watch)
+    built = attendees.plan(spark, path, "2030-01-01")
+    assert seen == [1]
+    for frame in (built.aligned, built.objects, built.counts, built.rejects):
+        assert "FileScan csv" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert built.report == {"valid": 3, "rejected": 3}
+
+
+def test_settled_rows_are_counted_once(spark, tmp_path):
+    rows = spark.range(1000).withColumn("s", F.when(F.col("id") % 10 == 0, "a").otherwise("b"))
+    settled = outcomes.settle(rows, ("a", "b", "c"), F.col("s"), "t", ["s"])
+    assert settled.counts == {"a": 100, "b": 900, "c": 0} and settled.rows.columns == ["id", "_status"]
+    assert settled.of("a").count() == 100 and settled.of("c").count() == 0 and settled.of("a", "b").count() == 1000
+    with pytest.raises(Exception, match="unknown status b"):
+        outcomes.settle(rows, ("a",), F.col("s"), "t")
+
+
 def test_typed_and_strict_csv(spark, folder):
     path = folder({"ids.csv": "recording_id,n\n007,1\n8,x\n"})
     typed = sources.read_csv_columns(spark, f"{path}/ids.csv", "recording_id string, n string")
@@ -229,39 +323,29 @@ def test_raw_is_stored_once(spark, tmp_path):
     assert sorted(r.payload for r in spark.read.parquet(path).collect()) == ["a", "b", "c"]
 
 
-def test_keyed_table(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
+def test_upsert(spark, tmp_path):
+    path = str(tmp_path / "t")
     schema = "id int, v string, t int"
-    assert not table.exists()
-    assert table.keys(spark.createDataFrame([], schema).schema).count() == 0
     first = spark.createDataFrame([(1, "a", 0), (2, "old", 0), (2, "b", 1), (None, "x", 0)], schema)
-    second = spark.createDataFrame([(2, "B", 0), (3, "c", 0)], schema)
-    table.upsert(first, 0, [F.desc("t")])
-    for _ in range(2):
-        table.upsert(second, 1, [F.desc("t")])
-        assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "a"), (2, "B"), (3, "c")]
-    table.upsert(second.where("id = 3").withColumn("v", F.lit("C")), 2, [F.desc("t")])
-    compacted = table.compact(str(tmp_path / "u"))
-    for current in (table, compacted):
-        assert sorted((r.id, r.v) for r in current.read().collect()) == [(1, "a"), (2, "B"), (3, "C")]
-    assert sorted(r.id for r in table.keys(first.schema, before=1).collect()) == [1, 2]
-    with pytest.raises(AnalysisException):
-        table.compact(str(tmp_path / "u"))
-
-
-def test_loads_repeated_after_compaction_lose_nothing(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
-    loads = [spark.range(10 * n, 10 * n + 15).select(F.col("id").cast("int").alias("id"), F.lit(f"load {n}").alias("v")) for n in range(3)]
-    for n, rows in enumerate(loads):
-        table.upsert(rows, n, [F.col("v")])
-    expected = sorted((r.id, r.v) for r in table.read().collect())
-    compacted = table.compact(str(tmp_path / "u"))
+    second = spark.createDataFrame([(2, "B", 0), (3, "c", 0), (3, "c0", -1)], schema)
+    tables.upsert_rows(first, path, "id", [F.desc("t")])
     for _ in range(2):
-        compacted.upsert(loads[2], 2, [F.col("v")])
-        assert sorted((r.id, r.v) for r in compacted.read().collect()) == expected
-    assert sorted(r.id for r in compacted.keys(loads[0].schema, before=2).collect()) == list(range(35))
-    with pytest.raises(ValueError, match="load numbers start at 0"):
-        compacted.upsert(loads[0], -1, [F.col("v")])
+        tables.upsert_rows(second, path, "id", [F.desc("t")])
+        assert sorted((r.id, r.v) for r in tables.read_upserted(spark, path).collect()) == [(1, "a"), (2, "B"), (3, "c")]
+    tables.upsert_rows(spark.range(500).select(F.col("id").cast("int").alias("id"), F.lit("n").alias("v"), F.lit(0).alias("t")), path, "id", [F.col("v")])
+    tables.upsert_rows(first.where("false"), path, "id", [F.col("v")])
+    assert {r.v for r in tables.read_upserted(spark, path).collect()} == {"n"} and tables.read_upserted(spark, path).count() == 500
+
+
+def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = spark.range(200).select(F.col("id").cast("int").alias("id"), F.lit("old").alias("v"))
+    tables.upsert_rows(rows, str(path), "id", [F.col("v")], 8)
+    before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    tables.upsert_rows(rows.where("id = 7").withColumn("v", F.lit("new")), str(path), "id", [F.col("v")], 8)
+    kept = [f for f in before if f.exists() and f.stat().st_mtime_ns == before[f]]
+    assert len({f.parent for f in kept}) == 7
+    assert {r.v: r["count"] for r in tables.read_upserted(spark, str(path)).groupBy("v").count().collect()} == {"old": 199, "new": 1}
 
 
 def test_ledger(spark, tmp_path):

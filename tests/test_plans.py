@@ -101,9 +101,24 @@ def test_event_files(spark, tmp_path):
         (folder / name).write_text(json.dumps(doc, indent=2))
     records.run_events(spark, PRODUCTS, str(folder), str(tmp_path / "out"))
     assert [(r.file_name, r.id) for r in spark.read.json(str(tmp_path / "out/objects")).collect()] == [("product-1.jsonl", 1)]
+    (folder / "_z.json").write_text("{}")
+    records.run_events(spark, PRODUCTS, str(folder), str(tmp_path / "out"))
     assert sorted(r.reject_reason for r in spark.read.json(str(tmp_path / "out/rejects")).collect()) == [
-        "Invalid webhook: Invalid product ID", "missing id",
+        "Invalid webhook: Invalid product ID", "file names that start with _ or . are not read", "missing id",
+    ]
+
+
+def test_event_lines_are_read_once_with_numbers_and_counts(spark, tmp_path):
+    lines = ['{"id": 1, "title": "x"}', "", '{"id": 2, "title": "old"}', "{oops", "   ", '{"id": 2, "title": "new"}', '{"id": 0, "title": "y"}']
+    (tmp_path / "in.jsonl").write_text("\n".join(lines) + "\n")
+    counts = records.run_event_lines(spark, PRODUCTS, str(tmp_path / "in.jsonl"), str(tmp_path / "out"))
+    assert counts == {"valid": 3, "rejected": 2, "blank": 2}
+    assert sorted((r.id, r.title) for r in spark.read.json(str(tmp_path / "out/objects")).collect()) == [(1, "x"), (2, "new")]
+    rejects = spark.read.json(str(tmp_path / "out/rejects")).orderBy("line_no").collect()
+    assert [(r.line_no, r.text if "text" in r else None, r.reject_reason) for r in rejects] == [
+        (4, "{oops", "not a document of this schema"), (7, None, "Invalid webhook: Invalid product ID"),
     ]
+    assert spark.read.json(str(tmp_path / "out/report")).first().asDict() == counts
 
 
 def test_replay_appends_pairs(spark, tmp_path):

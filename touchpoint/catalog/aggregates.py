@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from touchpoint.catalog import roles
 from touchpoint.catalog.registry import query
 from touchpoint.catalog.roles import table
-from touchpoint.functions.text import is_blank
+from touchpoint.datasets import PRODUCTS
 from touchpoint.operators import keys, reports
+from touchpoint.operators.enrich import HashingEmbedder, RefusedText
 from touchpoint.operators.transcripts import assemble_messages, number_messages
 from touchpoint.plans.mentions import newest_per_url, typed
+from touchpoint.plans.records import embed_upsert
+from touchpoint.session import scratch_path
 
 
 @query(
@@ -55,23 +58,37 @@ def a05(spark, sf):
     return assemble_messages(numbered, "conv_id", ["turn", "pos"])
 
 
+class LimitedEmbedder(HashingEmbedder):
+    """Refuses texts beyond a length, as the service does with too many tokens."""
+
+    def __init__(self, dim: int, limit: int):
+        super().__init__(dim)
+        self.limit = limit
+
+    def __call__(self, texts):
+        if max(map(len, texts)) > self.limit:
+            raise RefusedText("The input token count exceeds the limit")
+        return super().__call__(texts)
+
+
 @query(
     "a06_run_report",
-    """SELECT count(*) AS n_total, count(*) FILTER (WHERE bad) AS n_invalid, count(*) FILTER (WHERE NOT bad AND known) AS n_skipped,
+    """SELECT count(*) AS n_total, count(*) FILTER (WHERE bad) AS n_invalid, count(*) FILTER (WHERE NOT bad AND known) AS n_skipped, CAST(0 AS BIGINT) AS n_repeated,
       count(*) FILTER (WHERE NOT bad AND NOT known AND big) AS n_failed, count(*) FILTER (WHERE NOT bad AND NOT known AND NOT big) AS n_embedded,
       CAST(ceil(count(*) FILTER (WHERE NOT bad AND NOT known) / 249.0) AS BIGINT) AS n_batches
-    FROM (SELECT lang = 'es' AS bad, doc_id IN (SELECT doc_id FROM labels) AS known, n_chars > 20000 AS big FROM documents)""",
+    FROM (SELECT lang = 'es' OR doc_id <= 0 OR trim(text) = '' AS bad, doc_id IN (SELECT doc_id FROM labels) AS known, length(text) > 20000 AS big FROM documents)""",
 )
 def a06(spark, sf):
-    stored = table(spark, sf, "labels").select("doc_id").distinct().withColumn("known", F.lit(True))
-    rows = table(spark, sf, "documents").join(stored, "doc_id", "left")
-    text = F.when(F.col("lang") == "es", " ").otherwise(F.col("text"))
-    invalid, known, refused = is_blank(text), F.coalesce("known", F.lit(False)), F.col("n_chars") > 20000
-    flags = rows.select(
-        invalid.alias("invalid"), (~invalid & known).alias("skipped"), (~invalid & ~known & refused).alias("failed"),
-        (~invalid & ~known & ~refused).alias("embedded"),
-    )
-    return reports.run_report(flags, 300)
+    """The report of an embedding run over all documents, some of which are stored already and some too long for the service."""
+    path = scratch_path(spark, "a06")
+    rows = table(spark, sf, "documents")
+    stored = table(spark, sf, "labels").select("doc_id").distinct()
+    empty = F.array().cast("array<float>")
+    stored.select(F.lit(None).cast("string").alias("title"), F.col("doc_id").alias("id"), empty.alias("embedding")).write.parquet(path)
+    title = F.when(F.col("lang") == "es", " ").otherwise(F.col("text"))
+    records = rows.select(title.alias("title"), F.col("doc_id").alias("id"))
+    report = embed_upsert(records, PRODUCTS, path, LimitedEmbedder(4, 20_000), 300).report
+    return spark.createDataFrame([tuple(report.values())], ", ".join(f"{n} bigint" for n in report))
 
 
 FAILURES = [

@@ -14,74 +14,97 @@ from touchpoint.operators.enrich import HashingEmbedder
 from touchpoint.plans import attendees, calls, mentions, records
 
 from touchpoint.session import scratch_path
-from touchpoint.sinks.files import export_objects, write_csv
-from touchpoint.sinks.tables import KeyedTable, Ledger
+from touchpoint.sinks.files import export_objects
+from touchpoint.sinks.tables import Ledger
 
 
 @query(
     "job_attendees",
-    f"""WITH {roles.ATTENDEES_SQL}, ok AS (SELECT *, stem AS source FROM att WHERE reason IS NULL),
-    objects AS (SELECT *, {ATTENDEE_NAME_SQL} AS file_name FROM ok)
-    SELECT 'object' AS kind, file_name AS label, max(email) AS email, CAST(1 AS BIGINT) AS n FROM objects GROUP BY file_name
-    UNION ALL SELECT 'aggregate', source, NULL, count(*) FROM ok GROUP BY source
-    UNION ALL SELECT 'reject', reason, NULL, count(*) FROM att WHERE reason IS NOT NULL GROUP BY reason""",
+    f"""WITH {roles.ATTENDEES_SQL}, {roles.UNREAD_SQL}, ok AS (SELECT *, stem AS source FROM att WHERE reason IS NULL),
+    objects AS (SELECT *, {ATTENDEE_NAME_SQL} AS file_name FROM ok),
+    later AS (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY c_custkey DESC) AS r FROM objects)
+    SELECT 'object' AS kind, file_name AS label, name, email, CAST(1 AS BIGINT) AS n FROM later WHERE r = 1
+    UNION ALL SELECT 'aggregate', source, NULL, NULL, count(*) FROM ok GROUP BY source
+    UNION ALL SELECT 'reject', reason, stem || '.csv', NULL, row_no FROM att WHERE reason IS NOT NULL
+    UNION ALL SELECT 'reject', reason, name, NULL, NULL FROM unread
+    UNION ALL SELECT 'report', 'valid', NULL, NULL, count(*) FROM ok UNION ALL SELECT 'report', 'rejected', NULL, NULL, count(*) FROM att WHERE reason IS NOT NULL""",
 )
 def job_attendees(spark, sf):
     folder = staged(spark, sf, "attendees", lambda path: export_objects(roles.attendee_files(spark, sf), path))
     out = scratch_path(spark, "job-attendees")
     attendees.run(spark, folder, out, roles.AS_OF)
     nothing = F.lit(None).cast("string")
-    objects = spark.read.schema("file_name string, email string").json(f"{out}/objects")
+    objects = spark.read.schema("file_name string, name string, email string").json(f"{out}/objects")
     aggregate = spark.read.options(header="true", escape='"').csv(f"{out}/aggregate").groupBy("source").count()
-    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects").groupBy("reject_reason").count()
+    rejects = spark.read.schema("row_key string, row_no bigint, reject_reason string").json(f"{out}/rejects")
     return (
-        objects.select(F.lit("object").alias("kind"), F.col("file_name").alias("label"), "email", F.lit(1).cast("bigint").alias("n"))
-        .union(aggregate.select(F.lit("aggregate"), "source", nothing, "count"))
-        .union(rejects.select(F.lit("reject"), "reject_reason", nothing, "count"))
+        objects.select(F.lit("object").alias("kind"), F.col("file_name").alias("label"), "name", "email", F.lit(1).cast("bigint").alias("n"))
+        .union(aggregate.select(F.lit("aggregate"), "source", nothing, nothing, "count"))
+        .union(rejects.select(F.lit("reject"), "reject_reason", "row_key", nothing, "row_no"))
+        .union(_report(spark, out, "valid", "rejected").select(F.lit("report"), "label", nothing, nothing, "n"))
     )
 
 
+def _report(spark, out: str, *counts: str):
+    """The stored counts of a run, one row each."""
+    row = spark.read.schema(", ".join(f"{c} bigint" for c in counts)).json(f"{out}/report")
+    return row.select(F.explode(F.create_map(*[x for c in counts for x in (F.lit(c), F.col(c))])).alias("label", "n"))
+
+
 @query(
     "job_mentions",
-    f"""WITH {roles.MENTIONS_SQL}, d AS (SELECT *, {MENTION_NAME_SQL} AS file_name FROM (
-        SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, source_id) AS r FROM mv) WHERE r = 1)
-    SELECT file_name, 'mention_created' AS action, url, source_id, body FROM (
-      SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY url DESC) AS f FROM d) WHERE f = 1""",
+    f"""WITH {roles.MENTIONS_SQL}, {roles.UNREAD_SQL}, why AS (SELECT *, concat_ws(', ', CASE WHEN relevance_comment IS NULL THEN 'relevance_comment' END,
+        CASE WHEN doc_id % 11 = 0 THEN 'timestamp' END) AS lacks, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) AS row_no FROM mn),
+    judged AS (SELECT *, CASE WHEN doc_id % 13 = 4 THEN '16 cells under 15 columns' ELSE nullif(lacks, '') END AS reason FROM why),
+    d AS (SELECT *, {MENTION_NAME_SQL} AS file_name FROM (
+        SELECT *, row_number() OVER (PARTITION BY url ORDER BY ts DESC, source_id) AS r FROM mv WHERE doc_id % 13 <> 4) WHERE r = 1)
+    SELECT 'object' AS kind, file_name, 'mention_created' AS label, url, source_id, body, CAST(1 AS BIGINT) AS n FROM (
+      SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY doc_id DESC) AS f FROM d) WHERE f = 1
+    UNION ALL SELECT 'reject', 'mentions-' || lpad(CAST(doc_id // 100 AS VARCHAR), 8, '0') || '.csv', reason, NULL, NULL, NULL, row_no FROM judged WHERE reason IS NOT NULL
+    UNION ALL SELECT 'reject', name, reason, NULL, NULL, NULL, NULL FROM unread
+    UNION ALL SELECT 'report', NULL, 'valid', NULL, NULL, NULL, count(*) FROM judged WHERE reason IS NULL
+    UNION ALL SELECT 'report', NULL, 'rejected', NULL, NULL, NULL, count(*) FROM judged WHERE reason IS NOT NULL""",
 )
 def job_mentions(spark, sf):
-    def write(path: str) -> None:
-        rows = roles.mentions(spark, sf).withColumnsRenamed(
-            {"url": "URL", "title": "Title", "source_id": "Source ID", "author": "Author", "relevance_score": "Relevance Score"}
-        )
-        write_csv(rows, path)
-
+    folder = staged(spark, sf, "mention-exports", lambda path: export_objects(roles.mention_files(spark, sf), path))
     out = scratch_path(spark, "job-mentions")
-    mentions.run(spark, staged(spark, sf, "mentions-csv", write), out)
+    mentions.run(spark, folder, out)
     stored = spark.read.schema(
         "file_name string, action string, data struct<url: string, source_id: string, body: string>"
     ).json(f"{out}/objects")
-    return stored.select("file_name", "action", "data.*")
+    rejects = spark.read.schema("row_key string, row_no bigint, reject_reason string").json(f"{out}/rejects")
+    nothing = F.lit(None).cast("string")
+    return (
+        stored.select(F.lit("object").alias("kind"), "file_name", F.col("action").alias("label"), "data.*", F.lit(1).cast("bigint").alias("n"))
+        .union(rejects.select(F.lit("reject"), "row_key", "reject_reason", nothing, nothing, nothing, "row_no"))
+        .union(_report(spark, out, "valid", "rejected").select(F.lit("report"), nothing, "label", nothing, nothing, nothing, "n"))
+    )
 
 
 @query(
     "job_events_etl",
-    f"""WITH {roles.RECEIPTS_SQL} SELECT strftime("at", '%Y%m%d-%H%M%S') || '-txn-' || id || '-user-' || user_id || '.jsonl' AS file_name, id, body, CAST(NULL AS VARCHAR) AS reject_reason
-      FROM rc WHERE id > 0 AND user_id > 0 AND trim(body) <> ''
-    UNION ALL SELECT NULL, NULL, NULL, 'Invalid webhook: ' || concat_ws(', ', CASE WHEN id <= 0 THEN 'Invalid transaction ID' END, CASE WHEN user_id <= 0 THEN 'Invalid user ID' END,
-        CASE WHEN trim(body) = '' THEN 'Empty receipt body' END) FROM rc WHERE NOT (id > 0 AND user_id > 0 AND trim(body) <> '')""",
+    f"""WITH {roles.RECEIPTS_SQL}, judged AS (SELECT *, CASE WHEN user_id = 7 THEN 'not a document of this schema' ELSE 'Invalid webhook: ' || nullif(concat_ws(', ', CASE WHEN id <= 0 THEN 'Invalid transaction ID' END,
+        CASE WHEN user_id <= 0 THEN 'Invalid user ID' END, CASE WHEN trim(body) = '' THEN 'Empty receipt body' END), '') END AS reason FROM rc)
+    SELECT strftime("at", '%Y%m%d-%H%M%S') || '-txn-' || id || '-user-' || user_id || '.jsonl' AS file_name, id, body, CAST(NULL AS VARCHAR) AS reject_reason, CAST(1 AS BIGINT) AS n
+      FROM judged WHERE reason IS NULL
+    UNION ALL SELECT NULL, NULL, CASE WHEN user_id = 7 THEN '{{"id": ' || id || ', "at"' END, reason, 1 FROM judged WHERE reason IS NOT NULL
+    UNION ALL SELECT 'report', NULL, NULL, 'valid', count(*) FROM judged WHERE reason IS NULL
+    UNION ALL SELECT 'report', NULL, NULL, 'rejected', count(*) FROM judged WHERE reason IS NOT NULL
+    UNION ALL SELECT 'report', NULL, NULL, 'blank', count(*) FROM rc WHERE user_id = 8""",
 )
 def job_events_etl(spark, sf):
-    def write(path: str) -> None:
-        rows = roles.receipts(spark, sf)
-        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
-
-    source = staged(spark, sf, "receipt-lines", write)
+    source = staged(spark, sf, "receipt-lines", lambda path: roles.receipt_lines(spark, sf).write.text(path))
     out = scratch_path(spark, "job-events")
     records.run_event_lines(spark, RECEIPTS, source, out)
     objects = spark.read.schema("file_name string, id bigint, body string, reject_reason string").json(f"{out}/objects")
-    rejects = spark.read.schema("reject_reason string").json(f"{out}/rejects")
-    nothing = F.lit(None)
-    return objects.union(rejects.select(nothing.cast("string"), nothing.cast("bigint"), nothing.cast("string"), "reject_reason"))
+    rejects = spark.read.schema("text string, reject_reason string").json(f"{out}/rejects")
+    nothing, one = F.lit(None), F.lit(1).cast("bigint")
+    broken = F.when(F.col("reject_reason") == "not a document of this schema", F.col("text"))
+    return (
+        objects.withColumn("n", one)
+        .union(rejects.select(nothing.cast("string"), nothing.cast("bigint"), broken, "reject_reason", one))
+        .union(_report(spark, out, "valid", "rejected", "blank").select(F.lit("report"), nothing.cast("bigint"), nothing.cast("string"), "label", "n"))
+    )
 
 
 @query(
@@ -192,18 +215,34 @@ def job_srt_import(spark, sf):
     return events.union(rejects.select(nothing, nothing, nothing, nothing, "reject_reason"))
 
 
+REPORT = ("n_total", "n_invalid", "n_skipped", "n_repeated", "n_failed", "n_embedded", "n_batches")
+
+
 @query(
     "job_embed_upsert",
-    f"""WITH {roles.PRODUCTS_SQL} SELECT id, CASE WHEN s_suppkey IS NULL THEN title ELSE s_name END AS title, CAST(64 AS BIGINT) AS dim
-    FROM pr LEFT JOIN supplier ON s_suppkey = id WHERE id > 0 AND (s_suppkey IS NOT NULL OR trim(title) <> '')""",
+    f"""WITH {roles.PRODUCTS_SQL}, judged AS (SELECT *, CASE WHEN id <= 0 THEN 'Invalid webhook: Invalid product ID' || CASE WHEN trim(title) = '' THEN ', Empty product title' ELSE '' END
+        WHEN trim(title) = '' THEN 'Invalid webhook: Empty product title' END AS reason, id IN (SELECT s_suppkey FROM supplier WHERE s_suppkey > 0) AS known FROM pr),
+    runs AS (SELECT 0 AS run, count(*) AS n_total, count(*) FILTER (WHERE s_suppkey <= 0) AS n_invalid, 0 AS n_skipped, count(*) FILTER (WHERE s_suppkey > 0) AS n_embedded FROM supplier
+      UNION ALL SELECT 1, count(*), count(reason), count(*) FILTER (WHERE reason IS NULL AND known), count(*) FILTER (WHERE reason IS NULL AND NOT known) FROM judged
+      UNION ALL SELECT 2, count(*), count(reason), count(*) FILTER (WHERE reason IS NULL), 0 FROM judged)
+    SELECT 'row' AS kind, id, CASE WHEN known THEN s_name ELSE title END AS label, CAST(64 AS BIGINT) AS n FROM judged LEFT JOIN supplier ON s_suppkey = id
+      WHERE known OR reason IS NULL
+    UNION ALL SELECT 'row', s_suppkey, s_name, 64 FROM supplier WHERE s_suppkey > 0 AND s_suppkey NOT IN (SELECT id FROM pr)
+    UNION ALL SELECT 'reject', id, reason, 2 FROM judged WHERE reason IS NOT NULL
+    UNION ALL SELECT 'report ' || run, NULL, unnest(['n_total', 'n_invalid', 'n_skipped', 'n_repeated', 'n_failed', 'n_embedded', 'n_batches']),
+      unnest([n_total, n_invalid, n_skipped, 0, 0, n_embedded, CAST(ceil(n_embedded / 35.0) AS BIGINT)]) FROM runs""",
 )
 def job_embed_upsert(spark, sf):
-    target = KeyedTable(spark, scratch_path(spark, "job-embed"), "id")
+    """Three loads; the third finds all its keys stored."""
+    path = scratch_path(spark, "job-embed")
     stored = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("title"))
-    embedder = HashingEmbedder(64)
-    for load, rows in enumerate((stored, roles.products(spark, sf), roles.products(spark, sf))):
-        records.embed_upsert(rows, PRODUCTS, target, load, embedder)
-    return target.read().select("id", "title", F.size("embedding").cast("bigint").alias("dim"))
+    loads = (stored, roles.products(spark, sf), roles.products(spark, sf))
+    runs = [records.embed_upsert(rows, PRODUCTS, path, HashingEmbedder(64)) for rows in loads]
+    made = spark.read.parquet(path).select(F.lit("row").alias("kind"), F.col("id").cast("bigint").alias("id"), F.col("title").alias("label"), F.size("embedding").cast("bigint").alias("n"))
+    refused = runs[1].rejects.unionByName(runs[2].rejects).groupBy("id", "reject_reason").count()
+    counts = [(f"report {i}", None, name, run.report[name]) for i, run in enumerate(runs) for name in REPORT]
+    reports = spark.createDataFrame(counts, "kind string, id bigint, label string, n bigint")
+    return made.union(refused.select(F.lit("reject"), F.col("id").cast("bigint"), "reject_reason", "count")).union(reports)
 
 
 @query(

@@ -61,6 +61,15 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def receipt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts as JSON Lines; some lines are cut off, some are followed by a blank one."""
+    rows = receipts(spark, sf_dir)
+    good = F.to_json(F.struct(*rows.columns))
+    cut = F.concat(F.lit('{"id": '), _s("id"), F.lit(', "at"'))
+    return rows.select(F.when(F.col("user_id") == 7, cut).when(F.col("user_id") == 8, F.concat(good, F.lit("\n  "))).otherwise(good).alias("value"))
+
+
+
 MENTIONS_SQL = """mn AS (
   SELECT doc_id, TIMESTAMP '2024-01-01' + to_seconds(doc_id * 4327) AS ts,
     'https://social.example/p/' || (n_chars % 400) AS url,
@@ -315,30 +324,55 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.where(F.trim("line") != "")
 
 
-ATTENDEES_SQL = """att AS (
+ATTENDEES_SQL = """att_all AS (
   SELECT c_custkey, c_nationkey % 5 AS g, c_custkey // 1000 AS b,
-    c_name || ', ' || c_mktsegment AS name,
-    CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE lower(replace(c_name, '#', '.')) || '@mail.example.com' END AS email,
+    c_name || ', ' || c_mktsegment || CASE WHEN c_custkey % 89 = 7 THEN repeat(' "so called", ', 400) ELSE '' END AS name,
+    CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 'desk' || (c_custkey // 40) || '@mail.example.com'
+         ELSE lower(replace(c_name, '#', '.')) || '@mail.example.com' END AS email,
     CASE WHEN c_nationkey % 5 = 2 THEN NULL ELSE c_mktsegment END AS company,
     CASE WHEN c_nationkey % 5 = 3 THEN '20240405-legacy_' || (c_custkey // 1000)
          WHEN c_nationkey % 5 = 4 THEN 'undated_' || (c_custkey // 1000)
          ELSE '2024-0' || (c_nationkey % 5 + 1) || '-05-event_' || (c_custkey // 1000) END AS stem,
     CASE WHEN c_nationkey % 5 = 3 THEN TIMESTAMP '2024-04-05' WHEN c_nationkey % 5 = 4 THEN TIMESTAMP '2024-06-01'
          ELSE make_timestamp(2024, c_nationkey % 5 + 1, 5, 0, 0, 0) END AS created_at,
+    CASE WHEN c_nationkey % 5 = 2 THEN 2 WHEN c_nationkey % 5 = 3 THEN 4 ELSE 3 END AS width, c_custkey % 97 = 5 AS ragged,
     CASE WHEN c_nationkey % 5 = 4 THEN 'event_url missing or empty in metadata file'
-         WHEN c_nationkey % 5 = 3 AND c_custkey // 1000 % 2 = 1 THEN 'required metadata file not found' END AS reason,
+         WHEN c_nationkey % 5 = 3 AND c_custkey // 1000 % 2 = 1 THEN 'required metadata file not found' END AS no_url,
     'https://ev.example/' || (c_nationkey % 5) || '/' || (c_custkey // 1000) AS event_url
-  FROM customer)"""
+  FROM customer), att AS (
+  SELECT *, CASE WHEN ragged THEN (width + 2) || ' cells under ' || width || ' columns' ELSE no_url END AS reason,
+    row_number() OVER (PARTITION BY stem ORDER BY c_custkey) AS row_no FROM att_all)"""
+
+#: Files of the attendee and mention folders that a scan passes over, with their content.
+UNREAD_FILES = {"zero.csv": "", "_draft.csv": "name,email\nKa,k@x.com\n"}
+UNREAD_SQL = """unread AS (SELECT * FROM (VALUES ('zero.csv', 'empty file'), ('_draft.csv', 'file names that start with _ or . are not read')) t(name, reason))"""
 
 AS_OF = "2024-06-01"
 
 
+def unread_files(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(UNREAD_FILES.items()), "file_name string, value string")
+
+
+def _cell(text: Column) -> Column:
+    """A quoted CSV cell."""
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
 def attendee_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files and sidecars of attendees: (file_name, value). A file holds at most 1000 customers."""
-    g, b = F.col("c_nationkey") % 5, F.floor(F.col("c_custkey") / 1000)
-    name = F.concat(F.lit('"'), F.col("c_name"), F.lit(", "), F.col("c_mktsegment"), F.lit('"'))
-    mail = F.when(F.col("c_custkey") % 4 == 0, "").otherwise(
-        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail.example.com"))
+    """CSV files and sidecars of attendees: (file_name, value). A file holds at most 1000 customers.
+
+    Some rows have two cells too many, some names thousands of characters with quotes and commas; a shared mail address
+    makes records with equal object names and different content; one header has a line break in quotes.
+    """
+    key = F.col("c_custkey")
+    g, b = F.col("c_nationkey") % 5, F.floor(key / 1000)
+    said = F.when(key % 89 == 7, F.repeat(F.lit(' "so called", '), 400)).otherwise("")
+    name = _cell(F.concat(F.col("c_name"), F.lit(", "), F.col("c_mktsegment"), said))
+    mail = (
+        F.when(key % 4 == 0, "")
+        .when(key % 3 == 1, _text("desk", F.floor(key / 40).cast("string"), "@mail.example.com"))
+        .otherwise(F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail.example.com")))
     )
     company = F.col("c_mktsegment")
     line = (
@@ -347,12 +381,13 @@ def attendee_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(g == 3, F.concat_ws(",", company, name, mail, F.lit("x")))
         .otherwise(F.concat_ws(",", name, mail, company))
     )
+    line = F.when(key % 97 == 5, F.concat(line, F.lit(',"more, and",'))).otherwise(line)
     rows = table(spark, sf_dir, "customer").select(g.alias("g"), b.alias("b"), "c_custkey", line.alias("line"))
     grouped = rows.groupBy("g", "b").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "line"))).alias("rows"))
     header = (
         F.when(F.col("g") == 1, "email,name,company")
         .when(F.col("g") == 2, "name,email")
-        .when(F.col("g") == 3, "company,name,email,extra")
+        .when(F.col("g") == 3, 'company,name,email,"extra\ncell"')
         .otherwise("name,email,company")
     )
     stem = (
@@ -367,7 +402,24 @@ def attendee_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     sidecars = files.where(~((F.col("g") == 3) & (F.col("b") % 2 == 1))).select(
         _text(F.col("stem"), ".json").alias("file_name"), F.to_json(F.struct(url.alias("event_url"))).alias("value")
     )
-    return files.select(_text(F.col("stem"), ".csv").alias("file_name"), "value").union(sidecars)
+    return files.select(_text(F.col("stem"), ".csv").alias("file_name"), "value").union(sidecars).union(unread_files(spark))
+
+
+def mention_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mention exports of at most 100 documents with whole texts, in two layouts; some rows have a cell too many."""
+    doc = F.regexp_extract("source_id", "[0-9]+", 0).cast("bigint")
+    rows = mentions(spark, sf_dir).withColumn("doc", doc)
+    names = [c for c in rows.columns if c != "doc"]
+    spelled = {"url": "URL", "title": "Title", "source_id": "Source ID", "author": "Author", "relevance_score": "Relevance Score"}
+    cells = {c: F.when(F.col(c).isNull(), "").otherwise(_cell(_s(c))) for c in names}
+    odd = F.floor(F.col("doc") / 100) % 2 == 1
+    line = F.when(odd, F.concat_ws(",", *[cells[c] for c in reversed(names)])).otherwise(F.concat_ws(",", *cells.values()))
+    line = F.when(F.col("doc") % 13 == 4, F.concat(line, F.lit(","))).otherwise(line)
+    listed = rows.groupBy(F.floor(F.col("doc") / 100).alias("b")).agg(F.sort_array(F.collect_list(F.struct("doc", line.alias("line")))).alias("rows"))
+    header = [spelled.get(c, c) for c in names]
+    value = F.concat_ws("\n", F.when(F.col("b") % 2 == 1, ",".join(reversed(header))).otherwise(",".join(header)), F.array_join("rows.line", "\n"))
+    named = _text("mentions-", F.lpad(_s("b"), 8, "0"), ".csv")
+    return listed.select(named.alias("file_name"), value.alias("value")).union(unread_files(spark))
 
 
 EXPORTS_SQL = """ex AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from touchpoint.catalog import roles
-from touchpoint.catalog.registry import query
+from touchpoint.catalog.registry import query, staged
 from touchpoint.catalog.roles import table, ts_text
 from touchpoint.catalog.scalars import MENTION_NAME_SQL
 from touchpoint.functions.dates import event_timestamp
@@ -17,22 +17,25 @@ from touchpoint.plans.records import profiles
 from touchpoint.schemas import ATTENDEE, MENTION_TABLE
 from touchpoint.session import scratch_path
 from touchpoint.sinks import files, tables
+from touchpoint.sources.files import POSITION, read_csv_folder
 
 
 @query(
     "k01_keyed_jsonl_sink",
     f"""WITH {roles.MENTIONS_SQL}, named AS (SELECT *, {MENTION_NAME_SQL} AS file_name FROM (
-        SELECT * REPLACE (TIMESTAMP '2024-01-01' + to_days(CAST(length(body) % 20 AS INTEGER)) AS ts) FROM mv))
+        SELECT * REPLACE (TIMESTAMP '2024-01-01' + to_days(CAST(length(body) % 20 AS INTEGER)) AS ts) FROM mv WHERE doc_id % 13 <> 4))
     SELECT file_name, source, source_id, body FROM (
-      SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY source_id DESC) AS r FROM named) WHERE r = 1""",
+      SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY doc_id DESC) AS r FROM named) WHERE r = 1""",
 )
 def k01(spark, sf):
+    """Records with equal names: the later row of the later file is kept, whatever its content."""
     at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=F.length("body") % 20)
-    mentions = typed(roles.mentions(spark, sf)).valid
+    folder = staged(spark, sf, "mention-exports", lambda path: files.export_objects(roles.mention_files(spark, sf), path))
+    mentions = typed(read_csv_folder(spark, folder)).valid
     name = mention_name(F.col("source"), F.col("keyword"), at, F.col("author"))
     path = scratch_path(spark, "k01")
-    named = mentions.select("source", "source_id", "body", name.alias("file_name"))
-    files.write_keyed_json(files.newest_objects(named, [F.desc("source_id")]), path, ["source"])
+    named = mentions.select("source", "source_id", "body", name.alias("file_name"), POSITION)
+    files.write_keyed_json(files.newest_objects(named, [F.desc(POSITION)]).drop(POSITION), path, ["source"])
     return spark.read.schema("file_name string, source string, source_id string, body string").json(path)
 
 
@@ -82,14 +85,15 @@ def k04(spark, sf):
       FROM orders) o ON o.o_custkey = s.s_suppkey WHERE coalesce(r, 1) = 1""",
 )
 def k05(spark, sf):
-    target = tables.KeyedTable(spark, scratch_path(spark, "k05"), "id")
+    path = scratch_path(spark, "k05")
     first = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("label"))
     label = F.concat(F.lit("order "), F.col("o_orderkey").cast("string"))
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"), label.alias("label"), "o_orderdate", "o_orderkey")
-    target.upsert(first, 0, [F.col("label")])
+    nothing = {c: F.lit(None).cast(orders.schema[c].dataType) for c in ("o_orderdate", "o_orderkey")}
+    tables.upsert_rows(first.withColumns(nothing), path, "id", [F.col("label")])
     for _ in range(2):
-        target.upsert(orders, 1, [F.desc("o_orderdate"), F.desc("o_orderkey")])
-    return target.read().select("id", "label")
+        tables.upsert_rows(orders, path, "id", [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    return tables.read_upserted(spark, path).select("id", "label")
 
 
 @query(

@@ -59,16 +59,21 @@ def _attendees(spark, sf):
 
 @query(
     "s02_csv_folder_scan",
-    f"""WITH {roles.ATTENDEES_SQL} SELECT stem || '.csv' AS _file, name, email, company, CASE WHEN g = 3 THEN 'x' END AS extra FROM att""",
+    f"""WITH {roles.ATTENDEES_SQL} SELECT stem || '.csv' AS _file, CASE WHEN NOT ragged THEN name END AS name, CASE WHEN NOT ragged THEN email END AS email,
+      CASE WHEN NOT ragged THEN company END AS company, CASE WHEN g = 3 AND NOT ragged THEN 'x' END AS extra, CASE WHEN ragged THEN row_no END AS row_no,
+      CASE WHEN ragged THEN reason END AS reject_reason FROM att""",
 )
 def s02(spark, sf):
-    return files.read_csv_folder(spark, _attendees(spark, sf)).select("_file", "name", "email", "company", "extra")
+    read = files.read_csv_rows(spark, _attendees(spark, sf))
+    nothing = F.lit(None).cast("string")
+    valid = read.valid.select("_file", "name", "email", "company", F.col("`extra\ncell`").alias("extra"), F.lit(None).cast("bigint").alias("row_no"), nothing.alias(REASON))
+    return valid.union(read.rejects.select("_file", nothing, nothing, nothing, nothing, "row_no", REASON))
 
 
 @query(
     "s03_csv_sidecar_join",
-    f"""WITH {roles.ATTENDEES_SQL} SELECT stem || '.csv' AS _file, name, CASE WHEN reason IS NULL THEN event_url END AS event_url,
-      reason AS reject_reason FROM att""",
+    f"""WITH {roles.ATTENDEES_SQL} SELECT stem || '.csv' AS _file, name, CASE WHEN no_url IS NULL THEN event_url END AS event_url,
+      no_url AS reject_reason FROM att WHERE NOT ragged""",
 )
 def s03(spark, sf):
     folder = _attendees(spark, sf)
@@ -148,19 +153,24 @@ def s07(spark, sf):
 
 @query(
     "s08_csv_slice_scan",
-    """SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM (
-      SELECT *, row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) AS r FROM customer) WHERE r <= 600""",
+    """SELECT CASE WHEN extra THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS id, CASE WHEN NOT extra THEN c_name END AS name,
+      CASE WHEN NOT extra THEN c_mktsegment END AS segment, CASE WHEN extra THEN 2 * r + 2 END AS line_no, CASE WHEN extra THEN '4 cells under 3 columns' END AS reject_reason
+    FROM (SELECT *, c_custkey % 31 = 6 AS extra, row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) AS r FROM customer) WHERE r <= 600""",
 )
 def s08(spark, sf):
     def write(path: str) -> None:
-        line = F.concat_ws(",", _string("c_custkey"), F.concat(F.lit('"'), "c_name", F.lit('"')), "c_mktsegment")
+        more = F.when(F.col("c_custkey") % 31 == 6, ',"a, ""b"""').otherwise("")
+        line = F.concat(F.concat_ws(",", _string("c_custkey"), F.concat(F.lit('"'), "c_name", F.lit('"')), "c_mktsegment"), more)
         rows = table(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / 1000).alias("b")).agg(
             F.sort_array(F.collect_list(F.struct("c_custkey", line.alias("line")))).alias("rows")
         )
         value = F.concat(F.lit("exported by hand\n\nid,name,segment\n"), F.array_join("rows.line", "\n\n"))
         export_objects(rows.select(F.concat(F.lit("part-"), _string("b"), F.lit(".csv")).alias("file_name"), value.alias("value")), path)
 
-    return files.read_csv_slice(spark, staged(spark, sf, "sliced-csv", write), skip_rows=2, n_rows=600).select("id", "name", "segment")
+    read = files.read_csv_slice(spark, staged(spark, sf, "sliced-csv", write), skip_rows=2, n_rows=600)
+    nothing = F.lit(None).cast("string")
+    valid = read.valid.select("id", "name", "segment", F.lit(None).cast("bigint").alias("line_no"), nothing.alias(REASON))
+    return valid.union(read.rejects.select(nothing, nothing, nothing, "line_no", REASON))
 
 
 def _user_csv(spark, sf):

@@ -9,11 +9,11 @@ from touchpoint.catalog.registry import query, staged
 from touchpoint.catalog.roles import table
 from touchpoint.datasets import DESCRIPTIONS, RECEIPTS
 from touchpoint.operators.enrich import HashingEmbedder
+from touchpoint.operators.joins import stack_frames
 from touchpoint.operators.project import json_line
 from touchpoint.operators.validate import REASON
 from touchpoint.schemas import PRODUCT_DESCRIPTION, RECEIPT
 from touchpoint.session import scratch_path
-from touchpoint.sinks.tables import KeyedTable
 from touchpoint.streaming import landing
 
 
@@ -21,55 +21,72 @@ def _landed(spark, sf, name, rows):
     return staged(spark, sf, name, lambda path: rows.repartition(4).write.option("ignoreNullFields", "false").json(path))
 
 
-def _receipts(spark, sf):
-    return _landed(spark, sf, "landing-receipts", roles.receipts(spark, sf))
-
-
 @query("g01_stream_raw", "SELECT sha256(payload) AS object_key, payload FROM (SELECT DISTINCT props AS payload FROM events)")
 def g01(spark, sf):
-    source = staged(spark, sf, "landing-raw", lambda path: table(spark, sf, "events").select("props").repartition(4).write.text(path))
+    """Every payload is landed twice, in different batches."""
+    def write(path: str) -> None:
+        for _ in range(2):
+            table(spark, sf, "events").select("props").repartition(4).write.mode("append").text(path)
+
     out = scratch_path(spark, "g01")
-    landing.land_raw(landing.payload_stream(spark, source, 2), out, f"{out}-state", drain=True).awaitTermination()
+    landing.land_raw(landing.payload_stream(spark, staged(spark, sf, "landing-raw", write), 4), out, f"{out}-state", drain=True).awaitTermination()
     return landing.read_raw(spark, out)
 
 
 @query(
     "g02_stream_etl",
     f"""WITH {roles.RECEIPTS_SQL}, r AS (SELECT id, user_id, body, strftime("at", '%Y%m%d-%H%M%S') || '-txn-' || id || '-user-' || user_id || '.jsonl' AS file_name,
-      concat_ws(', ', CASE WHEN id <= 0 THEN 'Invalid transaction ID' END, CASE WHEN user_id <= 0 THEN 'Invalid user ID' END,
-        CASE WHEN trim(body) = '' THEN 'Empty receipt body' END) AS why FROM rc)
-    SELECT id, CASE WHEN why = '' THEN file_name END AS file_name, CASE WHEN why = '' THEN '{{"id":' || id || ',"user_id":' || user_id || ',"body":"' || body || '"}}' END AS value,
-      CASE WHEN why <> '' THEN 'Invalid webhook: ' || why END AS reject_reason FROM r""",
+      CASE WHEN user_id = 7 THEN 'not a document of this schema' ELSE 'Invalid webhook: ' || nullif(concat_ws(', ', CASE WHEN id <= 0 THEN 'Invalid transaction ID' END,
+        CASE WHEN user_id <= 0 THEN 'Invalid user ID' END, CASE WHEN trim(body) = '' THEN 'Empty receipt body' END), '') END AS why FROM rc)
+    SELECT CASE WHEN user_id <> 7 THEN id END AS id, CASE WHEN why IS NULL THEN file_name END AS file_name,
+      CASE WHEN why IS NULL THEN '{{"id":' || id || ',"user_id":' || user_id || ',"body":"' || body || '"}}' WHEN user_id = 7 THEN '{{"id": ' || id || ', "at"' END AS value,
+      why AS reject_reason FROM r""",
 )
 def g02(spark, sf):
     out = scratch_path(spark, "g02")
-    events = landing.event_stream(spark, _receipts(spark, sf), RECEIPT, 2)
+    source = staged(spark, sf, "landing-receipts", lambda path: roles.receipt_lines(spark, sf).repartition(4).write.text(path))
+    events = landing.event_stream(spark, source, RECEIPT, 2, text="refused_text")
 
     def transform(rows):
         return RECEIPTS.named(rows).withColumn("value", json_line(rows.select("id", "user_id", "body")))
 
-    landing.land_events(events, RECEIPTS.flagged, transform, out, f"{out}-state", drain=True).awaitTermination()
+    landing.land_events(events, RECEIPTS.flagged, transform, out, f"{out}-state", drain=True, text="refused_text").awaitTermination()
     valid = landing.read_landed(spark, out, "valid").select("id", "file_name", "value", REASON)
-    nothing = F.lit(None).cast("string")
-    return valid.union(landing.read_landed(spark, out, "rejected").select("id", nothing, nothing, REASON))
+    refused = landing.read_landed(spark, out, "rejected")
+    cut = F.col("refused_text").isNotNull()
+    return valid.union(refused.select(F.when(~cut, F.col("id")), F.lit(None).cast("string"), "refused_text", REASON))
 
 
 @query(
     "g03_stream_upsert",
-    f"""WITH {roles.DESCRIPTIONS_SQL} SELECT id, title, hid, length(description) AS chars, CAST(32 AS BIGINT) AS dim FROM pd
-    WHERE trim(id) <> '' AND trim(title) <> '' AND trim(description, chr(10)) <> '' AND hid > 0 AND product_category_hid > 0""",
+    f"""WITH {roles.DESCRIPTIONS_SQL}, judged AS (SELECT *, concat_ws(', ', CASE WHEN trim(id) = '' THEN 'Empty product ID' END, CASE WHEN trim(title) = '' THEN 'Empty product title' END,
+        CASE WHEN trim(description, chr(10)) = '' THEN 'Empty description' END, CASE WHEN NOT hid > 0 THEN 'Invalid hid' END,
+        CASE WHEN NOT product_category_hid > 0 THEN 'Invalid product_category_hid' END) AS why FROM pd),
+    counted AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE why <> '') AS n_invalid, count(*) FILTER (WHERE why = '') AS good FROM judged)
+    SELECT 'row' AS kind, id, title, hid, length(description) AS chars, CAST(32 AS BIGINT) AS n FROM judged WHERE why = ''
+    UNION ALL SELECT 'reject', NULL, 'Invalid webhook: ' || replace(why, 'Empty description', 'Empty product description'), NULL, NULL, 2 * count(*) FROM judged WHERE why <> '' GROUP BY why
+    UNION ALL SELECT 'report', NULL, unnest(['n_total', 'n_invalid', 'n_skipped', 'n_failed', 'n_embedded']), NULL, NULL, unnest([2 * n_total, 2 * n_invalid, good, 0, good]) FROM counted""",
 )
 def g03(spark, sf):
+    """All events twice; the second stream finds every key stored. With the rejects and the summed counts of all batches."""
     path = scratch_path(spark, "g03")
     source = _landed(spark, sf, "landing-descriptions", roles.descriptions(spark, sf).drop("doc_id"))
-    target = KeyedTable(spark, path, "id")
-    for attempt in ("first", "again"):
-        events = landing.event_stream(spark, source, PRODUCT_DESCRIPTION, 2)
+    logs = [f"{path}-{attempt}" for attempt in ("first", "again")]
+    for log in logs:
+        events = landing.event_stream(spark, source, PRODUCT_DESCRIPTION, 2, text="refused_text")
         landing.land_embeddings(
-            events, DESCRIPTIONS, target, HashingEmbedder(32), f"{path}-state-{attempt}", drain=True
+            events, DESCRIPTIONS, path, log, HashingEmbedder(32), f"{log}-state", drain=True, text="refused_text"
         ).awaitTermination()
-    return target.read().select(
-        "id", "title", "hid", F.length("description").cast("bigint").alias("chars"), F.size("embedding").cast("bigint").alias("dim")
+    rows = spark.read.parquet(path).select(
+        F.lit("row").alias("kind"), "id", "title", "hid", F.length("description").cast("bigint").alias("chars"), F.size("embedding").cast("bigint").alias("n")
+    )
+    nothing, none = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    refused = stack_frames([spark.read.parquet(f"{log}/rejects") for log in logs]).groupBy(REASON).count()
+    names = ["n_total", "n_invalid", "n_skipped", "n_failed", "n_embedded"]
+    counts = stack_frames([spark.read.parquet(f"{log}/report") for log in logs]).agg(*[F.sum(c).alias(c) for c in names])
+    pairs = F.explode(F.create_map(*[x for c in names for x in (F.lit(c), F.col(c))])).alias("label", "n")
+    return rows.union(refused.select(F.lit("reject"), nothing, REASON, none, none, "count")).union(
+        counts.select(pairs).select(F.lit("report"), nothing, "label", none, none, "n")
     )
 
 

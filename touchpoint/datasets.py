@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,8 @@ from touchpoint.operators import validate
 class Dataset:
     """Schema, key, text to embed, validation and object name of a kind of record.
 
-    ``order`` names the newest row first; it decides between records with the same key.
+    ``order`` names the columns whose larger value is newer; it decides between records with the same key that have no
+    position in a file.
     """
 
     name: str
@@ -26,10 +27,10 @@ class Dataset:
     text: str
     rules: Callable[[], list[validate.Rule]]
     file_name: Callable[[], Column]
-    order: tuple[str, ...] = field(default=())
+    order: tuple[str, ...]
 
     def ordering(self) -> list[Column]:
-        return [F.desc(c) for c in (self.order or (self.text,))]
+        return [F.desc(c) for c in self.order]
 
     def flagged(self, df: DataFrame) -> DataFrame:
         return validate.with_reason(df, self.rules(), validate.INVALID)
@@ -43,9 +44,9 @@ RECEIPTS = Dataset(
     lambda: names.transaction_name(F.col("at"), F.col("id"), F.col("user_id")), ("at", "body"),
 )
 PRODUCTS = Dataset(
-    "products", schemas.PRODUCT, "id", "title", validate.product_rules, lambda: names.product_name(F.col("id"))
+    "products", schemas.PRODUCT, "id", "title", validate.product_rules, lambda: names.product_name(F.col("id")), ("title",)
 )
 DESCRIPTIONS = Dataset(
     "product_descriptions", schemas.PRODUCT_DESCRIPTION, "id", "description", validate.description_rules,
-    lambda: names.product_name(F.col("id")),
+    lambda: names.product_name(F.col("id")), ("description", "title", "hid", "product_category_hid"),
 )

@@ -31,8 +31,8 @@ Rule = tuple[Column, str | Column]
 class Checked:
     """Rows split by a reject reason; both sides are built when asked for.
 
-    Writing both reads the input twice; to read it once, write ``flagged`` partitioned by whether it
-    has a reason, or persist it.
+    Writing both reads the input twice. A job that needs both flags its rows and writes them once with
+    ``sinks.outcomes.settle``.
     """
 
     def __init__(self, valid: Callable[[], DataFrame], rejects: Callable[[], DataFrame]):
@@ -56,14 +56,20 @@ class Checked:
 def with_reason(df: DataFrame, rules: list[Rule], prefix: str = "") -> DataFrame:
     """Add the reasons why a row is invalid, joined by a comma; null for a valid row.
 
-    A rule is (condition that must hold, reason). A null condition counts as not held.
+    A rule is (condition that must hold, reason). A null condition counts as not held. A row that an earlier
+    step has refused keeps that reason.
     """
     reasons = [
         F.when(~F.coalesce(holds, F.lit(False)), reason if isinstance(reason, Column) else F.lit(reason))
         for holds, reason in rules
     ]
     joined = F.concat_ws(", ", *reasons)
-    return df.withColumn(REASON, F.when(joined != "", F.concat(F.lit(prefix), joined)))
+    return flag_first(df, F.when(joined != "", F.concat(F.lit(prefix), joined)))
+
+
+def flag_first(df: DataFrame, reason: Column) -> DataFrame:
+    """Set the reject reason of the rows that have none yet."""
+    return df.withColumn(REASON, F.coalesce(F.col(REASON), reason) if REASON in df.columns else reason)
 
 
 def split_checked(flagged: DataFrame) -> Checked:

@@ -2,38 +2,74 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchpoint.datasets import Dataset
 from touchpoint.functions.dates import age, contact_date, restamp, same_weekday
+from touchpoint.functions.text import row_identifier
+from touchpoint.operators import reports
 from touchpoint.operators.enrich import (
-    PROFILE_FALLBACK, Embedder, StatusClient, TextClient, embed_rows, embedded_only, generate_text, lookup_status,
-    template_text,
+    PROFILE_FALLBACK, Embedder, StatusClient, TextClient, embed_rows, generate_text, lookup_status, template_text,
 )
-from touchpoint.operators.keys import allocate_ids, new_keys_only, resume, sample_rows
+from touchpoint.operators.keys import allocate_ids, latest_per_key, resume, sample_rows
 from touchpoint.operators.project import receipts_of
-from touchpoint.operators.validate import Checked, check, contact_rules, split_checked, text_rules, with_reason
+from touchpoint.operators.validate import REASON, Checked, check, contact_rules, text_rules, with_reason
 from touchpoint.schemas import with_embedding
 from touchpoint.sinks.files import newest_objects, write_keyed_json
-from touchpoint.sinks.tables import KeyedTable, Ledger, append_rows, replace_table
-from touchpoint.sources.files import read_json_docs, read_json_lines
+from touchpoint.sinks.outcomes import REJECTED, VALID, report_frame, settle
+from touchpoint.sinks.tables import Ledger, append_rows, replace_table, stored_once
+from touchpoint.sources.files import (
+    BLANK_LINE, POSITION, REFUSED, flag_json_docs, flag_json_lines, row_numbers, unread_files,
+)
+from touchpoint.sources.tables import read_keys
 
+SKIPPED, OPEN, EMBEDDED, FAILED, BLANK = "skipped", "open", "embedded", "failed", "blank"
 
-def new_records(records: DataFrame, dataset: Dataset, stored: DataFrame) -> DataFrame:
-    """Records worth embedding: valid, with text, not stored yet. In this order, before the costly call."""
-    valid = split_checked(dataset.flagged(records)).valid
-    filled = split_checked(with_reason(valid, text_rules(dataset.text))).valid
-    return new_keys_only(filled, stored, dataset.key)
 
+@dataclass(frozen=True)
+class EmbedRun:
+    """Counts of a run, the refused records with their reason, and the records whose text the service refused."""
 
-def embed_upsert(
-    records: DataFrame, dataset: Dataset, target: KeyedTable, load: int, embedder: Embedder, batch_size: int = 35
-) -> None:
-    """Embed the new records and upsert them as one load."""
-    stored = target.keys(with_embedding(dataset.schema), before=load)
-    new = new_records(records, dataset, stored)
-    target.upsert(embedded_only(embed_rows(new, dataset.text, embedder, batch_size)), load, dataset.ordering())
+    report: dict[str, int]
+    rejects: DataFrame
+    failed: DataFrame
+
+
+def flag_for_embedding(records: DataFrame, dataset: Dataset) -> DataFrame:
+    """Records with the first reason against embedding them: a broken rule, a blank text, no key."""
+    flagged = with_reason(dataset.flagged(records), text_rules(dataset.text))
+    return with_reason(flagged, [(F.col(dataset.key).isNotNull(), f"no {dataset.key}")])
+
+
+def embed_upsert(records: DataFrame, dataset: Dataset, path: str, embedder: Embedder, batch_size: int = 35) -> EmbedRun:
+    """Embed the records that are valid and not stored yet, and append them to the table.
+
+    The records are read once: each gets its status, and all are written by status and counted in that write.
+    Only what is open then goes to the costly service, one row per key, and its answers are written before they are
+    appended. A repeated run finds its keys stored and adds nothing.
+    """
+    spark, key = records.sparkSession, dataset.key
+    schema = with_embedding(dataset.schema)
+    stored = read_keys(spark, path, key, schema[key].dataType.simpleString()).withColumn("_stored", F.lit(True))
+    marked = flag_for_embedding(records, dataset).join(stored, key, "left")
+    status = F.when(F.col(REASON).isNotNull(), REJECTED).when(F.col("_stored"), SKIPPED).otherwise(OPEN)
+    first = settle(marked, (REJECTED, SKIPPED, OPEN), status, f"{dataset.name}-records", ["_stored"])
+    new = latest_per_key(first.of(OPEN).drop(REASON), [key], dataset.ordering())
+    answered = F.when(F.col("embedding").isNotNull(), EMBEDDED).otherwise(FAILED)
+    second = settle(embed_rows(new, dataset.text, embedder, batch_size), (EMBEDDED, FAILED), answered, f"{dataset.name}-embedded")
+    append_rows(second.of(EMBEDDED).select(*schema.names), path)
+    sent = sum(second.counts.values())
+    report = {
+        "n_total": sum(first.counts.values()), "n_invalid": first.counts[REJECTED], "n_skipped": first.counts[SKIPPED],
+        "n_repeated": first.counts[OPEN] - sent, "n_failed": second.counts[FAILED], "n_embedded": second.counts[EMBEDDED],
+        "n_batches": -(-sent // reports.batch_size(batch_size)),
+    }
+    rejected = first.of(REJECTED)
+    names = [c for c in rejected.columns if c != REASON]
+    return EmbedRun(report, rejected.select(row_identifier(names).alias("row_key"), "*"), second.of(FAILED).drop("embedding"))
 
 
 def backfill(
@@ -63,11 +99,13 @@ def replayed(history: DataFrame, target_date: str, user_id: int, seed: str, size
 def run_replay(
     history: DataFrame, target_date: str, user_id: int, seed: str, size: int, transactions: str, receipts: str | None
 ) -> None:
-    """Append the replayed transactions, and their receipts when a path is given."""
-    new = replayed(history, target_date, user_id, seed, size)
+    """Append the replayed transactions, and their receipts when a path is given; receipts that are refused go to ``<receipts>-rejects``."""
+    new = stored_once(replayed(history, target_date, user_id, seed, size), "replayed")
     append_rows(new, transactions)
     if receipts:
-        append_rows(receipts_of(new).valid, receipts)
+        made = receipts_of(new)
+        append_rows(made.valid, receipts)
+        append_rows(made.rejects.select("row_key", REASON), f"{receipts}-rejects")
 
 
 def profiles(users: DataFrame, today: str, client: TextClient | None = None, parallelism: int | None = None) -> DataFrame:
@@ -94,18 +132,30 @@ def contacts(rows: DataFrame) -> Checked:
     return check(rows.withColumn("connected_on", contact_date(F.col("connected_on"))), contact_rules())
 
 
-def _store_events(read: Checked, dataset: Dataset, out: str) -> None:
-    checked = split_checked(dataset.flagged(read.valid))
-    write_keyed_json(newest_objects(dataset.named(checked.valid), dataset.ordering()), f"{out}/objects")
-    refused = checked.rejects.select("reject_reason").unionByName(read.rejects.select("reject_reason"))
-    refused.write.mode("overwrite").json(f"{out}/rejects")
+def _store_events(flagged: DataFrame, dataset: Dataset, out: str, unread: DataFrame | None = None) -> dict[str, int]:
+    """Parse once, write by status, then the objects, of which the later one wins, and the rejects with path, line and text."""
+    judged = dataset.flagged(flagged)
+    blank = F.col(REASON) == BLANK_LINE
+    status = F.when(F.col(REASON).isNull(), VALID).when(blank, BLANK).otherwise(REJECTED)
+    settled = settle(judged, (VALID, REJECTED, BLANK), status, f"{dataset.name}-events")
+    valid = settled.of(VALID).drop(REASON, REFUSED)
+    write_keyed_json(newest_objects(dataset.named(valid), [F.desc(POSITION)]).drop(POSITION, "_file"), f"{out}/objects")
+    numbered = row_numbers(settled.of(REJECTED), settled.rows.select(POSITION), "line_no")
+    rejects = numbered.select(F.col(f"{POSITION}.file").alias("row_key"), "line_no", F.col(REFUSED).alias("text"), REASON)
+    if unread is not None:
+        rejects = rejects.unionByName(unread, allowMissingColumns=True)
+    rejects.write.mode("overwrite").json(f"{out}/rejects")
+    report_frame(judged, settled.counts).write.mode("overwrite").json(f"{out}/report")
+    return settled.counts
 
 
-def run_events(spark: SparkSession, dataset: Dataset, folder: str, out: str) -> None:
-    """Files of one JSON event each → validated lines with an object name, and rejects."""
-    _store_events(read_json_docs(spark, folder, dataset.schema, [".json", ".jsonl"], (dataset.key,)), dataset, out)
+def run_events(spark: SparkSession, dataset: Dataset, folder: str, out: str) -> dict[str, int]:
+    """Files of one JSON event each → validated lines with an object name, rejects, and the run's counts."""
+    suffixes = [".json", ".jsonl"]
+    flagged = flag_json_docs(spark, folder, dataset.schema, suffixes, (dataset.key,))
+    return _store_events(flagged, dataset, out, unread_files(spark, folder, suffixes))
 
 
-def run_event_lines(spark: SparkSession, dataset: Dataset, path: str, out: str) -> None:
+def run_event_lines(spark: SparkSession, dataset: Dataset, path: str, out: str) -> dict[str, int]:
     """The same for JSON Lines."""
-    _store_events(read_json_lines(spark, path, dataset.schema, (dataset.key,)), dataset, out)
+    return _store_events(flag_json_lines(spark, path, dataset.schema, (dataset.key,)), dataset, out)

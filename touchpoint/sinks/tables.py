@@ -1,4 +1,4 @@
-"""Table sinks: keyed tables, appends, replacements, ledgers, dimensions."""
+"""Table sinks: upserts, appends, replacements, ledgers, dimensions."""
 
 from __future__ import annotations
 
@@ -6,64 +6,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
 from touchpoint.operators.keys import latest_per_key
 from touchpoint.operators.validate import check, speaker_rules, strict
-from touchpoint.paths import exists, folder_names
-
-
-class KeyedTable:
-    """Upserted parquet table.
-
-    An upsert adds its rows as one partition ``load=<n>``; reading keeps the newest load per key. So
-    an upsert costs what its rows cost, not what the table costs, and repeating a load replaces its
-    own partition only: the result is the same. ``compact`` writes the current rows as the base of a new
-    table, below every load number, so that a load repeated after the compaction replaces only its own
-    rows. One writer at a time per table.
-    """
+from touchpoint.paths import exists
+from touchpoint.session import scratch_path
 
-    BASE = -1
 
-    def __init__(self, spark: SparkSession, path: str, key: str):
-        self.spark, self.path, self.key = spark, path, key
-
-    def exists(self) -> bool:
-        return exists(self.spark, self.path)
+#: Column that cuts an upserted table into partitions by key.
+BUCKET = "key_bucket"
 
-    def upsert(self, rows: DataFrame, load: int, order: Sequence[Column]) -> None:
-        """Insert or replace rows by key. Of equal keys in ``rows`` the first in ``order`` counts."""
-        if load <= self.BASE:
-            raise ValueError(f"load numbers start at {self.BASE + 1}")
-        newest = latest_per_key(rows.where(F.col(self.key).isNotNull()), [self.key], order)
-        newest.write.mode("overwrite").parquet(f"{self.path}/load={load}")
 
-    def loads(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+def upsert_rows(rows: DataFrame, path: str, key: str, order: Sequence[Column], buckets: int = 64) -> None:
+    """Insert or replace rows of a parquet table by key; of equal keys in ``rows`` the first in ``order`` counts.
 
-    def read(self) -> DataFrame:
-        """Current rows.
-
-        The first load has unique keys, so it is only filtered by the keys of the later loads, which
-        Spark broadcasts while they are few; only the later loads are shuffled to find their newest.
-        """
-        first = min(int(name.removeprefix("load=")) for name in folder_names(self.spark, self.path) if "load=" in name)
-        base = self.loads().where(F.col("load") == first)
-        later = self.loads().where(F.col("load") > first)
-        newest = latest_per_key(later, [self.key], [F.desc("load")])
-        return base.join(later.select(self.key), self.key, "left_anti").unionByName(newest).drop("load")
-
-    def keys(self, schema: StructType, before: int | None = None) -> DataFrame:
-        """Keys stored by the loads before ``before``, or by all; none for a table that does not exist."""
-        if not self.exists():
-            return self.spark.createDataFrame([], schema).select(self.key)
-        loads = self.loads()
-        return (loads if before is None else loads.where(F.col("load") < before)).select(self.key)
-
-    def compact(self, path: str) -> KeyedTable:
-        """Write the current rows to a new path as its base and return that table."""
-        self.read().write.mode("errorifexists").parquet(f"{path}/load={self.BASE}")
-        return KeyedTable(self.spark, path, self.key)
+    The table is partitioned by a hash of the key. Only the partitions that the rows fall into are read, merged and
+    overwritten, all in one job that replaces them when it commits. Repeating it gives the same table; one writer at a time.
+    ``buckets`` must stay the same for a table.
+    """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    newest = latest_per_key(rows.where(F.col(key).isNotNull()), [key], order).withColumn(BUCKET, bucket)
+    if exists(spark, path):
+        new = stored_once(newest, "upsert")
+        touched = [r[BUCKET] for r in new.select(BUCKET).distinct().collect()]
+        current = spark.read.schema(new.schema).parquet(path).where(F.col(BUCKET).isin(touched))
+        newest = current.join(new.select(key), key, "left_anti").unionByName(new)
+    newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """Current rows of a table written by ``upsert_rows``; one per key."""
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def stored_once(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written below the shared scratch folder and read back, so that its several readers compute it once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -7,24 +7,30 @@ with ``.`` or ``_``; ``unread_files`` lists them as rejects, so that no file goe
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from touchpoint.functions.text import strip
 from touchpoint.operators.joins import lookup_join
 from touchpoint.operators.keys import running_total
-from touchpoint.operators.validate import REASON, Checked, check, split_checked
+from touchpoint.operators.validate import REASON, Checked, flag_first, split_checked, with_reason
 from touchpoint.paths import folder_files, is_folder, open_input
 from touchpoint.schemas import SPEAKER_STORAGE, struct_type
 
 CORRUPT = "_corrupt_record"
+#: Column with the position of a row: struct of file, start of its block and place in the scan; a later row is larger.
+POSITION = "_at"
+#: Column with the text of a refused row.
+REFUSED = "_refused"
 LINE_ENDS = "\\r\\n|\\r|\\n"
 TRAILING = "trailing characters after the document"
 LINES_PER_BLOCK = 1_000_000
+BLANK_LINE = "blank line"
 MANY_DOCUMENTS = "more than one JSON document in a file; read it as JSON Lines"
 
 
@@ -73,20 +79,42 @@ def file_stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
+def position(field: str = "file_name") -> Column:
+    """Position of a row of a scan. Rows of a block are read in order by one task, so later rows have larger positions."""
+    return F.struct(
+        file_origin(field).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")
+    ).alias(POSITION)
+
+
+def row_numbers(df: DataFrame, every: DataFrame, name: str) -> DataFrame:
+    """Add the 1-based number of a row in its file to rows with a position.
+
+    ``every`` has the positions of all rows of the same scan. It is reduced to one row per block before anything moves;
+    the numbers follow from the counts of the blocks before, so no row is sorted. Two scans of the same
+    files under the same settings are packed alike, so ``every`` may be another scan that reads no content.
+    """
+    blocks = every.groupBy(F.col(f"{POSITION}.file").alias("_file_of"), F.col(f"{POSITION}.block").alias("_block_of")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(f"{POSITION}.place").alias("_first")
+    )
+    before = Window.partitionBy("_file_of").orderBy("_block_of").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")
+    shifts = blocks.select(F.struct(F.col("_file_of").alias("file"), F.col("_block_of").alias("block")).alias("_block"), shift)
+    keyed = df.withColumn("_block", F.struct(f"{POSITION}.file", f"{POSITION}.block"))
+    return keyed.join(shifts, "_block", "left").withColumn(name, F.col(f"{POSITION}.place") + F.col("_shift")).drop("_block", "_shift")
+
+
+def positioned_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their position: (_at, line)."""
+    return spark.read.text(path).select(position("file_path"), F.col("value").alias("line"))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files with their 1-based number in the file: (path, line_no, line).
 
-    Each block of a file is read and numbered by itself and shifted by the line counts of the blocks
-    before it, so a file of any size is read in parallel.
+    A file of any size is read in parallel, and its lines are neither shuffled nor sorted.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        F.col("value").alias("line"),
-    )
-    numbered = running_total(lines, ["path"], F.col("block"), [F.col("place")], F.lit(1), "line_no")
-    return numbered.select("path", "line_no", "line")
+    numbered = row_numbers(positioned_lines(spark, path), positioned_lines(spark, path).select(POSITION), "line_no")
+    return numbered.select(F.col(f"{POSITION}.file").alias("path"), "line_no", "line")
 
 
 def read_csv_columns(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -109,11 +137,9 @@ def _headers(files: DataFrame) -> DataFrame:
 
 
 def _column_names(path: str) -> list[str]:
-    data = b""
+    """The first record of a file, which may hold quoted line breaks; no more than it is read."""
     with open_input(path) as stream:
-        while b"\n" not in data and (more := stream.read(65536)):
-            data += more
-    return next(csv.reader([data.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")]), [])
+        return next(csv.reader(io.TextIOWrapper(io.BufferedReader(stream), "utf-8-sig", newline="")), [])
 
 
 def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
@@ -122,10 +148,20 @@ def read_csv_folder(spark: SparkSession, folder: str, multi_line: bool = True) -
 
 
 def read_csv_rows(spark: SparkSession, folder: str, multi_line: bool = True) -> Checked:
-    """All CSV files of a folder by column name, with ``_file`` (name of the file) added.
+    """``flag_csv_rows`` split into good rows and rejects with the file as their key and the number of the row in the file."""
+    flagged = flag_csv_rows(spark, folder, multi_line)
+
+    def rejects() -> DataFrame:
+        refused = flagged.where(F.col(REASON).isNotNull())
+        return row_numbers(refused, flagged.select(POSITION), "row_no").withColumn("row_key", F.col("_file"))
 
-    A row with more cells than its file's header has columns is a reject with the file as its key; missing cells at
-    the end are null.
+    return Checked(lambda: flagged.where(F.col(REASON).isNull()).drop(REASON), rejects)
+
+
+def flag_csv_rows(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
+    """All rows of all CSV files of a folder by column name, with ``_file`` (name of the file), position and reject reason.
+
+    A row with more cells than its file's header has columns is refused; missing cells at the end are null.
 
     One read of files with different headers would take one file's header and map the others by
     position. So the files are read by position, in one scan, and each row is then laid out by the
@@ -150,7 +186,7 @@ def read_csv_rows(spark: SparkSession, folder: str, multi_line: bool = True) ->
         spark.read.schema(", ".join(f"{v} string" for v in [*values, CORRUPT]))
         .options(header="true", multiLine=str(multi_line).lower(), escape='"', pathGlobFilter="*.csv", columnNameOfCorruptRecord=CORRUPT)
         .csv(folder)
-        .select(F.array(*values).alias("_values"), _cells(F.col(CORRUPT), values).alias("_n_cells"), file_origin("file_name").alias("_file"))
+        .select(F.array(*values).alias("_values"), _record_cells(F.col(CORRUPT), values).alias("_n_cells"), file_origin("file_name").alias("_file"), position())
     )
     laid_out = lookup_join(rows, headers, "_file")
 
@@ -158,25 +194,55 @@ def read_csv_rows(spark: SparkSession, folder: str, multi_line: bool = True) ->
         place = F.array_position("_names", name).cast("int")
         return F.when(place > 0, F.get("_values", place - 1)).alias(name)
 
-    width = F.size("_names")
-    ragged = F.concat(F.col("_n_cells").cast("string"), F.lit(" cells under "), width.cast("string"), F.lit(" columns"))
-    flagged = laid_out.select(*[named(name) for name in columns], "_file", F.when(F.col("_n_cells") > width, ragged).alias(REASON))
-    return split_checked(flagged).then(lambda valid: valid, lambda rejects: rejects.withColumn("row_key", F.col("_file")))
+    return flag_extra_cells(laid_out, F.col("_n_cells"), F.size("_names")).select(*[named(name) for name in columns], "_file", POSITION, REASON)
 
 
-def _cells(record: Column, values: list[str]) -> Column:
+def flag_extra_cells(df: DataFrame, cells: Column, width: Column) -> DataFrame:
+    ragged = F.concat(cells.cast("string"), F.lit(" cells under "), width.cast("string"), F.lit(" columns"))
+    return flag_first(df, F.when(cells > width, ragged))
+
+
+def _record_cells(record: Column, values: list[str]) -> Column:
     """Cells of a row: the parser hands over the text of a row that has not exactly as many of them as ``values``.
 
     The values are named although they decide nothing, because Spark refuses to read the text of bad rows alone.
     """
-    plain = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
-    return F.when(record.isNull() | (F.length(F.concat_ws("", *values)) < 0), len(values)).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1)
+    return F.when(record.isNull() | (F.length(F.concat_ws("", *values)) < 0), len(values)).otherwise(csv_cells(record))
+
+
+def _commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+
+
+def csv_cells(record: Column) -> Column:
+    """Number of cells of a CSV record, in time linear in its length.
+
+    The pieces between quotes are walked once. A quote opens a cell at the start of the record, after a comma, and right
+    behind a closing one (a doubled quote inside a cell); any other quote outside of a quoted cell is a character of it.
+    """
+    pieces = F.split(record, '"', -1)
+    first = F.element_at(pieces, 1)
+    start = F.struct(F.lit(False).alias("inside"), ((first == "") | first.endswith(",")).alias("opens"), _commas(first).alias("n"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opened = ~state["inside"] & state["opens"]
+        opens = F.when(state["inside"], (piece == "") | piece.endswith(",")).otherwise(piece.endswith(","))
+        return F.struct(opened.alias("inside"), opens.alias("opens"), (state["n"] + F.when(opened, 0).otherwise(_commas(piece))).alias("n"))
+
+    walked = F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), start, step, lambda state: state["n"])
+    return F.when(record.contains('"'), walked).otherwise(_commas(record)) + 1
 
 
 def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checked:
+    """``flag_sidecars`` split into good rows and rejects with the file as their key."""
+    flagged = split_checked(flag_sidecars(rows, spark, folder))
+    return flagged.then(lambda valid: valid, lambda rejects: rejects.withColumn("row_key", F.col("_file")))
+
+
+def flag_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """Add ``event_url`` from the JSON file with the same stem as each row's CSV file.
 
-    Rows of a file whose sidecar is missing, malformed, or has no url are rejects.
+    Rows of a file whose sidecar is missing, malformed, or has no url are refused.
     """
     sidecars = (
         spark.read.schema(f"event_url string, {CORRUPT} string")
@@ -195,8 +261,7 @@ def attach_sidecars(rows: DataFrame, spark: SparkSession, folder: str) -> Checke
         .when(F.col("_malformed"), "malformed metadata file")
         .when(F.coalesce("_url", F.lit("")) == "", "event_url missing or empty in metadata file")
     )
-    flagged = joined.withColumn(REASON, reason).withColumnRenamed("_url", "event_url").drop("_stem", "_malformed")
-    return split_checked(flagged).then(lambda valid: valid, lambda rejects: rejects.withColumn("row_key", F.col("_file")))
+    return flag_first(joined, reason).withColumnRenamed("_url", "event_url").drop("_stem", "_malformed")
 
 
 def _with_corrupt(schema: str) -> StructType:
@@ -206,13 +271,26 @@ def _with_corrupt(schema: str) -> StructType:
 def parse_json(
     df: DataFrame, value: str, schema: str, required: tuple[str, ...] = (), trailing: str = TRAILING, raw: tuple[str, ...] = ()
 ) -> Checked:
-    """Parse a JSON text column against a schema; other columns are kept.
+    """``flag_json`` split into documents, and refused texts with the reason."""
+    kept = [c for c in df.columns if c != value]
+    fields = [f.name for f in struct_type(schema).fields]
+    flagged = flag_json(df, value, schema, required, trailing, raw)
+    return Checked(
+        lambda: flagged.where(F.col(REASON).isNull()).select(*kept, *fields),
+        lambda: flagged.where(F.col(REASON).isNotNull()).select(*kept, F.col(REFUSED).alias(value), REASON),
+    )
+
 
-    Rejects: empty text, text that does not parse, more text after the document (which the parser
+def flag_json(
+    df: DataFrame, value: str, schema: str, required: tuple[str, ...] = (), trailing: str = TRAILING, raw: tuple[str, ...] = ()
+) -> DataFrame:
+    """Parse a JSON text column against a schema; other columns are kept, the text of a refused row as ``_refused``.
+
+    Refused: empty text, text that does not parse, more text after the document (which the parser
     alone would pass over), a required field that is absent, a string field with a value of another type
     (which the parser would turn into text), unless the field is in ``raw`` and takes any JSON as text.
     """
-    kept = [c for c in df.columns if c != value]
+    kept = [c for c in df.columns if c not in (value, REASON)]
     parsed = df.withColumn("_doc", F.from_json(value, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))
     strings = [f.name for f in struct_type(schema).fields if isinstance(f.dataType, StringType) and f.name not in raw]
     if strings:
@@ -227,9 +305,8 @@ def parse_json(
         *[(F.col(f"_doc.{name}").isNotNull() | ~fits, f"missing {name}") for name in required],
         *[(F.coalesce(F.try_element_at("_types", F.lit(name)), F.lit("STRING")).isin("STRING", "VOID") | ~fits, f"{name} is not a string") for name in strings],
     ]
-    checked = check(parsed, rules)
     fields = [F.col(f"_doc.{f.name}").alias(f.name) for f in struct_type(schema).fields]
-    return checked.then(lambda valid: valid.select(*kept, *fields), lambda rejects: rejects.select(*kept, value, REASON))
+    return with_reason(parsed, rules).select(*kept, *fields, F.when(F.col(REASON).isNotNull(), F.col(value)).alias(REFUSED), REASON)
 
 
 def read_json_docs(
@@ -239,26 +316,41 @@ def read_json_docs(
 
     A file that holds several documents is a reject with a hint.
     """
+    return parse_json(_whole_files(spark, folder, suffixes).drop(POSITION), "value", schema, required, MANY_DOCUMENTS)
+
+
+def flag_json_docs(
+    spark: SparkSession, folder: str, schema: str, suffixes: list[str], required: tuple[str, ...] = ()
+) -> DataFrame:
+    """The documents of ``read_json_docs``, flagged, with their position."""
+    return flag_json(_whole_files(spark, folder, suffixes), "value", schema, required, MANY_DOCUMENTS)
+
+
+def _whole_files(spark: SparkSession, folder: str, suffixes: list[str]) -> DataFrame:
     files = spark.read.options(**_glob(suffixes)).text(require_folder(spark, folder), wholetext=True)
-    texts = files.select(file_origin("file_path").alias("_file"), "value")
-    return parse_json(texts, "value", schema, required, MANY_DOCUMENTS)
+    return files.select(file_origin("file_path").alias("_file"), position("file_path"), "value")
+
+
+def flag_json_lines(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON document per line, flagged, with the position of the line; the reason of a blank line is ``BLANK_LINE``."""
+    lines = positioned_lines(spark, path).withColumn(REASON, F.when(strip(F.col("line")) == "", BLANK_LINE))
+    return flag_json(lines, "line", schema, required)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> Checked:
     """One JSON document per line; blank lines are skipped; rejects carry path and line number.
 
-    Only the rejects pay for numbering the lines.
+    Only the rejects pay for numbering the lines: the counts of the blocks are joined to them.
     """
-    def lines() -> DataFrame:
-        return spark.read.text(path).where(strip(F.col("value")) != "")
+    def filled() -> DataFrame:
+        return positioned_lines(spark, path).where(strip(F.col("line")) != "")
 
-    def numbered() -> DataFrame:
-        return numbered_lines(spark, path).where(strip(F.col("line")) != "")
+    def rejects() -> DataFrame:
+        refused = parse_json(filled(), "line", schema, required).rejects
+        numbered = row_numbers(refused, positioned_lines(spark, path).select(POSITION), "line_no")
+        return numbered.select(F.col(f"{POSITION}.file").alias("path"), "line_no", "line", REASON)
 
-    return Checked(
-        lambda: parse_json(lines(), "value", schema, required).valid,
-        lambda: parse_json(numbered(), "line", schema, required).rejects,
-    )
+    return Checked(lambda: parse_json(filled(), "line", schema, required).valid.drop(POSITION), rejects)
 
 
 def read_speakers(spark: SparkSession, path: str) -> DataFrame:
@@ -287,23 +379,30 @@ def read_compact_text(spark: SparkSession, folder: str, suffixes: list[str] | No
     return files.select(file_origin("file_path").alias("_file"), compact.alias("payload"))
 
 
-def read_csv_slice(spark: SparkSession, path: str, skip_rows: int = 0, n_rows: int | None = None) -> DataFrame:
+def read_csv_slice(spark: SparkSession, path: str, skip_rows: int = 0, n_rows: int | None = None) -> Checked:
     """CSV file with ``skip_rows`` physical lines before its header, and at most ``n_rows`` rows.
 
     Both are counted per file when the path holds several. All columns are strings; blank lines
-    are no rows; ``line_no`` is kept so that the order of the file can be restored.
+    are no rows; ``line_no`` is kept so that the order of the file can be restored. A row with more cells than the header
+    is a reject with its path and line number; it counts as one of the ``n_rows``.
     """
     lines = numbered_lines(spark, path)
     header = lines.where(F.col("line_no") == skip_rows + 1).select("line").first()
     if header is None:
         raise ValueError(f"no header after {skip_rows} lines in {path}")
-    schema = ", ".join(f"`{name.strip()}` string" for name in next(csv.reader([header["line"]])))
+    names = [name.strip() for name in next(csv.reader([header["line"]]))]
+    schema = ", ".join(f"`{name}` string" for name in names)
     rows = lines.where((F.col("line_no") > skip_rows + 1) & (F.col("line") != ""))
     if n_rows is not None:
         block = F.floor(F.col("line_no") / LINES_PER_BLOCK)
         counted = running_total(rows, ["path"], block, [F.col("line_no")], F.lit(1), "row_no")
         rows = counted.where(F.col("row_no") <= n_rows)
-    return rows.select("line_no", F.from_csv("line", F.lit(schema)).alias("row")).select("line_no", "row.*")
+    flagged = flag_extra_cells(rows, csv_cells(F.col("line")), F.lit(len(names)))
+    refused = F.col(REASON).isNotNull()
+    return Checked(
+        lambda: flagged.where(~refused).select("line_no", F.from_csv("line", F.lit(schema), {"escape": '"'}).alias("row")).select("line_no", "row.*"),
+        lambda: flagged.where(refused).select(F.concat("path", F.lit(":"), F.col("line_no").cast("string")).alias("row_key"), "path", "line_no", "line", REASON),
+    )
 
 
 def read_exports(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,11 +15,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from touchpoint.datasets import Dataset
-from touchpoint.operators.enrich import Embedder, embed_rows, embedded_only
+from touchpoint.operators.enrich import Embedder
 from touchpoint.operators.joins import resolve_names
-from touchpoint.operators.validate import REASON, split_checked, text_rules, with_reason
-from touchpoint.schemas import struct_type, with_embedding
-from touchpoint.sinks.tables import KeyedTable
+from touchpoint.operators.validate import REASON, flag_first
+from touchpoint.paths import exists
+from touchpoint.plans.records import embed_upsert
+from touchpoint.schemas import struct_type
+from touchpoint.sinks.outcomes import report_frame
+
+UNPARSED = "not a document of this schema"
 
 
 def event_stream(spark: SparkSession, landing: str, schema: str, max_files: int = 1000, text: str | None = None) -> DataFrame:
@@ -39,17 +43,21 @@ def _start(writer: DataStreamWriter, checkpoint: str, drain: bool) -> StreamingQ
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
-def land_raw(payloads: DataFrame, path: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
-    """Store every payload untouched with a key made from its content.
+def land_raw(payloads: DataFrame, path: str, checkpoint: str, drain: bool = False, replays_within: str = "7 days") -> StreamingQuery:
+    """Store every payload untouched with a key made from its content, each content once.
 
-    Equal payloads share a key; ``read_raw`` returns each once.
+    The stream remembers the keys of the last ``replays_within``, counted from when a payload was taken in, so no payload comes
+    late and none is lost; a replay after that time is stored again. The state has one key per content and is
+    spread over the partitions of the key.
     """
-    keyed = payloads.select(F.sha2("value", 256).alias("object_key"), F.col("value").alias("payload"))
-    return _start(keyed.writeStream.format("parquet").option("path", path), checkpoint, drain)
+    keyed = payloads.select(F.sha2("value", 256).alias("object_key"), F.col("value").alias("payload"), F.current_timestamp().alias("taken_at"))
+    fresh = keyed.withWatermark("taken_at", replays_within).dropDuplicatesWithinWatermark(["object_key"])
+    return _start(fresh.drop("taken_at").writeStream.format("parquet").option("path", path), checkpoint, drain)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).dropDuplicates(["object_key"])
+    """The stored payloads; the stream has removed replays, so nothing is shuffled here."""
+    return spark.read.schema("object_key string, payload string").parquet(path)
 
 
 def land_events(
@@ -59,15 +67,17 @@ def land_events(
     path: str,
     checkpoint: str,
     drain: bool = False,
+    text: str | None = None,
 ) -> StreamingQuery:
     """Validate and transform events; accepted ones below ``valid``, the others, with reason, below ``rejected``.
 
     ``flag`` adds the reject reason, ``transform`` the columns to store; both work row by row, so one
-    pass over the batch writes both outputs.
+    pass over the batch writes both outputs. ``text`` is the column in which ``event_stream`` keeps lines that do not parse;
+    they are rejects with their text.
     """
     def write(batch: DataFrame, number: int) -> None:
         status = F.when(F.col(REASON).isNull(), "valid").otherwise("rejected")
-        rows = transform(flag(batch)).withColumn("status", status)
+        rows = transform(flag(_unparsed(batch, text))).withColumn("status", status)
         rows.write.mode("overwrite").partitionBy("status").parquet(f"{path}/batch={number}")
 
     return _start(events.writeStream.foreachBatch(write), checkpoint, drain)
@@ -77,26 +87,35 @@ def read_landed(spark: SparkSession, path: str, status: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("status") == status).drop("status", "batch")
 
 
+def _unparsed(batch: DataFrame, text: str | None) -> DataFrame:
+    return flag_first(batch, F.when(F.col(text).isNotNull(), UNPARSED)) if text else batch
+
+
 def land_embeddings(
     events: DataFrame,
     dataset: Dataset,
-    target: KeyedTable,
+    path: str,
+    log: str,
     embedder: Embedder,
     checkpoint: str,
     batch_size: int = 35,
     drain: bool = False,
+    text: str | None = None,
 ) -> StreamingQuery:
-    """Validate, drop blank texts and stored keys, embed, upsert; the batch number is the load number.
+    """Validate, drop blank texts and stored keys, embed, append to the table at ``path``; with rejects and counts of every batch.
 
-    Keys of the batch's own load do not count as stored, or a repeated batch would find all its rows
-    already there.
+    ``log`` is this stream's own folder: refused events (lines that do not parse with their text) go to ``<log>/rejects``, refused
+    texts to ``<log>/failed`` and the counts to ``<log>/report``, each under the number of the batch. The report is written
+    last: a batch that has one is done and is passed over when it is repeated; one without is done again, and finds its rows stored.
     """
     def write(batch: DataFrame, number: int) -> None:
-        valid = split_checked(dataset.flagged(batch)).valid
-        filled = split_checked(with_reason(valid, text_rules(dataset.text))).valid
-        stored = target.keys(with_embedding(dataset.schema), before=number)
-        new = filled.join(stored, dataset.key, "left_anti")
-        target.upsert(embedded_only(embed_rows(new, dataset.text, embedder, batch_size)), number, dataset.ordering())
+        report = f"{log}/report/batch={number}"
+        if exists(batch.sparkSession, report):
+            return
+        run = embed_upsert(_unparsed(batch, text), dataset, path, embedder, batch_size)
+        for name, rows in (("rejects", run.rejects), ("failed", run.failed)):
+            rows.write.mode("overwrite").parquet(f"{log}/{name}/batch={number}")
+        report_frame(batch, run.report).write.mode("overwrite").parquet(report)
 
     return _start(events.writeStream.foreachBatch(write), checkpoint, drain)
 
