@@ -130,7 +130,7 @@ def test_line_table_equals_in_row_parsing(spark):
     in_row = transcripts.explode_messages(transcripts.flag_transcripts(transcripts.with_lines(whole)))
     expected = {r.message_id: (r.header, r.m) for r in in_row.select("*", transcripts.message_fields(F.col("content"))["message"].alias("m")).collect()}
     lines = whole.select("call", F.posexplode(F.split("plaintext", "\n")).alias("pos", "line"))
-    numbered = transcripts.number_messages(lines, "call", F.expr("pos div 7"), ["pos"])
+    numbered = transcripts.number_messages(lines, "call", ["pos"])
     rows = transcripts.assemble_messages(numbered, "call", ["pos"]).collect()
     assert {r.message_id: (r.header, r.message) for r in rows} == expected
     assert {r.message_id: r.action_item for r in rows} == {i + 1: f"a{i}" for i in range(50)}

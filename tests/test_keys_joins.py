@@ -20,22 +20,25 @@ def test_latest_per_key_limits_rows_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
-def test_running_total_equals_one_pass(spark):
+@pytest.mark.parametrize("block", [1, 7, 100, 5000])
+def test_running_total_equals_one_pass(spark, monkeypatch, block):
+    monkeypatch.setattr(keys, "MIN_BLOCK_ROWS", block)
     rng = random.Random(3)
-    rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), i, rng.randint(-3, 5)) for i in range(1000)]
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), rng.choice([1, None]), i, rng.choice([-3, 0, 5, None])) for i in range(1000)]
     total, expected = {}, set()
-    for key, i, value in rows:
-        total[key] = total.get(key, 0) + value
-        expected.add((key, i, value, total[key]))
-    df = spark.createDataFrame(rows, "k string, i int, v int")
-    for block in (1, 7, 100, 5000):
-        found = keys.running_total(df, ["k"], F.expr(f"i div {block}"), [F.col("i")], F.col("v"), "total")
-        assert {tuple(r) for r in found.collect()} == expected
+    for k, g, i, value in rows:
+        total[k, g] = total.get((k, g), 0) + (value or 0)
+        expected.add((k, g, i, value, total[k, g]))
+    df = spark.createDataFrame(rows, "k string, g int, i int, v int").repartition(5)
+    found = keys.running_total(df, ["k", "g"], ["i"], F.col("v"), "total")
+    assert {tuple(r) for r in found.collect()} == expected
+    assert keys.running_total(df.where("false"), ["k", "g"], ["i"], F.col("v"), "total").count() == 0
 
 
-def test_batch_numbers(spark):
+def test_batch_numbers(spark, monkeypatch):
+    monkeypatch.setattr(keys, "MIN_BLOCK_ROWS", 9)
     df = spark.range(100).withColumn("k", F.lit("x"))
-    rows = keys.batch_numbers(df, "k", F.expr("id div 9"), [F.col("id")], 35).groupBy("batch").count()
+    rows = keys.batch_numbers(df, "k", ["id"], 35).groupBy("batch").count()
     assert values(rows) == [(0, 35), (1, 35), (2, 30)]
     assert (reports.batch_size(35), reports.batch_size(250), reports.batch_size(300)) == (35, 250, 249)
 

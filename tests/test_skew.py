@@ -39,7 +39,7 @@ def test_resume_splits_a_hot_key(spark, skewed):
     assert "skew=true" in text
 
 
-def test_large_lookup_splits_a_hot_name(spark, skewed, monkeypatch):
+def test_large_lookup_salts_the_hot_name_alone(spark, skewed, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     speakers = [(i, f"K{i}", f"k{i}@x.com", ["HOT"] if i == 7 else []) for i in range(3000)]
     people = spark.createDataFrame(speakers, "idx int, name string, email string, aliases array<string>")
@@ -49,9 +49,27 @@ def test_large_lookup_splits_a_hot_name(spark, skewed, monkeypatch):
     for r in rows:
         number = None if r.id == "hot" else int(r.id[1:])
         assert r.speaker == ("k7@x.com" if number is None else f"k{number}@x.com" if number < 3000 else r.id)
+    (hot,) = joins.hot_keys(skewed, "id")
+    assert hot == spark.sql("SELECT xxhash64('hot') AS h").first().h
+    dimension = spark.createDataFrame([(k, 1) for k in ["hot", *[f"k{i}" for i in range(3000)]]], "id string, x int")
+    joined = joins.lookup_join(skewed, dimension, "id")
+    copies = [p for p in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate explode(CASE WHEN" in p]
+    assert len(copies) == 1 and str(hot) in copies[0]
+    assert joined.count() == 60_000 and joined.where("x = 1").count() == 20_000 + sum(1 for n in range(60_000) if n % 3 and n % 5000 < 3000)
     salted = skewed.where("id = 'hot'").select(F.pmod(F.spark_partition_id(), F.lit(joins.SALTS)).alias("s"))
     assert max(r["count"] for r in salted.groupBy("s").count().collect()) <= 20_000 / 12 + 1
-    assert "_salt" in resolved._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_of_a_hot_key_are_even(spark, skewed, monkeypatch):
+    monkeypatch.setattr(keys, "MIN_BLOCK_ROWS", 2_000)
+    blocked = keys.range_blocks(skewed, ["id"], ["n"], F.lit(1))
+    sizes = sorted(r["count"] for r in blocked.groupBy("_part").count().collect())
+    assert len(sizes) == 30 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+    assert blocked.where("id = 'hot'").select("_part").distinct().count() >= 8
+    total = keys.running_total(skewed, ["id"], ["n"], F.lit(1), "place")
+    hot = total.where("id = 'hot'").select("n", "place").collect()
+    assert len(hot) == 20_000 and all(r.place == r.n // 3 + 1 for r in hot)
+    assert total.count() == 60_000
 
 
 def test_alignment_splits_a_hot_key_on_its_left(spark, skewed):

@@ -54,7 +54,7 @@ def a04(spark, sf):
     FROM wl GROUP BY conv_id, message_id""",
 )
 def a05(spark, sf):
-    numbered = number_messages(roles.conversation_lines(spark, sf), "conv_id", F.expr("turn div 4"), ["turn", "pos"])
+    numbered = number_messages(roles.conversation_lines(spark, sf), "conv_id", ["turn", "pos"])
     return assemble_messages(numbered, "conv_id", ["turn", "pos"])
 
 

@@ -17,7 +17,7 @@ from touchpoint.plans.calls import flat_rows
 @query("w01_line_sessionize", f"WITH {roles.LINES_SQL} SELECT conv_id, turn, pos - 1 AS pos, line, message_id FROM wl")
 def w01(spark, sf):
     lines = roles.conversation_lines(spark, sf)
-    numbered = number_messages(lines, "conv_id", F.expr("turn div 4"), ["turn", "pos"])
+    numbered = number_messages(lines, "conv_id", ["turn", "pos"])
     return numbered.select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "line", "message_id")
 
 
@@ -59,4 +59,4 @@ def w04(spark, sf):
 )
 def w05(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "source")
-    return keys.batch_numbers(rows, "source", F.expr("doc_id div 256"), [F.col("doc_id")], 35)
+    return keys.batch_numbers(rows, "source", ["doc_id"], 35)

@@ -38,14 +38,9 @@ def parse_exports(files: DataFrame, as_of) -> Checked:
     )
 
 
-def running_ids(df: DataFrame, key: str, name: str, buckets: int = 256) -> DataFrame:
-    """Gap-free ids from 0 for a unique key.
-
-    Rows are numbered by (hash bucket, key): every bucket is counted and numbered by itself, so no
-    task sorts the whole table. The order carries no meaning, as with a folder listing.
-    """
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    counted = running_total(df.withColumn("_all", F.lit(0)), ["_all"], bucket, [F.col(key)], F.lit(1), "_number")
+def running_ids(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Gap-free ids from 0 in the order of a unique key, numbered block by block: no task sorts the whole table."""
+    counted = running_total(df.withColumn("_all", F.lit(0)), ["_all"], [key], F.lit(1), "_number")
     return counted.withColumn(name, F.col("_number") - 1).drop("_number", "_all")
 
 

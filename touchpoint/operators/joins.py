@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from touchpoint.operators.keys import latest_per_key
 from touchpoint.session import scratch_path
 
-# A dimension is broadcast only below both limits; beyond them its join is salted.
+# A dimension is broadcast only below both limits; beyond them the hot keys of its join are salted.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
+HOT_KEYS = 1_000
+TRACKED_KEYS = 20_000
 
 
 def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None, required: str | None = None) -> bool:
@@ -30,19 +32,31 @@ def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None =
     return measured["n"] <= max_rows and measured["b"] <= max_bytes
 
 
+def hot_keys(df: DataFrame, key: str) -> list[int]:
+    """Hashes of the keys with many rows, at most ``HOT_KEYS``, from a frequent-items sketch that tasks build and merge.
+
+    A key is hot when it has more than a quarter of an even partition. Its count in the sketch is never
+    too low by more than ``rows / TRACKED_KEYS``, so none of the keys that could slow a task is missed.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = df.agg(F.count(key).alias("n"), F.expr(f"approx_top_k(xxhash64(`{key}`), {HOT_KEYS}, {TRACKED_KEYS})").alias("top")).first()
+    return [x["item"] for x in found["top"] or [] if x["count"] * 4 * parts > found["n"] and x["count"] > 1]
+
+
 def lookup_join(df: DataFrame, dimension: DataFrame, key: str, required: str | None = None) -> DataFrame:
     """Left join to a dimension with one row per key.
 
-    A small dimension is broadcast. A larger one is copied once per salt and joined on (key, salt),
-    so the rows of a hot key are spread over as many tasks. The salt is the number of a row's
-    partition: the same when a task is repeated. Adaptive execution alone would not do: a dimension
-    that was just reduced to one row per key is joined without a shuffle of its own, and then Spark
-    splits neither side.
+    A small dimension is broadcast. A larger one is shuffled once and joined plainly, but for the hot keys of ``df``: their
+    rows get a salt, the number of their partition (the same when a task is repeated), and only the dimension's rows of hot keys
+    are copied once per salt. Adaptive execution alone would not do: a dimension that was just reduced to one row per key
+    is joined without a shuffle of its own, and then Spark splits neither side.
     """
     if is_small(dimension, required=required):
         return df.join(F.broadcast(dimension), key, "left")
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hot = F.xxhash64(key).isin(hot_keys(df, key))
+    salted = df.withColumn("_salt", F.when(hot, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0))
+    every, own = F.sequence(F.lit(0), F.lit(SALTS - 1)), F.array(F.lit(0))
+    copies = dimension.withColumn("_salt", F.explode(F.when(hot, every).otherwise(own)))
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 

@@ -10,12 +10,20 @@ repeated keys included, rather than their distinct keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from math import isqrt
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+from touchpoint.session import scratch_path
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -75,37 +83,74 @@ def allocate_ids(rows: DataFrame, table: DataFrame, key: str, order: Sequence[Co
     return rows.withColumn(key, next_id(table, key).scalar() + position - 1)
 
 
-def running_total(
-    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[Column], value: Column, name: str
-) -> DataFrame:
-    """Running sum of ``value`` per key in two steps, so that no task has to sort a whole key.
+#: Rows of a range block, at least; beyond that a block has about as many rows as there are blocks.
+MIN_BLOCK_ROWS = 20_000
+
+
+def range_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column) -> DataFrame:
+    """The rows in blocks of about equal size along (keys, order), written to the shared scratch folder.
 
-    ``block`` cuts a key into ordered pieces and must never decrease along ``order``. Each block is
-    summed (with a partial aggregate), the block sums are accumulated, and the rows are numbered
-    inside their block. Only the block sums of a key meet in one task. Null keys form a group.
+    Adds ``_part``, the number of the block, ``_value``, and ``_inside``, the running sum of the value over a key's rows in its block.
+    Blocks are cut by range, from the counted number of rows, so a key with many rows fills several of them and no
+    block grows with a key. A block is one sorted partition; its running sums take one pass in Arrow batches.
     """
-    blocked = df.withColumn("_block", block).withColumn("_value", value)
-    groups = [*keys, "_block"]
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.groupBy(*groups)
-        .agg(F.sum("_value").alias("_sum"))
-        .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-        .select("_before", *[F.col(c).alias(f"_of_{c}") for c in groups])
-    )
-    inside = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = blocked.withColumn("_inside", F.sum("_value").over(inside))
-    same_block = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups])
-    return numbered.join(offsets, same_block).select(
-        *df.columns, (F.col("_before") + F.col("_inside")).alias(name)
+    n = df.count()
+    blocks = max(1, -(-n // max(MIN_BLOCK_ROWS, isqrt(n))))
+    places = [*keys, *[c for c in order if c not in keys]]
+    ranged = df.withColumn("_value", value.cast("bigint")).repartitionByRange(blocks, *places).sortWithinPartitions(*places)
+    names = ranged.columns
+    schema = StructType([*ranged.schema.fields, StructField("_part", IntegerType()), StructField("_inside", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, total = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(names.index(k)) for k in keys]
+            starts = np.zeros(batch.num_rows, bool)
+            for column in columns:
+                here, there = column.slice(1), column.slice(0, batch.num_rows - 1)
+                differ = pc.fill_null(pc.not_equal(here, there), pc.xor(pc.is_null(here), pc.is_null(there)))
+                starts[1:] |= differ.to_numpy(zero_copy_only=False)
+            first = [c[0].as_py() for c in columns]
+            starts[0] = last is None or first != last
+            values = pc.fill_null(batch.column(names.index("_value")), 0).to_numpy(zero_copy_only=False)
+            sums = np.cumsum(values) + (0 if starts[0] else total)
+            # A key that starts in this batch counts from its own first row.
+            at = np.flatnonzero(starts)
+            base = np.zeros(len(sums), np.int64)
+            if at.size:
+                base[at] = np.diff(np.concatenate(([0], sums[at] - values[at])))
+            sums = sums - np.cumsum(base)
+            last, total = [c[batch.num_rows - 1].as_py() for c in columns], int(sums[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(sums), part, np.int32)), pa.array(sums)], [*names, "_part", "_inside"])
+
+    path = scratch_path(df.sparkSession, "blocks")
+    ranged.mapInArrow(run, schema).write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Running sum of a whole-numbered ``value`` per key along ``order``, which must tell the rows of a key apart.
+
+    Two levels: sums inside range blocks, then sums of whole blocks. Only a key that reaches from one block into another
+    has sums to add, so there are no more of them than blocks, and they are broadcast. No task sorts or
+    sums a whole key. Null keys form a group, null values count as 0.
+    """
+    blocked = range_blocks(df, keys, order, value)
+    sums = blocked.groupBy(*keys, "_part").agg(F.sum("_value").alias("_sum"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.withColumn("_before", F.sum("_sum").over(before)).where("_before <> 0").select(
+        "_before", F.col("_part").alias("_of_part"), *[F.col(k).alias(f"_of_{k}") for k in keys]
     )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys], F.col("_part") == F.col("_of_part"))
+    total = F.col("_inside") + F.coalesce("_before", F.lit(0))
+    return blocked.join(F.broadcast(carried), same, "left").select(*df.columns, total.alias(name))
 
 
-def batch_numbers(
-    df: DataFrame, key: str, block: Column, order: Sequence[Column], size: int, name: str = "batch"
-) -> DataFrame:
+def batch_numbers(df: DataFrame, key: str, order: Sequence[str], size: int, name: str = "batch") -> DataFrame:
     """0-based number of the fixed-size batch a row falls into, per key."""
-    counted = running_total(df, [key], block, order, F.lit(1), "_number")
+    counted = running_total(df, [key], order, F.lit(1), "_number")
     return counted.withColumn(name, F.floor((F.col("_number") - 1) / size)).drop("_number")
 
 

@@ -120,14 +120,14 @@ def transcript_messages(calls_df: DataFrame, speakers: DataFrame, position: str)
     return Checked(messages, rejects)
 
 
-def number_messages(lines: DataFrame, call: str, block: Column, order: list[str]) -> DataFrame:
+def number_messages(lines: DataFrame, call: str, order: list[str]) -> DataFrame:
     """Message number of every line of a *line table*: header lines open a message.
 
     For calls that arrive as many rows, where one call may hold a large part of the table. Lines
     before the first header get number 0.
     """
     opens = F.when(calls.is_header(F.col("line")), 1).otherwise(0)
-    return running_total(lines, [call], block, [F.col(c) for c in order], opens, "message_id")
+    return running_total(lines, [call], order, opens, "message_id")
 
 
 def assemble_messages(numbered: DataFrame, call: str, order: list[str]) -> DataFrame:

@@ -29,7 +29,6 @@ POSITION = "_at"
 REFUSED = "_refused"
 LINE_ENDS = "\\r\\n|\\r|\\n"
 TRAILING = "trailing characters after the document"
-LINES_PER_BLOCK = 1_000_000
 BLANK_LINE = "blank line"
 MANY_DOCUMENTS = "more than one JSON document in a file; read it as JSON Lines"
 
@@ -394,8 +393,7 @@ def read_csv_slice(spark: SparkSession, path: str, skip_rows: int = 0, n_rows: i
     schema = ", ".join(f"`{name}` string" for name in names)
     rows = lines.where((F.col("line_no") > skip_rows + 1) & (F.col("line") != ""))
     if n_rows is not None:
-        block = F.floor(F.col("line_no") / LINES_PER_BLOCK)
-        counted = running_total(rows, ["path"], block, [F.col("line_no")], F.lit(1), "row_no")
+        counted = running_total(rows, ["path"], ["line_no"], F.lit(1), "row_no")
         rows = counted.where(F.col("row_no") <= n_rows)
     flagged = flag_extra_cells(rows, csv_cells(F.col("line")), F.lit(len(names)))
     refused = F.col(REASON).isNotNull()
