@@ -12,7 +12,7 @@ difference is at most t = (100 - percent) * (a + b) / (100 + percent).
   words never exceeds the symmetric difference, and of more than t words at least one is equal
   (pigeonhole). Every non-empty word is a join key. A document with t or fewer non-empty words also
   has all its shingles as keys, so that two such documents still meet. No similar pair is lost.
-* **A second, 256-bit parity sketch** per document (each shingle flips one bit) has a Hamming distance
+* **A second, 512-bit parity sketch** per document (each shingle flips one bit) has a Hamming distance
   that never exceeds the symmetric difference either; pairs above t are dropped before verification.
   Then all parity words of the larger document's layout are compared, by 16 bits each: pairs that differ in more than t
   words are dropped as well. Both bounds are exact, so they drop no similar pair.
@@ -20,9 +20,12 @@ difference is at most t = (100 - percent) * (a + b) / (100 + percent).
 
 Groups: documents with the same shingle set are one class, represented by its smallest doc_id. Under a
 key, a task links its documents to its first one and sends only that one on, so a key has at most one
-row per task in the shuffle, and n documents under a key make n - 1 pairs. Pairs that fail, and may hide
-others, send their neighbourhood into a second search which compares all documents under a key that
-the links so far have not joined. Pairs inside a component are not needed for membership.
+row per flush of a task in the shuffle, and n documents under a key make n - 1 pairs. Pairs that fail, and may hide
+others, send their neighbourhood into a second search. Its first turns are stars again: per key, one member of the key's main
+component, another one in every key and turn, against the members outside of it; so a document meets many different members of the
+component at a cost linear in its keys, and what they link is no longer compared. Only documents that are then still
+outside a key's main component are compared with all of its members; the parity sketches decide inside that join, and
+few pairs leave it. Pairs inside a component are not needed for membership.
 
 Rows whose doc_id is null link with nothing and have no component. Texts without words have no
 shingles and are their own component. Repeated rows are returned as often as they come.
@@ -42,10 +45,14 @@ from touchpoint.llm.components import components
 from touchpoint.llm.rolling import U64, mix
 from touchpoint.llm.scratch import BROADCAST_ROWS, broadcast_if_few, release, written
 
-SKETCH_WORDS = 4
+SKETCH_WORDS = 8
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 #: Keys held by a task before it sends them on.
-FLUSH_KEYS = 800_000
+FLUSH_KEYS = 300_000
+#: Documents described by a task before it sends them on.
+FLUSH_ROWS = 5_000
+#: Turns of the second search that compare with one member per key.
+STAR_TURNS = 2
 
 
 class Layouts:
@@ -102,8 +109,9 @@ class Layouts:
 
 
 def bit_sketch(hashes: np.ndarray) -> np.ndarray:
-    """256 parity bits as four 64-bit words."""
-    bits = np.bincount((hashes >> U64(13)) & U64(255), minlength=256).astype(np.uint8) & 1
+    """Parity bits of a set, as 64-bit words."""
+    n = 64 * SKETCH_WORDS
+    bits = np.bincount((hashes >> U64(13)) & U64(n - 1), minlength=n).astype(np.uint8) & 1
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
@@ -121,7 +129,21 @@ def _digest(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def describe(docs: DataFrame, k: int, table: np.ndarray) -> DataFrame:
-    """Set size, set digest, bit sketch of every row, and the smallest doc_id of the task with the same set."""
+    """Set size, set digest, bit sketch of every row, and the smallest doc_id with the same set among rows sent together."""
+
+    def send(rows: list, least: dict) -> pa.RecordBatch:
+        sketch = np.stack([r[2] for r in rows])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[0] for r in rows], pa.int64()),
+                pa.array([r[1][2] for r in rows], pa.int64()),
+                pa.array([r[1][0] for r in rows], pa.int64()),
+                pa.array([r[1][1] for r in rows], pa.int64()),
+                pa.array([None if r[0] is None else least.get(r[1], r[0]) for r in rows], pa.int64()),
+                *[pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)],
+            ],
+            ["doc_id", "n_shingles", "d1", "d2", "local", *SKETCH],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, least = [], {}
@@ -131,20 +153,11 @@ def describe(docs: DataFrame, k: int, table: np.ndarray) -> DataFrame:
             rows.append((doc_id, key, bit_sketch(hashes)))
             if doc_id is not None and len(hashes):
                 least[key] = min(least.get(key, doc_id), doc_id)
-        for at in range(0, len(rows), 10_000):
-            part = rows[at:at + 10_000]
-            sketch = np.stack([r[2] for r in part])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in part], pa.int64()),
-                    pa.array([r[1][2] for r in part], pa.int64()),
-                    pa.array([r[1][0] for r in part], pa.int64()),
-                    pa.array([r[1][1] for r in part], pa.int64()),
-                    pa.array([None if r[0] is None else least.get(r[1], r[0]) for r in part], pa.int64()),
-                    *[pa.array(sketch[:, i]) for i in range(SKETCH_WORDS)],
-                ],
-                ["doc_id", "n_shingles", "d1", "d2", "local", *SKETCH],
-            )
+            if len(rows) >= FLUSH_ROWS:
+                yield send(rows, least)
+                rows, least = [], {}
+        if rows:
+            yield send(rows, least)
 
     schema = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, local bigint, " + ", ".join(f"{s} bigint" for s in SKETCH)
     return docs.select("doc_id", "text").mapInArrow(run, schema)
@@ -197,7 +210,7 @@ def _candidates(docs: DataFrame, layouts: Layouts, k: int, table: np.ndarray) ->
 def _classes(described: DataFrame) -> DataFrame:
     """Every row with the representative of its class: the smallest doc_id with the same shingle set.
 
-    A class first has one row per task (``local``), so a hot class is small in the window.
+    A class first has one row per flush of a task (``local``), so a hot class is small in the window.
     """
     heads = described.where("doc_id = local and n_shingles > 0").select("local", "d1", "d2").distinct()
     heads = written(heads.withColumn("rep", F.min("local").over(Window.partitionBy("d1", "d2"))), "heads")
@@ -288,17 +301,17 @@ def _sizes() -> list:
     return [(one + two).alias("total"), F.greatest(one, two).alias("largest")]
 
 
-def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> DataFrame | None:
-    """Pairs that a failed pair may have hidden: all documents under a key that are still in different components.
+def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> DataFrame:
+    """The links, with those that failed pairs have hidden.
 
-    Looks only at the neighbourhoods, in candidate pairs, of failed pairs across components. None if there are none.
+    Looks only at the neighbourhoods, in candidate pairs, of failed pairs across components.
     """
     joined = written(components(links), "joined")
     label = {side: joined.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")) for side in ("a", "b")}
     split = pairs.select("a", "b").join(label["a"], "a", "left").join(label["b"], "b", "left")
     split = split.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     if split.isEmpty():
-        return None
+        return links
     near = written(components(pairs), "near")
     wide = split.select(F.col("a").alias("node")).join(near, "node").select("component").distinct()
     nodes = near.join(wide, "component", "left_semi").select(F.col("node").alias("doc_id"))
@@ -319,11 +332,14 @@ def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFram
         held, size = [], 0
 
         def send() -> pa.RecordBatch:
-            rows = np.unique(np.concatenate(held), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["key", "component"])
+            key, component = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((component, key))
+            key, component = key[order], component[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (component[1:] != component[:-1]))) if len(key) else np.zeros(0, bool)
+            return pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(component[new])], ["key", "component"])
 
         for keys, _, component in keyed(batches):
-            held.append(np.stack((keys, np.full(len(keys), component)), axis=1))
+            held.append((keys, np.full(len(keys), component)))
             size += len(keys)
             if size >= FLUSH_KEYS:
                 yield send()
@@ -332,25 +348,69 @@ def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFram
             yield send()
 
     def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, doc_id, component in keyed(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc_id)), pa.array(np.full(len(keys), component))], ["key", "doc_id", "component"])
+        for keys, doc_id, _ in keyed(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc_id))], ["key", "doc_id"])
 
     spread = wanted.mapInArrow(labels, "key bigint, component bigint").groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("two"))
     mixed = written(spread.where("one <> two").select("key"), "mixed")
-    rows = wanted.mapInArrow(members_of, "key bigint, doc_id bigint, component bigint").join(broadcast_if_few(mixed, 4 * BROADCAST_ROWS), "key", "left_semi")
-    rows = written(rows, "open_keys")
+    rows = written(wanted.mapInArrow(members_of, "key bigint, doc_id bigint").join(broadcast_if_few(mixed, BROADCAST_ROWS), "key", "left_semi"), "open_keys")
     del spread, wanted
     release(docs.sparkSession)
-    counts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = written(counts.groupBy("key").agg(F.max_by("component", "n").alias("main")), "main")
     sketches = classes.where("doc_id = rep").select("doc_id", "n_shingles", *SKETCH).distinct()
-    members = written(rows.join(main, "key").join(sketches, "doc_id").select("key", "main", "component", "doc_id", "n_shingles", *SKETCH), "members")
-    sides = {s: members.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("main", "component", "doc_id", "n_shingles", *SKETCH)]) for s in ("a", "b")}
-    ratio = F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * layouts.percent
+    known = pairs.select("a", "b")
+    for turn in range(STAR_TURNS + 1):
+        members = _open_members(rows, joined)
+        if members.isEmpty():
+            break
+        met = _met_leaders(members, sketches, layouts.percent, turn) if turn < STAR_TURNS else _met_all(members, sketches, layouts.percent)
+        met = written(met.join(known, ["a", "b"], "left_anti"), "hidden")
+        if met.isEmpty():
+            continue
+        links = written(links.union(_verified(docs, met, layouts, k, table)), "verified")
+        known = known.union(met.select("a", "b"))
+        joined = written(components(links), "joined")
+        release(docs.sparkSession)
+    return links
+
+
+def _open_members(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``(key, main, component, doc_id)`` of the keys whose members are in several components; ``main`` is the component with most of them."""
+    of = joined.withColumnRenamed("node", "doc_id")
+    labelled = written(rows.join(of, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labelled")
+    counts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return written(labelled.join(main.select("key", "main"), "key").select("key", "main", "component", "doc_id"), "members")
+
+
+def _ordered(one: str, two: str) -> list:
+    return [F.greatest(one, two).alias("a"), F.least(one, two).alias("b")]
+
+
+def _near_pairs(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sizes and sketches allow them to be similar, with what verification needs of the sizes."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sketches.select(F.col("doc_id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n_shingles", *SKETCH)]), side)
+    return pairs.where(_fits(percent) & _near(percent)).select("a", "b", *_sizes())
+
+
+def _fits(percent: int):
+    return F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * percent
+
+
+def _met_leaders(members: DataFrame, sketches: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Every member outside the main component of a key with one member of it, another one in every key and turn."""
+    leaders = members.where("component = main").groupBy("key").agg(F.min_by("doc_id", F.xxhash64("doc_id", "key", F.lit(turn))).alias("leader"))
+    pairs = members.where("component <> main").join(leaders, "key").select(*_ordered("doc_id", "leader")).distinct()
+    return _near_pairs(pairs, sketches, percent)
+
+
+def _met_all(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Every member outside the main component of a key with all members of other components."""
+    known = members.join(sketches, "doc_id")
+    sides = {s: known.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("main", "component", "doc_id", "n_shingles", *SKETCH)]) for s in ("a", "b")}
     minor = sides["a"].where("component_a <> main_a")
-    on = (minor["key"] == sides["b"]["key"]) & (F.col("component_a") != F.col("component_b")) & ratio & _near(layouts.percent)
-    met = minor.join(sides["b"], on).select(F.greatest("doc_id_a", "doc_id_b").alias("a"), F.least("doc_id_a", "doc_id_b").alias("b"), *_sizes())
-    return written(met.distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "hidden")
+    on = (minor["key"] == sides["b"]["key"]) & (F.col("component_a") != F.col("component_b")) & _fits(percent) & _near(percent)
+    return minor.join(sides["b"], on).select(*_ordered("doc_id_a", "doc_id_b"), *_sizes()).distinct()
 
 
 def similar_classes(docs: DataFrame, percent: int = 80, k: int = 5, table: np.ndarray = rolling.NOT_SPACE) -> tuple[DataFrame, DataFrame]:
@@ -367,8 +427,7 @@ def similar_classes(docs: DataFrame, percent: int = 80, k: int = 5, table: np.nd
     pairs = known.select("a", "b")
     links = written(_verified(docs, known.where(_near(percent)).select("a", "b", *_sizes()), layouts, k, table), "verified")
     release(docs.sparkSession)
-    if (hidden := _rest(docs, pairs, links, classes, layouts, k, table)) is not None:
-        links = written(links.union(_verified(docs, hidden, layouts, k, table)), "verified")
+    links = _rest(docs, pairs, links, classes, layouts, k, table)
     joined = written(components(links), "joined")
     rows = classes.join(joined, classes["rep"] == joined["node"], "left").select(
         "doc_id", "n_shingles", "rep", F.coalesce("component", "rep").alias("component_id")
