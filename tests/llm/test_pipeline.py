@@ -74,6 +74,6 @@ def test_all_stages_on_odd_rows(spark):
 
 def test_run_and_registration(spark):
     assert pipeline.run(spark, SF).count() > 0
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(ORACLES) <= set(QUERIES)
     assert shingle_set("a b", 5) == {("a", "b")}

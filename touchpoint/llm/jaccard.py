@@ -52,7 +52,9 @@ FLUSH_KEYS = 300_000
 #: Documents described by a task before it sends them on.
 FLUSH_ROWS = 5_000
 #: Turns of the second search that compare with one member per key.
-STAR_TURNS = 2
+STAR_TURNS = 1
+#: Candidate pairs from a failed pair to a document that it may have hidden from another, at most.
+HOPS = 3
 
 
 class Layouts:
@@ -301,20 +303,25 @@ def _sizes() -> list:
     return [(one + two).alias("total"), F.greatest(one, two).alias("largest")]
 
 
-def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> DataFrame:
-    """The links, with those that failed pairs have hidden.
+def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFrame, layouts: Layouts, k: int, table: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """The links with those that failed pairs have hidden, and their components.
 
-    Looks only at the neighbourhoods, in candidate pairs, of failed pairs across components.
+    Looks only at the documents within ``HOPS`` candidate pairs of a failed pair across components. That is enough: two documents
+    under a key are joined by at most four candidate pairs (to their leaders in a flush, and from there to that of the key), and if
+    they are in different components one of these pairs failed.
     """
     joined = written(components(links), "joined")
     label = {side: joined.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")) for side in ("a", "b")}
     split = pairs.select("a", "b").join(label["a"], "a", "left").join(label["b"], "b", "left")
     split = split.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     if split.isEmpty():
-        return links
-    near = written(components(pairs), "near")
-    wide = split.select(F.col("a").alias("node")).join(near, "node").select("component").distinct()
-    nodes = near.join(wide, "component", "left_semi").select(F.col("node").alias("doc_id"))
+        return links, joined
+    near = written(split.select(F.explode(F.array("a", "b")).alias("a")).distinct(), "near")
+    both = pairs.select("a", "b").union(pairs.select("b", "a"))
+    for _ in range(HOPS):
+        reached = both.join(broadcast_if_few(near), "a", "left_semi").select(F.col("b").alias("a"))
+        near = written(near.union(reached).distinct(), "near")
+    nodes = near.withColumnRenamed("a", "doc_id")
     nodes = nodes.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
     nodes = broadcast_if_few(written(nodes, "open"))
     wanted = docs.select("doc_id", "text").join(nodes, "doc_id").select("doc_id", "text", "component")
@@ -366,11 +373,13 @@ def _rest(docs: DataFrame, pairs: DataFrame, links: DataFrame, classes: DataFram
         met = written(met.join(known, ["a", "b"], "left_anti"), "hidden")
         if met.isEmpty():
             continue
-        links = written(links.union(_verified(docs, met, layouts, k, table)), "verified")
+        found = written(_verified(docs, met, layouts, k, table), "found")
         known = known.union(met.select("a", "b"))
-        joined = written(components(links), "joined")
+        if not found.isEmpty():
+            links = written(links.union(found), "verified")
+            joined = written(components(links), "joined")
         release(docs.sparkSession)
-    return links
+    return links, joined
 
 
 def _open_members(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -427,8 +436,7 @@ def similar_classes(docs: DataFrame, percent: int = 80, k: int = 5, table: np.nd
     pairs = known.select("a", "b")
     links = written(_verified(docs, known.where(_near(percent)).select("a", "b", *_sizes()), layouts, k, table), "verified")
     release(docs.sparkSession)
-    links = _rest(docs, pairs, links, classes, layouts, k, table)
-    joined = written(components(links), "joined")
+    links, joined = _rest(docs, pairs, links, classes, layouts, k, table)
     rows = classes.join(joined, classes["rep"] == joined["node"], "left").select(
         "doc_id", "n_shingles", "rep", F.coalesce("component", "rep").alias("component_id")
     )
