@@ -137,6 +137,27 @@ def test_align_frames(spark):
         joins.align_frames([a, spark.range(1)])
 
 
+def test_alignment_equals_chained_full_joins(spark):
+    rng = random.Random(8)
+    frames = [[(rng.choice([*range(8), None]), rng.choice(["u", "v", None]), f"{name}{n}") for n in range(14)] for name in "abc"]
+    frames.append([(9, "u", "d0"), (1, "v", "d1")])
+
+    def outer(left, right, width):
+        out, used = [], set()
+        for key, *values in left:
+            met = [n for n, r in enumerate(right) if None not in key and r[0] == key]
+            used.update(met)
+            out += [(key, *values, right[n][1]) for n in met] or [(key, *values, None)]
+        return out + [(r[0], *[None] * width, r[1]) for n, r in enumerate(right) if n not in used]
+
+    keyed = [[((k, g), v) for k, g, v in f] for f in frames]
+    expected = keyed[0]
+    for width, right in enumerate(keyed[1:], 1):
+        expected = outer(expected, right, width)
+    df = joins.align_frames([spark.createDataFrame(f, f"k int, g string, v{i} string") for i, f in enumerate(frames)])
+    assert values(df.select("k", "g", "v0", "v1", "v2", "v3")) == sorted(((*key, *rest) for key, *rest in expected), key=str)
+
+
 def test_align_equal_headers(spark):
     a = spark.createDataFrame([("u1", "x"), ("u2", "y")], "URL string, t string")
     b = spark.createDataFrame([("u2", "y"), ("u3", "z")], "URL string, t string")

@@ -50,10 +50,19 @@ def test_transcripts_are_cut_without_a_shuffle_and_once(spark, tmp_path):
     assert plan(built.valid).count("split(plaintext") == 1
 
 
-def test_alignment_has_no_full_outer_join(spark):
-    a, b = spark.range(3).withColumn("x", F.lit(1)), spark.range(5).withColumn("y", F.lit(2))
-    text = plan(joins.align_frames([a, b]))
-    assert "FullOuter" not in text and "LeftOuter" in text and "LeftAnti" in text
+def test_alignment_shuffles_all_frames_once(spark, monkeypatch):
+    frames = [spark.range(3 + i).withColumn(f"x{i}", F.lit(i)) for i in range(5)]
+    plans = []
+    save = type(frames[0].write).parquet
+
+    def watch(writer, path, *args, **kwargs):
+        plans.append(plan(writer._df))
+        return save(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(type(frames[0].write), "parquet", watch)
+    text = plan(joins.align_frames(frames))
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 1 and plans[0].count("Range (") == 5
+    assert "Join" not in plans[0] and "Join" not in text and "Exchange" not in text
 
 
 @tables

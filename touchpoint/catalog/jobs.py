@@ -12,7 +12,7 @@ from touchpoint.datasets import PRODUCTS, RECEIPTS
 from touchpoint.functions.dates import iso
 from touchpoint.operators.enrich import HashingEmbedder
 from touchpoint.plans import attendees, calls, mentions, records
-
+from touchpoint.schemas import MESSAGE_TABLE
 from touchpoint.session import scratch_path
 from touchpoint.sinks.files import export_objects
 from touchpoint.sinks.tables import Ledger
@@ -159,16 +159,29 @@ def job_events_calls(spark, sf):
 
 @query(
     "job_messages",
-    f"""WITH {roles.SPEAKERS_SQL}, {roles.MESSAGES_SQL} SELECT recording_id || '-' || lpad(CAST(message_id AS VARCHAR), 5, '0') AS id,
+    f"""WITH {roles.SPEAKERS_SQL}, {roles.MESSAGES_SQL}, judged AS (SELECT id % 19 = 5 AS cut, id, url, CASE WHEN id % 19 = 5 THEN 'not a document of this schema' WHEN id % 23 = 6 THEN 'missing fathom_user'
+        ELSE nullif(concat_ws(', ', CASE WHEN recording_id IS NULL THEN 'no recording id in url' END, CASE WHEN id % 13 = 0 THEN 'content before the first speaker' END,
+          CASE WHEN id % 17 = 0 THEN 'invalid watch link' END), '') END AS reason FROM calls)
+    SELECT recording_id || '-' || lpad(CAST(message_id AS VARCHAR), 5, '0') AS id,
       recording_id, message_id, url, title, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
       CAST(CASE WHEN length(off) > 5 THEN CAST(split_part(off, ':', 1) AS BIGINT) * 3600 + CAST(split_part(off, ':', 2) AS BIGINT) * 60 + CAST(split_part(off, ':', 3) AS BIGINT)
         ELSE CAST(split_part(off, ':', 1) AS BIGINT) * 60 + CAST(split_part(off, ':', 2) AS BIGINT) END AS BIGINT) AS "timestamp",
-      coalesce(email, who) AS speaker, split_part(email, '@', 2) AS organization, message, action_item, watch_link
-    FROM ah LEFT JOIN lk ON lookup_name = lower(who)""",
+      coalesce(email, who) AS speaker, split_part(email, '@', 2) AS organization, message, action_item, watch_link, CAST(NULL AS VARCHAR) AS reject_reason
+    FROM ah LEFT JOIN lk ON lookup_name = lower(who) WHERE call_id % 19 <> 5 AND call_id % 23 <> 6
+    UNION ALL SELECT NULL, NULL, NULL, CASE WHEN id % 19 <> 5 AND id % 23 <> 6 THEN url END, NULL, NULL, NULL, NULL, NULL,
+      CASE WHEN cut THEN '{{"id": ' || id || ', "recording"' END, NULL, NULL, reason FROM judged WHERE reason IS NOT NULL""",
 )
 def job_messages(spark, sf):
-    built = calls.messages(roles.call_events(spark, sf), roles.speakers(spark, sf), "idx")
-    return built.valid.withColumn("date", ts_text(F.col("date")))
+    """Posted call events and the speaker file; the text of a payload that is no JSON stands in ``message``."""
+    folder = staged(spark, sf, "speaker-file", lambda path: export_objects(roles.speaker_file(spark, sf), path))
+    out = scratch_path(spark, "job-messages")
+    calls.run_posted_messages(spark, roles.call_payloads(spark, sf), "payload", f"{folder}/speakers.json", out)
+    kinds = ", ".join(f"{n} {t}" for n, (t, _) in MESSAGE_TABLE.items())
+    rows = spark.read.schema(kinds).json(f"{out}/messages").withColumn("date", ts_text(F.col("date")))
+    names = ["id", "recording_id", "message_id", "url", "title", "date", "timestamp", "speaker", "organization", "message", "action_item", "watch_link"]
+    rejects = spark.read.schema("text string, url string, reject_reason string").json(f"{out}/rejects")
+    text = F.when(F.col("reject_reason") == "not a document of this schema", F.col("text")).alias("message")
+    return rows.select(*names).unionByName(rejects.select("url", text, "reject_reason"), allowMissingColumns=True)
 
 
 @query(

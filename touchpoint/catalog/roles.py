@@ -260,6 +260,26 @@ def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def call_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls as posted JSON text; some are cut off, some come without their host."""
+    call = calls(spark, sf_dir)
+    host = F.when(F.col("id") % 23 != 6, F.struct(F.lit("h").alias("name"), F.lit("h@mail.example.com").alias("email"), F.lit("t").alias("team")))
+    event = F.to_json(F.struct(
+        "id", F.struct("url", (F.col("n_chars") / 60).alias("duration_in_minutes")).alias("recording"),
+        F.struct(F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("scheduled_start_time"), "title").alias("meeting"),
+        host.alias("fathom_user"), F.struct("plaintext").alias("transcript"),
+    ))
+    cut = F.concat(F.lit('{"id": '), _s("id"), F.lit(', "recording"'))
+    return call.select(F.when(F.col("id") % 19 == 5, cut).otherwise(event).alias("payload"))
+
+
+def speaker_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speaker dimension as its one document, in the order of ``idx``: (file_name, value)."""
+    listed = F.sort_array(F.collect_list(F.struct("idx", "name", "email", "aliases")))
+    people = F.transform(listed, lambda x: F.struct(x["name"].alias("name"), x["email"].alias("email"), x["aliases"].alias("aliases")))
+    return speakers(spark, sf_dir).agg(F.to_json(F.struct(people.alias("speakers_internal"))).alias("value")).select(F.lit("speakers.json").alias("file_name"), "value")
+
+
 LIST_CALLS_SQL = """lc AS (
   SELECT p_partkey AS id, CASE WHEN p_size = 7 THEN 'https://rec.example/none' ELSE 'https://rec.example/calls/' || p_partkey END AS url,
     p_retailprice / 60 AS minutes, p_brand AS title, TIMESTAMP '2024-01-01' + to_hours(CAST(p_partkey AS INTEGER)) AS start_at,

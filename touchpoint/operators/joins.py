@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,16 +92,46 @@ def stack_frames(frames: list[DataFrame]) -> DataFrame:
 def align_frames(frames: list[DataFrame]) -> DataFrame:
     """Combine frames on the columns they all share; the others are filled with null.
 
-    The result is that of chained full outer joins, written as a left outer join plus the unmatched
-    right rows: Spark can split a skewed left side in both, but no side of a full outer join. Rows
-    with a null in a shared column match nothing and are kept, and so are copies of a row. A pair uses its
-    left side twice, so in a chain of more than two frames each result but the last is written to the
-    shared scratch folder; otherwise the plan would double with every frame.
+    The result is that of chained full outer joins. Rows with a null in a shared column match nothing and are kept, and so are
+    copies of a row. A column that several frames have, but not all, takes the first value that is not null, in frame order.
+
+    All frames go through one shuffle by the shared columns, as one tagged union, whatever their number; keys that no
+    frame repeats are paired there. Where a frame repeats a key, pairing multiplies rows: those keys alone are joined frame by
+    frame (``_join_frames``), so that Spark can split a hot one.
     """
     shared = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
     if not shared:
         raise ValueError("the frames share no column")
-
+    spark = frames[0].sparkSession
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in shared])
+    extra = {i: [c for c in f.columns if c not in shared] for i, f in enumerate(frames)}
+    tagged = [
+        f.where(keyed).select(*shared, *[(F.struct(F.lit(True).alias("_there"), *extra[j]) if i == j else F.lit(None)).alias(f"_frame{j}") for j in extra])
+        for i, f in enumerate(frames)
+    ]
+    picked = [F.any_value(f"_frame{i}", True).alias(f"_frame{i}") for i in extra]
+    repeats = reduce(or_, [F.count(f"_frame{i}") > 1 for i in extra]).alias("_repeats")
+    path = scratch_path(spark, "aligned")
+    reduce(DataFrame.union, tagged).groupBy(*shared).agg(*picked, repeats).write.parquet(path)
+    grouped = spark.read.parquet(path)
+    names = list(dict.fromkeys(c for i in extra for c in extra[i]))
+    values = [F.coalesce(*[F.col(f"_frame{i}.`{c}`") for i in extra if c in extra[i]]).alias(c) for c in names]
+    paired = grouped.where("not _repeats").select(*shared, *values)
+    parts = [paired, *[f.where(~keyed) for f in frames]]
+    again = grouped.where("_repeats").select(*shared)
+    if not again.isEmpty():
+        again = F.broadcast(again) if is_small(again) else again
+        parts.append(_join_frames([f.join(again, shared, "left_semi").select(*f.columns) for f in frames], shared))
+    return stack_frames(parts)
+
+
+def _join_frames(frames: list[DataFrame], shared: list[str]) -> DataFrame:
+    """Chained full outer joins, each written as a left outer join plus the unmatched right rows.
+
+    Spark can split a skewed left side in both, but no side of a full outer join. A pair uses its
+    left side twice, so in a chain of more than two frames each result but the last is written to the
+    shared scratch folder; otherwise the plan would double with every frame.
+    """
     def pair(left: DataFrame, right: DataFrame) -> DataFrame:
         extra = [c for c in right.columns if c not in shared]
         clash = [c for c in extra if c in left.columns]

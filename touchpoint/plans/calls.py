@@ -11,10 +11,11 @@ from touchpoint.operators.exports import export_events, parse_exports
 from touchpoint.operators.flatten import explode_lists, flatten_structs, keyed_rows
 from touchpoint.operators.project import warehouse_rows
 from touchpoint.operators.transcripts import transcript_messages
-from touchpoint.operators.validate import Checked, check
+from touchpoint.operators.validate import REASON, Checked, check
 from touchpoint.schemas import CALL_EVENT, CALL_TABLE, MESSAGE_TABLE
 from touchpoint.sinks.files import raw_objects, write_keyed_json
-from touchpoint.sources.files import parse_json, read_exports
+from touchpoint.sinks.outcomes import REJECTED, VALID, report_frame, settle_flagged
+from touchpoint.sources.files import REFUSED, flag_json, parse_json, read_exports, read_speakers
 
 
 REQUIRED = ("id", "recording", "meeting", "fathom_user", "transcript")
@@ -77,6 +78,23 @@ def run_messages(events: DataFrame, speakers: DataFrame, position: str, out: str
     built.rejects.write.mode("overwrite").json(f"{out}/rejects")
 
 
+def run_posted_messages(spark: SparkSession, payloads: DataFrame, payload: str, speakers: str, out: str) -> dict[str, int]:
+    """Posted call events (JSON text) and the speaker file → messages, rejects and the run's counts.
+
+    The payloads are parsed once; a payload that is no call event is a reject with its text, a call that cannot be cut into
+    messages one with its url. An empty speaker file fails the job.
+    """
+    people = read_speakers(spark, speakers)
+    settled = settle_flagged(flag_json(payloads.select(payload), payload, CALL_EVENT, REQUIRED), "call-events")
+    built = messages(settled.of(VALID), people, "idx")
+    write_keyed_json(named_messages(built.valid), f"{out}/messages")
+    unread = settled.of(REJECTED).select(F.col(REFUSED).alias("text"), REASON)
+    rejects = unread.unionByName(built.rejects.select("row_key", "url", REASON), allowMissingColumns=True)
+    rejects.write.mode("overwrite").json(f"{out}/rejects")
+    report_frame(payloads, settled.counts).write.mode("overwrite").json(f"{out}/report")
+    return settled.counts
+
+
 def run_flat(events: DataFrame, out: str) -> None:
     built = flat_rows(events)
     write_keyed_json(named_flat_rows(built.valid), f"{out}/calls")
