@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, FloatType, IntegerType, StringType, StructField, StructType
 
+from touchpoint.operators.inflight import bounded, in_order
 from touchpoint.operators.reports import batch_size
 from touchpoint.schemas import EMBEDDING_DIM
 
@@ -108,11 +109,12 @@ def _with_column(batch: pa.RecordBatch, name: str, values: list, kind: pa.DataTy
 
 
 def embed_rows(
-    df: DataFrame, text: str, client: Embedder, size: int = 35, parallelism: int | None = None
+    df: DataFrame, text: str, client: Embedder, size: int = 35, parallelism: int | None = None, window: int = 1
 ) -> DataFrame:
     """Add ``embedding``; it is null for texts the service refused, so that they can be reported.
 
-    ``parallelism`` sets how many tasks call the service; without it the input's partitioning is kept.
+    ``parallelism`` bounds the calls in flight in all, ``window`` those of a task; without ``parallelism`` the input's
+    partitioning is kept. With a window above 1 the client must be safe to call from several threads.
 
     Blank texts and known keys should be filtered out before: Spark does not move filters below
     this step. Any other failure of the service fails the task, which Spark retries.
@@ -120,26 +122,40 @@ def embed_rows(
     size = batch_size(size)
     schema = StructType(df.schema.fields + [StructField("embedding", ArrayType(FloatType()), True)])
 
+    df, window = bounded(df, parallelism, window)
+
+    def embedded(chunk: pa.RecordBatch) -> pa.RecordBatch:
+        texts = chunk.column(chunk.schema.get_field_index(text)).to_pylist()
+        return _with_column(chunk, "embedding", _embed_batch(texts, client), pa.list_(pa.float32()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, size):
-            texts = chunk.column(chunk.schema.get_field_index(text)).to_pylist()
-            yield _with_column(chunk, "embedding", _embed_batch(texts, client), pa.list_(pa.float32()))
+        yield from in_order(embedded, _chunks(batches, size), window)
 
-    return (df.repartition(parallelism) if parallelism else df).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def embedded_only(df: DataFrame) -> DataFrame:
     return df.where(F.col("embedding").isNotNull())
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so small that answers are passed on while others are still asked for."""
+    rows = max(64, 4 * window)
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def generate_text(
-    df: DataFrame, client: TextClient, fallback: str, out: str = "body", parallelism: int | None = None
+    df: DataFrame, client: TextClient, fallback: str, out: str = "body", parallelism: int | None = None, window: int = 1
 ) -> DataFrame:
     """Add a text per row from a client; a blank answer or a failed call gives the fallback text.
 
     ``fallback`` is a format string over the row's columns. ``parallelism`` bounds the calls in
-    flight; without it the partitioning of the input is kept.
+    flight in all, ``window`` those of a task; without ``parallelism`` the partitioning of the input is kept. With a window
+    above 1 the client must be safe to call from several threads.
     """
+    df, window = bounded(df, parallelism, window)
     schema = StructType(df.schema.fields + [StructField(out, StringType(), True)])
 
     def one(row: dict) -> str:
@@ -150,10 +166,10 @@ def generate_text(
         return answer.strip() if answer and answer.strip() else fallback.format(**row)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _with_column(batch, out, [one(row) for row in batch.to_pylist()], pa.string())
+        for piece in _pieces(batches, window):
+            yield _with_column(piece, out, list(in_order(one, piece.to_pylist(), window)), pa.string())
 
-    return (df.repartition(parallelism) if parallelism else df).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def template_text(df: DataFrame, fallback: str, out: str = "body") -> DataFrame:
@@ -171,12 +187,13 @@ def _format_parts(template: str) -> list[tuple[str, str | None]]:
     return [(literal, field) for literal, field, _, _ in Formatter().parse(template)]
 
 
-def lookup_status(df: DataFrame, key: str, client: StatusClient, parallelism: int | None = None) -> DataFrame:
+def lookup_status(df: DataFrame, key: str, client: StatusClient, parallelism: int | None = None, window: int = 1) -> DataFrame:
     """Ask a service about every key: (key, status, ok). No status, or a failed call, is not ok.
 
-    ``parallelism`` bounds the calls in flight; without it the partitioning of the input is kept.
+    ``parallelism`` bounds the calls in flight in all, ``window`` those of a task; without ``parallelism`` the partitioning of the
+    input is kept. With a window above 1 the client must be safe to call from several threads.
     """
-    keys = df.select(F.col(key).cast("string").alias(key))
+    keys, window = bounded(df.select(F.col(key).cast("string").alias(key)), parallelism, window)
     schema = StructType(
         [
             StructField(key, StringType(), True),
@@ -192,8 +209,8 @@ def lookup_status(df: DataFrame, key: str, client: StatusClient, parallelism: in
             return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            status = pa.array([one(v) for v in batch.column(0).to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), status, status.is_valid()], [key, "status", "ok"])
+        for piece in _pieces(batches, window):
+            status = pa.array(list(in_order(one, piece.column(0).to_pylist(), window)), pa.int32())
+            yield pa.RecordBatch.from_arrays([piece.column(0), status, status.is_valid()], [key, "status", "ok"])
 
-    return (keys.repartition(parallelism) if parallelism else keys).mapInArrow(run, schema)
+    return keys.mapInArrow(run, schema)

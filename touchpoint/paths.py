@@ -35,11 +35,24 @@ def folder_files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
     return [(e.getPath().toString(), e.getPath().getName(), e.getLen()) for e in listed if e.isFile()]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Spark itself would use for it; ask before handing a path to tasks."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString()
+
+
+#: Schemes of Hadoop connectors and what Arrow calls the same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _resolve(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and inner path of a qualified path. A path without a scheme is refused: it would be each worker's own disk."""
     scheme = urlparse(path).scheme
-    if scheme in ("", "file"):
-        return fs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:")
-    return fs.FileSystem.from_uri(path)
+    if not scheme:
+        raise ValueError(f"path without a scheme, qualify it on the driver: {path}")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + path[len(scheme):])
 
 
 def open_input(path: str):

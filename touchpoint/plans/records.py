@@ -44,7 +44,9 @@ def flag_for_embedding(records: DataFrame, dataset: Dataset) -> DataFrame:
     return with_reason(flagged, [(F.col(dataset.key).isNotNull(), f"no {dataset.key}")])
 
 
-def embed_upsert(records: DataFrame, dataset: Dataset, path: str, embedder: Embedder, batch_size: int = 35) -> EmbedRun:
+def embed_upsert(
+    records: DataFrame, dataset: Dataset, path: str, embedder: Embedder, batch_size: int = 35, parallelism: int | None = None, window: int = 1
+) -> EmbedRun:
     """Embed the records that are valid and not stored yet, and append them to the table.
 
     The records are read once: each gets its status, and all are written by status and counted in that write.
@@ -59,7 +61,7 @@ def embed_upsert(records: DataFrame, dataset: Dataset, path: str, embedder: Embe
     first = settle(marked, (REJECTED, SKIPPED, OPEN), status, f"{dataset.name}-records", ["_stored"])
     new = latest_per_key(first.of(OPEN).drop(REASON), [key], dataset.ordering())
     answered = F.when(F.col("embedding").isNotNull(), EMBEDDED).otherwise(FAILED)
-    second = settle(embed_rows(new, dataset.text, embedder, batch_size), (EMBEDDED, FAILED), answered, f"{dataset.name}-embedded")
+    second = settle(embed_rows(new, dataset.text, embedder, batch_size, parallelism, window), (EMBEDDED, FAILED), answered, f"{dataset.name}-embedded")
     append_rows(second.of(EMBEDDED).select(*schema.names), path)
     sent = sum(second.counts.values())
     report = {
@@ -73,14 +75,17 @@ def embed_upsert(records: DataFrame, dataset: Dataset, path: str, embedder: Embe
 
 
 def backfill(
-    ids: DataFrame, key: str, succeeded: Ledger, failed: Ledger, client: StatusClient, run_path: str, parallelism: int | None = None
+    ids: DataFrame, key: str, succeeded: Ledger, failed: Ledger, client: StatusClient, run_path: str,
+    parallelism: int | None = None, window: int = 1,
 ) -> None:
-    """Look up the ids that have not succeeded yet and note each in a ledger; ``parallelism`` bounds the calls in flight.
+    """Look up the ids that have not succeeded yet and note each in a ledger.
+
+    ``parallelism`` bounds the calls in flight in all, ``window`` those of a task.
 
     The answers are written to ``run_path`` once, so that the two ledgers do not ask the service twice.
     """
     todo = resume(ids.select(F.col(key).cast("string").alias(key)), succeeded.read(), key)
-    lookup_status(todo, key, client, parallelism).write.mode("overwrite").parquet(run_path)
+    lookup_status(todo, key, client, parallelism, window).write.mode("overwrite").parquet(run_path)
     answers = ids.sparkSession.read.parquet(run_path)
     succeeded.add(answers.where("ok").select(key))
     failed.add(answers.where("not ok").select(key))
@@ -108,23 +113,28 @@ def run_replay(
         append_rows(made.rejects.select("row_key", REASON), f"{receipts}-rejects")
 
 
-def profiles(users: DataFrame, today: str, client: TextClient | None = None, parallelism: int | None = None) -> DataFrame:
+def profiles(
+    users: DataFrame, today: str, client: TextClient | None = None, parallelism: int | None = None, window: int = 1
+) -> DataFrame:
     """Profile text per user from a client, or the fixed text without one; null for a user without a name or an age.
 
-    ``parallelism`` bounds the calls in flight; without it the partitioning of the input is kept.
+    ``parallelism`` bounds the calls in flight in all, ``window`` those of a task; without ``parallelism`` the partitioning of the
+    input is kept.
     """
     aged = users.withColumn("age", age(F.to_date("dob"), F.to_date(F.lit(today))))
     complete = F.col("age").isNotNull() & F.col("name").isNotNull()
     known = aged.where(complete)
-    made = generate_text(known, client, PROFILE_FALLBACK, "bio", parallelism) if client else template_text(
+    made = generate_text(known, client, PROFILE_FALLBACK, "bio", parallelism, window) if client else template_text(
         known, PROFILE_FALLBACK, "bio"
     )
     missing = aged.where(~complete).select("id", F.lit(None).cast("string").alias("bio"))
     return made.select("id", "bio").union(missing).select(F.col("id").cast("bigint").alias("id"), "bio")
 
 
-def run_profiles(users: DataFrame, today: str, path: str, client: TextClient | None = None) -> None:
-    replace_table(profiles(users, today, client), path)
+def run_profiles(
+    users: DataFrame, today: str, path: str, client: TextClient | None = None, parallelism: int | None = None, window: int = 1
+) -> None:
+    replace_table(profiles(users, today, client, parallelism, window), path)
 
 
 def contacts(rows: DataFrame) -> Checked:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from touchpoint.functions.text import BUCKET_SCHEME
 from touchpoint.operators.keys import latest_per_key
-from touchpoint.paths import exists, write_object
+from touchpoint.paths import exists, qualified, write_object
 
 
 class Destination(str, Enum):
@@ -59,8 +59,10 @@ def export_objects(df: DataFrame, root: str, name: str = "file_name", value: str
     """One object per row below ``root``. Opt-in: for small exports.
 
     A rerun of a task writes the same objects again, so the result does not change. Names that
-    would leave the folder fail the job.
+    would leave the folder fail the job. Tasks write to the file system that Spark resolves ``root`` to.
     """
+    root = qualified(df.sparkSession, root)
+
     def write(rows) -> None:
         for row in rows:
             write_object(root, row[name], row[value].encode())
