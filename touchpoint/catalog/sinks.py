@@ -90,9 +90,9 @@ def k05(spark, sf):
     label = F.concat(F.lit("order "), F.col("o_orderkey").cast("string"))
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"), label.alias("label"), "o_orderdate", "o_orderkey")
     nothing = {c: F.lit(None).cast(orders.schema[c].dataType) for c in ("o_orderdate", "o_orderkey")}
-    tables.upsert_rows(first.withColumns(nothing), path, "id", [F.col("label")])
+    tables.upsert_rows(first.withColumns(nothing), path, "id", [F.col("label")], 4)
     for _ in range(2):
-        tables.upsert_rows(orders, path, "id", [F.desc("o_orderdate"), F.desc("o_orderkey")])
+        tables.upsert_rows(orders, path, "id", [F.desc("o_orderdate"), F.desc("o_orderkey")], 4)
     return tables.read_upserted(spark, path).select("id", "label")
 
 

@@ -16,12 +16,12 @@ from touchpoint.session import scratch_path
 BUCKET = "key_bucket"
 
 
-def upsert_rows(rows: DataFrame, path: str, key: str, order: Sequence[Column], buckets: int = 64) -> None:
+def upsert_rows(rows: DataFrame, path: str, key: str, order: Sequence[Column], buckets: int = 16) -> None:
     """Insert or replace rows of a parquet table by key; of equal keys in ``rows`` the first in ``order`` counts.
 
     The table is partitioned by a hash of the key. Only the partitions that the rows fall into are read, merged and
     overwritten, all in one job that replaces them when it commits. Repeating it gives the same table; one writer at a time.
-    ``buckets`` must stay the same for a table.
+    ``buckets`` must stay the same for a table; every task writes a file for each, so a small table should have few.
     """
     spark = rows.sparkSession
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
