@@ -77,3 +77,21 @@ def test_run_and_registration(spark):
     assert {name.split("_")[0] for name in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(ORACLES) <= set(QUERIES)
     assert shingle_set("a b", 5) == {("a", "b")}
+
+
+def test_clashing_columns_keep_their_values(spark):
+    """Columns with the names that the operators use themselves come back as they were."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"start {i} {passage} end {i}" if i < 2 else f"other {i}", "en", "s", 10) for i in range(4)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    names = ["kept", "spans", "row_key", "n_bytes", "n_removed", "kept_text", "kept_sha256", "others", "score", "_score"]
+    wide = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    cut = pipeline.cut_repeats(spark, wide, SF)
+    assert cut.columns == wide.columns and cut.dtypes == wide.dtypes
+    rows = {r["doc_id"]: r for r in cut.collect()}
+    assert len(rows) == 4 and all(r[n] == f"{n} {i}" for i, r in rows.items() for n in names)
+    assert all(passage not in rows[i]["text"] and rows[i]["n_chars"] == len(rows[i]["text"]) for i in (0, 1))
+    assert [rows[i]["text"] for i in (2, 3)] == ["other 2", "other 3"]
+    table = spark.read.parquet(f"{SF}/documents.parquet").withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    kept = pipeline.keep_good(spark, table, SF)
+    assert kept.dtypes == table.dtypes
+    assert all(r[n] == f"{n} {r['doc_id']}" for r in kept.collect() for n in names)
