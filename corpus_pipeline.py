@@ -23,11 +23,19 @@ from touchpoint.session import ship_package, use_utc
 GOOD = 0.3
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"{name}_"
+    return name
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labelled rows that are not held out."""
     use_utc(ship_package(spark))
     trees = quality.train(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
-    return quality.score(docs, trees, "_score").where(F.col("_score") >= GOOD).select(*docs.columns)
+    score = free_name(docs, "score")
+    return quality.score(docs, trees, score).where(F.col(score) >= GOOD).select(*docs.columns)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +56,16 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of any 200-byte string that starts at several places of the corpus."""
     use_utc(ship_package(spark))
-    cut = suffixes.remove_repeats(docs)
-    changes = {"text": F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast("bigint")).otherwise(F.col("n_chars"))
-    return cut.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in docs.columns])
+    # The operator adds columns of its own; all but the two it reads travel in a struct, where no name can clash.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", *([F.struct(*others).alias("others")] if others else []))
+    cut = suffixes.remove_repeats(packed)
+    changed = F.col("n_removed") > 0
+    columns = {c: F.col("others").getField(c) if c in others else F.col(c) for c in docs.columns}
+    columns["text"] = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(changed, F.char_length("kept_text").cast("bigint")).otherwise(columns["n_chars"])
+    return cut.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
