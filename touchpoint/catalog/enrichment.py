@@ -12,6 +12,7 @@ from touchpoint.operators.enrich import (
 )
 from touchpoint.operators.similarity import cosine_topk
 from touchpoint.operators.validate import status_split
+from touchpoint.operators.vector_cells import CellIndex
 from touchpoint.sources.tables import spread
 
 REFUSED = "worthless"
@@ -78,14 +79,23 @@ def e03(spark, sf):
     return answers.select("event_id", "ok", status_split(F.col("status")).alias("outcome"))
 
 
-@query(
-    "e04_cosine_topk",
-    """SELECT query_id, neighbor_id, score FROM (
+_NEAREST = """SELECT query_id, neighbor_id, score FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbor_id) AS r FROM (
         SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
           round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS score
-        FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id)) WHERE r <= 3""",
-)
+        FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id)) WHERE r <= 3"""
+
+
+@query("e04_cosine_topk", _NEAREST)
 def e04(spark, sf):
-    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return cosine_topk(vectors, vectors, 3, 64)
+    return cosine_topk(_vectors(spark, sf), _vectors(spark, sf), 3, 64)
+
+
+@query("e04_cells_topk", _NEAREST)
+def e04_cells(spark, sf):
+    """The same rows from the cell index, by its bound."""
+    return CellIndex.build(_vectors(spark, sf)).search(_vectors(spark, sf), 3)
+
+
+def _vectors(spark, sf):
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
