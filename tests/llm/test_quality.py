@@ -63,3 +63,15 @@ def test_no_labels_one_class_empty_table(spark):
     assert {r["score"] for r in quality.score(docs, quality.train(docs, labels.where("false"))).collect()} == {0.5}
     assert min(r["score"] for r in quality.score(docs, quality.train(docs, labels)).collect()) > 0.99
     assert quality.score(docs.where("false"), quality.train(docs, labels)).count() == 0
+
+
+def test_repeated_rows_and_labels_train_once(spark):
+    """Neither rows that repeat an id nor labels that disagree raise the number of training rows above the bound."""
+    texts = [(1, "one text here")] * 500 + [(2, "another text")] * 3 + [(2, "and yet another"), (3, "third"), (None, "no id")]
+    docs = documents(spark, texts).repartition(4)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1), (3, 1), (9, 1), (None, 0)], "doc_id bigint, quality int")
+    rows = quality.training_rows(docs, labels).collect()
+    assert sorted(r["label"] for r in rows) == [0, 1, 1]
+    smallest = min(list(map(float, quality.statistics(*slice_of([t]))[0])) for t in ("another text", "and yet another"))
+    assert smallest in [r["statistics"] for r in rows]
+    assert quality.training_rows(docs, labels, max_rows=2).count() <= 2

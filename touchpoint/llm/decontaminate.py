@@ -13,11 +13,13 @@ Documents are far larger than items, so the search is driven by the items:
 
 The signatures go to the tasks while there are at most ``LOCAL_KEYS`` of them (counted): a task looks up all
 shingles of a slice of texts at once. Beyond that, the items are searched in blocks of that many keys, each
-block a pass over the documents; this bounds memory at any number of items, and loses none.
+block a pass over the documents whose result is written before the next but one is built; this bounds memory at any number
+of items, and loses none.
 
-Words are runs of letters and digits (any byte outside ASCII counts as a letter), in lower case. A text with
-fewer words than a shingle is one shingle; a text without words, or null, contains nothing and is contained
-in nothing. Repeated rows are searched like others; rows whose item_id is null are left out.
+Words are runs of letters and digits (any byte outside ASCII counts as a letter), in lower case. An item with
+fewer than k words has a size partition of its own: it is one shingle of all its words, and documents are
+searched for shingles of that length, so it is found inside long documents. Items below ``least_words`` are left out of
+that and match documents of just their words. A text without words, or null, contains nothing and is contained in nothing. Repeated rows are searched like others; rows whose item_id is null are left out.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from touchpoint.llm import rolling
 from touchpoint.llm.rolling import U64
+from touchpoint.llm.scratch import written
 
 LOCAL_KEYS = 1_000_000
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -116,45 +119,75 @@ class Items:
                     yield row, self.ids[item], shared, len(self.sets[item])
 
 
-def _blocks(items: DataFrame, k: int, percent: int) -> Iterator[Items]:
-    """Items in blocks of at most ``LOCAL_KEYS`` signature hashes; only one block is in the driver at a time."""
-    held, size = [], 0
+def _partitions(rows: list[tuple[int, str]], k: int, percent: int, least_words: int) -> list[Items]:
+    """Items by the length of their shingles: their number of words for those of ``least_words`` to k - 1 words, else k."""
+    by_length: dict[int, list[tuple[int, str]]] = {}
+    for item_id, text in rows:
+        n = len(_WORD.findall(text.encode().lower()))
+        by_length.setdefault(n if least_words <= n < k else k, []).append((item_id, text))
+    return [Items.build(own, length, percent) for length, own in sorted(by_length.items()) if length]
+
+
+def _blocks(items: DataFrame, k: int, percent: int, least_words: int) -> Iterator[list[Items]]:
+    """Items in blocks of about ``LOCAL_KEYS`` signature hashes; at least one block."""
+    held, size, made = [], 0, 0
     for item_id, text in items.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
         held.append((item_id, text))
         size += len(text) // 4 + 1
         if size >= LOCAL_KEYS:
-            yield Items.build(held, k, percent)
-            held, size = [], 0
-    yield Items.build(held, k, percent)
+            yield _partitions(held, k, percent, least_words)
+            held, size, made = [], 0, made + 1
+    if held or not made:
+        yield _partitions(held, k, percent, least_words)
+
 
+def _with_last(blocks: Iterator[list[Items]]) -> Iterator[tuple[list[Items], bool]]:
+    """Every block and whether it is the last one."""
+    block = next(blocks)
+    for after in blocks:
+        yield block, False
+        block = after
+    yield block, True
 
-def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+
+def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, least_words: int = 1) -> DataFrame:
     """``(doc_id, item_id, shared, n_item, containment)`` for every item found in a document."""
-    found = None
-    for block in _blocks(items, k, percent):
+    texts, found = docs.select("doc_id", "text"), None
+    for block, last in _with_last(_blocks(items, k, percent, least_words)):
 
-        def run(batches: Iterator[pa.RecordBatch], block: Items = block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: list[Items] = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = list(block.search(_lower(batch, 1)))
+                lowered = _lower(batch, 1)
+                rows = [row for part in block for row in part.search(lowered)]
                 at, item, shared, size = (np.array(c, np.int64) for c in (zip(*rows, strict=True) if rows else ([], [], [], [])))
                 ids = batch.column(0).take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(item), pa.array(shared), pa.array(size)], ["doc_id", "item_id", "shared", "n_item"])
 
-        part = docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, item_id bigint, shared bigint, n_item bigint")
+        part = texts.mapInArrow(run, "doc_id bigint, item_id bigint, shared bigint, n_item bigint")
+        if not last or found is not None:
+            part = written(part, "contained")
         found = part if found is None else found.unionByName(part)
     return found.withColumn("containment", F.col("shared") / F.col("n_item"))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns, without a shuffle of texts."""
-    for block in _blocks(items, k, percent):
-        place = docs.columns.index("text")
+def clean_documents(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80, least_words: int | None = None) -> DataFrame:
+    """The rows of ``docs`` that contain no item, with all their columns, without a shuffle of texts.
+
+    An item of fewer than ``least_words`` words, k unless told otherwise, removes only documents that have just its words: a
+    phrase like "of the" inside a document is no leak.
+    """
+    place = docs.columns.index("text")
+    for block, last in _with_last(_blocks(items, k, percent, k if least_words is None else least_words)):
 
-        def run(batches: Iterator[pa.RecordBatch], block: Items = block, place: int = place) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], block: list[Items] = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                lowered = _lower(batch, place)
                 keep = np.ones(batch.num_rows, bool)
-                keep[[row for row, *_ in block.search(_lower(batch, place))]] = False
+                for part in block:
+                    keep[[row for row, *_ in part.search(lowered)]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if not last:
+            docs = written(docs, "clean")
     return docs

@@ -186,23 +186,35 @@ def fit(x: np.ndarray, y: np.ndarray, n_trees: int = 80, depth: int = 4, rate: f
 
 
 def _statistics_of(docs: DataFrame) -> DataFrame:
-    """``docs`` must have ``label`` and ``text``; returns label and statistics."""
+    """``docs`` must have ``doc_id``, ``label`` and ``text``; returns id, label and statistics."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, stop, data, offsets in rolling.text_slices(batch, "text"):
                 values = statistics(data, offsets)
                 lists = pa.ListArray.from_arrays(np.arange(len(values) + 1) * values.shape[1], pa.array(values.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, stop - row), lists], ["label", "statistics"])
+                part = batch.slice(row, stop - row)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["doc_id", "label", "statistics"])
 
-    return docs.select("label", "text").mapInArrow(run, "label int, statistics array<double>")
+    return docs.select("doc_id", "label", "text").mapInArrow(run, "doc_id bigint, label int, statistics array<double>")
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Trees:
-    """Fit on the labelled rows; of more than ``max_rows``, those with the smallest digests of their doc_id."""
-    marked = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").dropDuplicates(["doc_id"])
+def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
+    """``(label, statistics)`` of at most ``max_rows`` labelled ids, one row an id: those with the smallest digests of the id.
+
+    Of labels that disagree about an id the smallest counts. Of rows that repeat an id, that with the smallest
+    statistics stays; they are reduced in the tasks, before anything is shuffled or sent to the driver.
+    """
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
+    marked = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = _statistics_of(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).toArrow()
+    found = _statistics_of(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    return found.groupBy("doc_id").agg(F.min(F.struct("label", "statistics")).alias("row")).select("row.label", "row.statistics")
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> Trees:
+    """Fit on the training rows, of which there are at most ``max_rows``."""
+    rows = training_rows(docs, labels, label, max_rows).toArrow()
     x = np.array(rows.column("statistics").combine_chunks().flatten()).reshape(-1, len(STATISTICS))
     order = np.lexsort(x.T) if len(x) else np.zeros(0, int)
     y = np.array(rows.column("label"), float)
