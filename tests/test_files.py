@@ -376,3 +376,56 @@ def test_stored_keys(spark, tmp_path):
     (tmp_path / "broken").mkdir()
     with pytest.raises(AnalysisException):
         stored.read_keys(spark, str(tmp_path / "broken"), "id", "int").count()
+
+
+REFUSALS = {
+    '{"a":"x","n":1}': None,
+    '{"a":"x"}\n\n': None,
+    '{"a":"x","r":{"b":[1, 2]}}': None,
+    '{"a":"x","z":{"q":1,"q":2}}': None,
+    '{"a":2,"a":"x"}': None,
+    '{"a":"x","a":2}': "a is not a string",
+    '{"a":1}': "a is not a string",
+    '{"a":[]}': "a is not a string",
+    '{"a":null}': "missing a",
+    '{"n":1}': "missing a",
+    '{"A":"x"}': "missing a",
+    '{"a":"x","n":1}{"a":"y"}': sources.TRAILING,
+    '{"a":"x"},{"a":"y"}': sources.TRAILING,
+    '{"a":"x"} tail': sources.TRAILING,
+    '{"a":"x"} // c': sources.TRAILING,
+    '[{"a":"x"}]': "not a document of this schema",
+    '{"a":"x"}]': "not a document of this schema",
+    '{"a":{"k":1,"k":2}}': "not a document of this schema",
+    '{"a":"x","n":"1"}': "not a document of this schema",
+    '{"a":"x","n":12345678901234567890}': "not a document of this schema",
+    '{"a":"x","l":"p"}': "not a document of this schema",
+    '{"a":"x"': "not a document of this schema",
+    "nope": "not a document of this schema",
+    "null": "not a document of this schema",
+    "": "empty document",
+    " \n": "empty document",
+    None: "empty document",
+}
+JSON_SCHEMA = "a string, n bigint, r string, l array<string>"
+
+
+def test_json_refusals(spark):
+    df = spark.createDataFrame(list(enumerate(REFUSALS)), "i int, v string")
+    rows = {r["i"]: r for r in sources.flag_json(df, "v", JSON_SCHEMA, ("a",), raw=("r",)).collect()}
+    for i, (text, reason) in enumerate(REFUSALS.items()):
+        assert rows[i]["reject_reason"] == reason, text
+        assert rows[i]["_refused"] == (None if reason is None else text)
+        assert reason is not None or rows[i]["a"] == "x"
+    assert rows[2]["r"] == '{"b":[1,2]}'
+
+
+def test_accepted_json_is_parsed_once(spark, tmp_path):
+    """The parse is below the filter; above it only refused texts are parsed, behind a condition."""
+    (tmp_path / "t.jsonl").write_text('{"a":"x"}\n')
+    df = spark.read.text(str(tmp_path / "t.jsonl"))
+    plan = sources.parse_json(df, "value", JSON_SCHEMA, ("a",))
+    nodes = [line for line in plan.valid._jdf.queryExecution().executedPlan().toString().split("+- ") if "from_json" in line]
+    assert len(nodes) == 2 and nodes[0].startswith("Filter") and nodes[1].startswith("Generate explode")
+    assert nodes[1].count("from_json") == 1
+    assert all("THEN false ELSE" in piece for piece in nodes[0].split("from_json")[:1])

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType, VariantType
 
 from touchpoint.functions.text import strip
 from touchpoint.operators.joins import lookup_join
@@ -290,24 +290,43 @@ def flag_json(
     (which the parser would turn into text), unless the field is in ``raw`` and takes any JSON as text.
     """
     kept = [c for c in df.columns if c not in (value, REASON)]
-    parsed = df.withColumn("_doc", F.from_json(value, _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}))
-    strings = [f.name for f in struct_type(schema).fields if isinstance(f.dataType, StringType) and f.name not in raw]
-    if strings:
-        parsed = parsed.withColumn("_types", F.transform_values(F.from_json(value, "map<string,variant>"), lambda _, v: F.schema_of_variant(v)))
+    given = struct_type(schema)
+    strings = [f.name for f in given.fields if isinstance(f.dataType, StringType) and f.name not in raw]
+    # String fields are read as variants, which know what they held; the list around the document shows whether it is alone.
+    loose = StructType([StructField(f.name, VariantType() if f.name in strings else f.dataType) for f in given.fields])
+    wrapped = StructType([StructField("documents", ArrayType(loose)), StructField(CORRUPT, StringType())])
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    text = F.from_json(F.concat(F.lit('{"documents":['), value, F.lit("\n]}")), wrapped, options)
+    # A generator is parsed once: filters on what it makes stay above it, where a projection's would repeat the parse.
+    listed = df.select("*", F.explode(F.array(text)).alias("_parsed"))
+    documents = F.col("_parsed.documents")
+    parsed = listed.withColumn("_doc", F.get(documents, F.lit(0)))
     filled = F.coalesce(strip(F.col(value)), F.lit("")) != ""
-    fits = F.col("_doc").isNotNull() & F.col(f"_doc.{CORRUPT}").isNull()
-    alone = F.size(F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")) == 1
+    fits = F.coalesce(F.col(f"_parsed.{CORRUPT}").isNull() & (F.size(documents) == 1) & F.col("_doc").isNotNull(), F.lit(False))
+    # Only a refused text is parsed again, to tell a document with more text behind it from what is none.
+    again = F.from_json(value, _with_corrupt(schema), options)
+    single = F.size(F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")) == 1
+    goes_on = F.when(fits | ~filled, False).otherwise(F.coalesce(again.isNotNull() & again[CORRUPT].isNull() & ~F.coalesce(single, F.lit(False)), F.lit(False)))
     rules = [
         (filled, "empty document"),
-        (fits | ~filled, "not a document of this schema"),
-        (alone | ~fits, trailing),
-        *[(F.col(f"_doc.{name}").isNotNull() | ~fits, f"missing {name}") for name in required],
-        *[(F.coalesce(F.try_element_at("_types", F.lit(name)), F.lit("STRING")).isin("STRING", "VOID") | ~fits, f"{name} is not a string") for name in strings],
+        (fits | ~filled | goes_on, "not a document of this schema"),
+        (~goes_on, trailing),
+        *[(_is_there(name, name in strings) | ~fits, f"missing {name}") for name in required],
+        *[(F.coalesce(F.schema_of_variant(F.col(f"_doc.{name}")), F.lit("VOID")).isin("STRING", "VOID") | ~fits, f"{name} is not a string") for name in strings],
     ]
-    fields = [F.col(f"_doc.{f.name}").alias(f.name) for f in struct_type(schema).fields]
+    fields = [_text_field(f.name) if f.name in strings else F.col(f"_doc.{f.name}").alias(f.name) for f in given.fields]
     return with_reason(parsed, rules).select(*kept, *fields, F.when(F.col(REASON).isNotNull(), F.col(value)).alias(REFUSED), REASON)
 
 
+def _is_there(name: str, is_variant: bool) -> Column:
+    field = F.col(f"_doc.{name}")
+    return field.isNotNull() & ~F.is_variant_null(field) if is_variant else field.isNotNull()
+
+
+def _text_field(name: str) -> Column:
+    return F.try_variant_get(F.col(f"_doc.{name}"), "$", "string").alias(name)
+
+
 def read_json_docs(
     spark: SparkSession, folder: str, schema: str, suffixes: list[str], required: tuple[str, ...] = ()
 ) -> Checked:
