@@ -9,6 +9,7 @@ from touchpoint import schemas
 from touchpoint.datasets import PRODUCTS
 from touchpoint.operators import enrich
 from touchpoint.operators.enrich import HashingEmbedder, RefusedText
+from touchpoint.operators import similarity
 from touchpoint.operators.similarity import cosine_topk
 from touchpoint.plans import records
 from touchpoint.sinks.tables import Ledger
@@ -240,3 +241,30 @@ def test_scratch_path_needs_a_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_nearest_rows_are_screened_without_loss():
+    """Copies, zero vectors and own ids; the same rows as sorting all scores, in blocks of any order, without a score of every pair being sorted."""
+    source = np.random.default_rng(5)
+    vectors = source.normal(size=(6000, 8))
+    vectors[100:900] = vectors[100]
+    vectors[2000:2100] = 0
+    ids = source.permutation(6000)
+    asked = np.r_[0:40, 100:110, 2000:2003, 5990:6000]
+    unit = similarity._unit(vectors)
+    nearest = similarity._Nearest(ids[asked], unit[asked], 5, 50_000)
+    for part in np.array_split(source.permutation(6000), 4):
+        nearest.add(ids[part], vectors[part])
+    scores = np.round(unit[asked] @ unit.T, 6)
+    scores[ids[asked][:, None] == ids] = -np.inf
+    true = {(q, ids[c], rank) for q, row in zip(ids[asked], scores, strict=True) for rank, c in enumerate(np.lexsort((ids, -row))[:5])}
+    got = nearest.frame().sort_values(["query_id", "score", "neighbor_id"], ascending=[True, False, True])
+    got["rank"] = got.groupby("query_id").cumcount()
+    assert set(zip(got["query_id"], got["neighbor_id"], got["rank"], strict=True)) == true
+
+
+def test_blocks_of_a_search_are_few(spark):
+    """Every row is copied once for each block of the other side."""
+    rows = spark.range(9000).select("id", F.array(F.sin("id"), F.cos("id")).cast("array<float>").alias("vector"))
+    pairs = similarity._blocked(rows, rows, 1, 2, None).rdd.getNumPartitions()
+    assert pairs <= (similarity.isqrt(similarity.PAIRS_A_SLOT * spark.sparkContext.defaultParallelism) + 1) ** 2
