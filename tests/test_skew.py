@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchpoint.operators import joins, keys
+from touchpoint.sinks.files import write_keyed_json
 
 CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -84,3 +85,10 @@ def test_newest_row_of_a_hot_key_shuffles_one_row_per_task(spark, skewed):
     newest.collect()
     assert {r.id: r.n for r in newest.where("id = 'hot'").collect()} == {"hot": 59_997}
     assert newest.count() == skewed.select("id").distinct().count()
+
+
+def test_keyed_folders_do_not_multiply_by_tasks(spark, tmp_path):
+    rows = spark.range(0, 4000, numPartitions=8).select(F.concat(F.lit("s"), F.col("id") % 40).alias("source"), F.col("id").cast("string").alias("file_name"))
+    write_keyed_json(rows, str(tmp_path / "out"), ["source"])
+    assert spark.read.json(str(tmp_path / "out")).count() == 4000
+    assert len(list((tmp_path / "out").glob("source=*/part-*"))) <= 2 * 40

@@ -47,10 +47,11 @@ def newest_objects(df: DataFrame, order: Sequence[Column], name: str = "file_nam
 def write_keyed_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Records as JSON Lines with their ``file_name`` as a column.
 
-    Many records share a file: one object per record does not scale. No shuffle is needed, so a
-    source with most of the rows is written by many tasks. Use ``export_objects`` for the exact
-    one-object-per-record layout.
+    Many records share a file: one object per record does not scale. With ``partition_by`` the rows of a folder are brought
+    together first, or every task would write a file for every folder; Spark splits a folder with most of the rows over many
+    tasks. Use ``export_objects`` for the exact one-object-per-record layout.
     """
+    df = df.hint("rebalance", *partition_by) if partition_by else df
     writer = df.write.mode("overwrite").option("ignoreNullFields", "false")
     writer.partitionBy(*partition_by).json(path) if partition_by else writer.json(path)
 
