@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from touchpoint.catalog import streams
 from touchpoint.operators import joins, keys
 from touchpoint.sinks.files import write_keyed_json
 
@@ -92,3 +93,11 @@ def test_keyed_folders_do_not_multiply_by_tasks(spark, tmp_path):
     write_keyed_json(rows, str(tmp_path / "out"), ["source"])
     assert spark.read.json(str(tmp_path / "out")).count() == 4000
     assert len(list((tmp_path / "out").glob("source=*/part-*"))) <= 2 * 40
+
+
+def test_landed_files_grow_in_number_not_in_size(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(streams, "LANDED_ROWS", 100)
+    streams._cut(spark.range(2350)).write.json(str(tmp_path / "landed"))
+    files = list((tmp_path / "landed").glob("part-*"))
+    assert len(files) == 24 and max(len(f.read_text().splitlines()) for f in files) < 200
+    assert streams._half(spark, str(tmp_path / "landed")) == 12

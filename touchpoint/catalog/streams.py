@@ -12,13 +12,28 @@ from touchpoint.operators.enrich import HashingEmbedder
 from touchpoint.operators.joins import stack_frames
 from touchpoint.operators.project import json_line
 from touchpoint.operators.validate import REASON
+from touchpoint.paths import folder_names
 from touchpoint.schemas import PRODUCT_DESCRIPTION, RECEIPT
 from touchpoint.session import scratch_path
 from touchpoint.streaming import landing
 
 
+#: Rows of a landed file, about; a table of any size has files that one task can read.
+LANDED_ROWS = 10_000
+
+
+def _cut(rows):
+    """The rows in as many partitions as there will be files: four, more for a larger table."""
+    return rows.repartition(max(4, -(-rows.count() // LANDED_ROWS)))
+
+
+def _half(spark, folder: str) -> int:
+    """Files for each of two batches of a landing folder."""
+    return max(2, -(-sum(name.startswith("part-") for name in folder_names(spark, folder)) // 2))
+
+
 def _landed(spark, sf, name, rows):
-    return staged(spark, sf, name, lambda path: rows.repartition(4).write.option("ignoreNullFields", "false").json(path))
+    return staged(spark, sf, name, lambda path: _cut(rows).write.option("ignoreNullFields", "false").json(path))
 
 
 @query("g01_stream_raw", "SELECT sha256(payload) AS object_key, payload FROM (SELECT DISTINCT props AS payload FROM events)")
@@ -26,10 +41,11 @@ def g01(spark, sf):
     """Every payload is landed twice, in different batches."""
     def write(path: str) -> None:
         for _ in range(2):
-            table(spark, sf, "events").select("props").repartition(4).write.mode("append").text(path)
+            _cut(table(spark, sf, "events").select("props")).write.mode("append").text(path)
 
     out = scratch_path(spark, "g01")
-    landing.land_raw(landing.payload_stream(spark, staged(spark, sf, "landing-raw", write), 4), out, f"{out}-state", drain=True).awaitTermination()
+    source = staged(spark, sf, "landing-raw", write)
+    landing.land_raw(landing.payload_stream(spark, source, _half(spark, source)), out, f"{out}-state", drain=True).awaitTermination()
     return landing.read_raw(spark, out)
 
 
@@ -44,8 +60,8 @@ def g01(spark, sf):
 )
 def g02(spark, sf):
     out = scratch_path(spark, "g02")
-    source = staged(spark, sf, "landing-receipts", lambda path: roles.receipt_lines(spark, sf).repartition(4).write.text(path))
-    events = landing.event_stream(spark, source, RECEIPT, 2, text="refused_text")
+    source = staged(spark, sf, "landing-receipts", lambda path: _cut(roles.receipt_lines(spark, sf)).write.text(path))
+    events = landing.event_stream(spark, source, RECEIPT, _half(spark, source), text="refused_text")
 
     def transform(rows):
         return RECEIPTS.named(rows).withColumn("value", json_line(rows.select("id", "user_id", "body")))
@@ -73,7 +89,7 @@ def g03(spark, sf):
     source = _landed(spark, sf, "landing-descriptions", roles.descriptions(spark, sf).drop("doc_id"))
     logs = [f"{path}-{attempt}" for attempt in ("first", "again")]
     for log in logs:
-        events = landing.event_stream(spark, source, PRODUCT_DESCRIPTION, 2, text="refused_text")
+        events = landing.event_stream(spark, source, PRODUCT_DESCRIPTION, _half(spark, source), text="refused_text")
         landing.land_embeddings(
             events, DESCRIPTIONS, path, log, HashingEmbedder(32), f"{log}-state", drain=True, text="refused_text"
         ).awaitTermination()
@@ -101,7 +117,7 @@ def g04(spark, sf):
     said = F.when(F.col("event_type") == "view", F.concat(F.lit("Guest "), key)).otherwise(F.concat(F.lit("sup "), key))
     source = _landed(spark, sf, "landing-said", table(spark, sf, "events").select("event_id", said.alias("said")))
     out = scratch_path(spark, "g04")
-    events = landing.event_stream(spark, source, "event_id bigint, said string", 2)
+    events = landing.event_stream(spark, source, "event_id bigint, said string", _half(spark, source))
     landing.land_resolved(
         events, "said", lambda session: roles.speakers(session, sf), "idx", out, f"{out}-state", drain=True
     ).awaitTermination()
