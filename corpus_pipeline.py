@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from touchpoint.llm import decontaminate, jaccard, packing, quality, suffixes
 from touchpoint.llm.queries import table, tokenizer_file
 from touchpoint.llm.scratch import broadcast_if_few, written
-from touchpoint.session import ship_package, use_utc
+from touchpoint.session import bound_batches, ship_package, use_utc
 
 #: Score from which a document is kept.
 GOOD = 0.3
@@ -32,7 +32,7 @@ def free_name(docs: DataFrame, name: str) -> str:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labelled rows that are not held out."""
-    use_utc(ship_package(spark))
+    bound_batches(use_utc(ship_package(spark)))
     trees = quality.train(docs, table(spark, sf_dir, "labels").where(~quality.held_out()))
     score = free_name(docs, "score")
     return quality.score(docs, trees, score).where(F.col(score) >= GOOD).select(*docs.columns)
@@ -40,7 +40,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group linked by 80 % of their 5-word shingles."""
-    use_utc(ship_package(spark))
+    bound_batches(use_utc(ship_package(spark)))
     rows, _ = jaccard.similar_classes(docs, percent=80, k=5)
     rows = written(rows.select("doc_id", "component_id"), "groups")
     gone = written(rows.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
@@ -55,7 +55,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of any 200-byte string that starts at several places of the corpus."""
-    use_utc(ship_package(spark))
+    bound_batches(use_utc(ship_package(spark)))
     # The operator adds columns of its own; all but the two it reads travel in a struct, where no name can clash.
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     packed = docs.select("doc_id", "text", *([F.struct(*others).alias("others")] if others else []))
@@ -70,13 +70,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item (80 % of its 5-word shingles)."""
-    use_utc(ship_package(spark))
+    bound_batches(use_utc(ship_package(spark)))
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
-    use_utc(ship_package(spark))
+    bound_batches(use_utc(ship_package(spark)))
     return packing.pack_documents(docs, tokenizer_file("word_bpe_49k.json"))
 
 

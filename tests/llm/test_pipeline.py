@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,16 @@ def test_clashing_columns_keep_their_values(spark):
     kept = pipeline.keep_good(spark, table, SF)
     assert kept.dtypes == table.dtypes
     assert all(r[n] == f"{n} {r['doc_id']}" for r in kept.collect() for n in names)
+
+
+def test_tasks_get_batches_of_bounded_bytes(spark):
+    """Ten thousand long texts in one batch filled an executor, in the JVM and again in Python."""
+    pipeline.keep_distinct(spark, documents(spark, ["a b c d e f"]), SF)
+    long_texts = spark.range(0, 3_000, 1, 1).select(F.repeat(F.lit("words "), 2_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    found = [r["size"] for r in long_texts.mapInArrow(sizes, "size bigint").collect()]
+    assert sum(found) > 30 << 20 and max(found) < 8 << 20

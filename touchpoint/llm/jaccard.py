@@ -121,7 +121,7 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int, table: np.ndarray) -> Itera
     """``(doc_id, distinct shingle hashes)`` of every row with a doc_id, and None as doc_id for the others."""
     for batch in batches:
         ids = batch.column(0).to_pylist()
-        for row, stop, data, offsets in rolling.text_slices(batch, "text"):
+        for row, stop, data, offsets in rolling.text_slices(batch, "text", rolling.SMALL_SLICE_BYTES):
             yield from zip(ids[row:stop], rolling.sliced_shingle_sets(data, offsets, k, table), strict=True)
 
 

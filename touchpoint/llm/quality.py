@@ -190,7 +190,7 @@ def _statistics_of(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, stop, data, offsets in rolling.text_slices(batch, "text"):
+            for row, stop, data, offsets in rolling.text_slices(batch, "text", rolling.SMALL_SLICE_BYTES):
                 values = statistics(data, offsets)
                 lists = pa.ListArray.from_arrays(np.arange(len(values) + 1) * values.shape[1], pa.array(values.ravel()))
                 part = batch.slice(row, stop - row)
@@ -228,7 +228,7 @@ def score(docs: DataFrame, trees: Trees, name: str = "score") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, stop, data, offsets in rolling.text_slices(batch, "text"):
+            for row, stop, data, offsets in rolling.text_slices(batch, "text", rolling.SMALL_SLICE_BYTES):
                 part = batch.slice(row, stop - row)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(trees.score(statistics(data, offsets)))], names)
 
